@@ -43,13 +43,14 @@ def cell_struct(df: DataFrame, name: str) -> Column:
 
 
 def to_cells(df: DataFrame, table_id, row_id="row_id", columns=None) -> DataFrame:
-    """Long form: table_id, row_id, col_id, col_name, v_num, v_str. NULL cells are kept."""
+    """Long form: table_id, row_id, col_id, col_name, col_type, v_num, v_str. NULL cells are kept."""
     key_cols = [c for c in (table_id, row_id) if isinstance(c, str)]
     columns = columns or [c for c in df.columns if c not in key_cols]
     cells = [
         F.struct(
             F.lit(i).alias("col_id"),
             F.lit(c).alias("col_name"),
+            F.lit(df.schema[c].dataType.simpleString()).alias("col_type"),
             _num(df, c).alias("v_num"),
             _str(df, c).alias("v_str"),
         )

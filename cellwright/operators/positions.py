@@ -121,27 +121,34 @@ def previous_value(
     return blocked.join(last, [*within, "_block"]).withColumn(out, before).drop("_block", "_edge")
 
 
+def group_sizes(df: DataFrame, within) -> DataFrame:
+    """within, n: rows per group. Stored, so later joins plan with its true size."""
+    return store(df.groupBy(*within).agg(F.count(F.lit(1)).alias("n")), "sizes")
+
+
 def take_lowest(
     df: DataFrame, draw: str, tie, how_many: Column, within=(), out: str = "chosen",
-    block: int = BLOCK,
+    sizes: DataFrame | None = None, block: int = BLOCK,
 ) -> DataFrame:
     """Flag exactly ``how_many`` rows per group: those with the smallest draws.
 
     ``draw`` is uniform in [0, 1), ``tie`` makes the order total and
     ``how_many`` is an expression over ``n``, the rows of the group. The unit
-    interval is cut into about n/block equal slices; slices wholly below the
-    cut need no ordering, and only the slice that holds it is ranked.
+    interval is cut into about n/block equal slices; slices wholly below or
+    above the cut are decided by their counts, the one that holds it by rank.
+    ``sizes`` may pass group sizes that are already known.
     """
     within = list(within)
-    sizes = df.groupBy(*within).agg(F.count(F.lit(1)).alias("n")).select(
+    sizes = group_sizes(df, within) if sizes is None else sizes
+    wanted = sizes.select(
         *within,
         how_many.cast("bigint").alias("_k"),
         F.ceil(F.col("n") / block).alias("_slices"),
     )
     if within:
-        sized = df.join(sizes, within)
+        sized = df.join(wanted, within)
     else:
-        one = sizes.select(F.struct("_k", "_slices")).scalar()
+        one = wanted.select(F.struct("_k", "_slices")).scalar()
         sized = df.withColumn("_k", one["_k"]).withColumn("_slices", one["_slices"])
     blocked = sized.withColumn("_block", F.floor(F.col(draw) * F.col("_slices")))
     totals = blocked.groupBy(*within, "_block").agg(F.count(F.lit(1)).alias("_total"))

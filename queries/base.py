@@ -36,7 +36,7 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
-    def _once(self, name: str, build) -> DataFrame:
+    def once(self, name: str, build) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.dir, name)
         if key not in _numbered:
             _numbered[key] = build()
@@ -53,7 +53,7 @@ class Inputs:
                 ["o_orderkey"],
             )
 
-        return self._once("orders_n", build)
+        return self.once("orders_n", build)
 
     def orders_pair(self) -> DataFrame:
         """x and y miss values in different rows; c is constant."""
@@ -80,7 +80,7 @@ class Inputs:
                 self.table("customer").select("c_custkey", (bal * sign).alias("balance")), ["c_custkey"]
             )
 
-        return self._once("signed", build)
+        return self.once("signed", build)
 
     def flat(self) -> DataFrame:
         """supplier with a constant and an all-missing column."""
@@ -91,7 +91,7 @@ class Inputs:
 
     def ties(self) -> DataFrame:
         """part by key: sizes repeat often."""
-        return self._once(
+        return self.once(
             "ties",
             lambda: number_rows(self.table("part").select("p_partkey", "p_size", "p_retailprice"), ["p_partkey"]),
         )
@@ -131,7 +131,7 @@ class Inputs:
                 "l_extendedprice", "l_discount", "l_tax", "l_linestatus", "l_returnflag",
             )
 
-        return self._once("corpus_li", build)
+        return self.once("corpus_li", build)
 
 
 # ------------------------------------------------------------------ the same views in SQL
