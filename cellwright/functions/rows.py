@@ -43,13 +43,21 @@ def contains(a: Column, value) -> Column:
     return F.coalesce(F.array_contains(a, value), F.lit(False))
 
 
+def let(value: Column, fn) -> Column:
+    """``fn(value)`` with ``value`` computed once, however often ``fn`` uses it."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def quantile(a: Column, p: float) -> Column:
     """Linear interpolation between the two closest ranks; NULL when empty."""
-    s = F.array_sort(present(a))
-    at = F.lit(p) * (F.size(s) - 1)
-    low = F.get(s, F.floor(at).cast("int"))
-    high = F.get(s, F.ceil(at).cast("int"))
-    return low + (high - low) * (at - F.floor(at))
+
+    def between(s):
+        at = F.lit(p) * (F.size(s) - 1)
+        low = F.get(s, F.floor(at).cast("int"))
+        high = F.get(s, F.ceil(at).cast("int"))
+        return low + (high - low) * (at - F.floor(at))
+
+    return let(F.array_sort(present(a)), between)
 
 
 def median(a: Column) -> Column:
@@ -106,6 +114,8 @@ def differences(a: Column) -> Column:
 
 def deviation(a: Column) -> Column:
     """Sample standard deviation; NULL below two values."""
-    m = mean(a)
-    squares = F.aggregate(present(a), F.lit(0.0), lambda s, x: s + (x - m) * (x - m))
+    squares = let(
+        mean(a),
+        lambda m: F.aggregate(present(a), F.lit(0.0), lambda s, x: s + (x - m) * (x - m)),
+    )
     return F.sqrt(F.try_divide(squares, (F.size(present(a)) - 1).cast("double")))
