@@ -48,6 +48,12 @@ def let(value: Column, fn) -> Column:
     return F.get(F.transform(F.array(value), fn), F.lit(0))
 
 
+def lerp(low: Column, high: Column, t: Column) -> Column:
+    """Between ``low`` (t = 0) and ``high`` (t = 1), measured from the nearer end."""
+    gap = high - low
+    return F.when(t < 0.5, low + gap * t).otherwise(high - gap * (1 - t))
+
+
 def quantile(a: Column, p: float) -> Column:
     """Linear interpolation between the two closest ranks; NULL when empty."""
 
@@ -55,13 +61,19 @@ def quantile(a: Column, p: float) -> Column:
         at = F.lit(p) * (F.size(s) - 1)
         low = F.get(s, F.floor(at).cast("int"))
         high = F.get(s, F.ceil(at).cast("int"))
-        return low + (high - low) * (at - F.floor(at))
+        return lerp(low, high, at - F.floor(at))
 
     return let(F.array_sort(present(a)), between)
 
 
 def median(a: Column) -> Column:
-    return quantile(a, 0.5)
+    """Middle value, or half the sum of the two middle ones."""
+
+    def middle(s):
+        n = F.size(s)
+        return (F.get(s, ((n - 1) / 2).cast("int")) + F.get(s, (n / 2).cast("int"))) / 2.0
+
+    return let(F.array_sort(present(a)), middle)
 
 
 def mode(a: Column) -> Column:

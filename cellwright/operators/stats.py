@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.rows import lerp
 from ..session import store
 
 #: largest group (rows) for which one task may build an exact quantile buffer
@@ -148,7 +149,7 @@ def _quantiles_by_rank(values: DataFrame, keys, probs, value) -> DataFrame:
             F.max(F.when(F.col("r.end") == "low", F.col(value))).alias("_low"),
             F.max(F.when(F.col("r.end") == "high", F.col(value))).alias("_high"),
         )
-        .withColumn("q", F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_frac"))
+        .withColumn("q", lerp(F.col("_low"), F.col("_high"), F.col("_frac")))
     )
     return found.groupBy(*keys).agg(
         *[F.max(F.when(F.col("name") == n, F.col("q"))).alias(n) for n in probs]

@@ -68,7 +68,7 @@ def column_roles(meta: DataFrame) -> DataFrame:
             places, lambda i: (F.get("categorical_columns", i) == flag) & (i != F.col("label_index"))
         )
 
-    return meta.withColumn("numeric_cols", with_flag(0)).withColumn("categorical_cols", with_flag(1))
+    return meta.withColumns({"numeric_cols": with_flag(0), "categorical_cols": with_flag(1)})
 
 
 def draw_tables(prompts: DataFrame, meta: DataFrame, seed: int) -> DataFrame:
@@ -102,10 +102,12 @@ def draw_numeric(planned: DataFrame, seed: int) -> DataFrame:
     def row(key):
         return draw_int(uniform(seed, "prompt_id", F.lit(key)), F.lit(0), F.col("num_rows") - 1)
 
-    return (
-        planned.withColumn("numeric_col", column("column"))
-        .withColumn("row1", row("row1")).withColumn("cell_col1", column("cell_col1"))
-        .withColumn("row2", row("row2")).withColumn("cell_col2", column("cell_col2"))
+    return planned.withColumns(
+        {
+            "numeric_col": column("column"),
+            "row1": row("row1"), "cell_col1": column("cell_col1"),
+            "row2": row("row2"), "cell_col2": column("cell_col2"),
+        }
     )
 
 
@@ -116,9 +118,12 @@ def draw_pair(planned: DataFrame, seed: int) -> DataFrame:
     other = F.floor(uniform(seed, "prompt_id", F.lit("pair2")) * (k - 1))
     second = other + F.when(other >= first, F.lit(1)).otherwise(F.lit(0))
     enough = k >= 2
-    return planned.withColumn(
-        "pair_col1", F.when(enough, F.get("numeric_cols", first.cast("int")))
-    ).withColumn("pair_col2", F.when(enough, F.get("numeric_cols", second.cast("int"))))
+    return planned.withColumns(
+        {
+            "pair_col1": F.when(enough, F.get("numeric_cols", first.cast("int"))),
+            "pair_col2": F.when(enough, F.get("numeric_cols", second.cast("int"))),
+        }
+    )
 
 
 def draw_scalars(planned: DataFrame, seed: int) -> DataFrame:
@@ -128,26 +133,23 @@ def draw_scalars(planned: DataFrame, seed: int) -> DataFrame:
         return uniform(seed, "prompt_id", F.lit(key))
 
     low, high = CONSTANT_RANGE
-    return (
-        planned.withColumn("n", draw_int(u("n"), *TOP_N))
-        .withColumn("ascending", u("order") < 0.5)
-        .withColumn("constant", F.floor((low + u("constant") * (high - low)) * 100) / 100.0)
-        .withColumn("filler", draw_int(u("filler"), *FILL_RANGE))
-        .withColumn("method", draw_item(u("method"), F.array(*[F.lit(m) for m in METHODS])))
-        .withColumn("any_row", draw_int(u("any_row"), F.lit(0), F.col("num_rows") - 1))
-        .withColumn("any_col", draw_int(u("any_col"), F.lit(0), F.col("num_cols") - 2))
-        # the value to look for may come from the label column, and so may the second index
-        .withColumn("value_col", draw_int(u("value_col"), F.lit(0), F.col("num_cols") - 1))
-        .withColumn(
-            "index2",
-            draw_int(
-                u("index2"), F.lit(0),
-                F.when(F.col("axis") == 0, F.col("num_rows")).otherwise(F.col("num_cols")) - 1,
-            ),
-        )
-        .withColumn("u_value", u("value"))
-        .withColumn("u_slice", u("slice"))
-        .withColumn("u_causal", u("causal"))
+    size = F.when(F.col("axis") == 0, F.col("num_rows")).otherwise(F.col("num_cols"))
+    return planned.withColumns(
+        {
+            "n": draw_int(u("n"), *TOP_N),
+            "ascending": u("order") < 0.5,
+            "constant": F.floor((low + u("constant") * (high - low)) * 100) / 100.0,
+            "filler": draw_int(u("filler"), *FILL_RANGE),
+            "method": draw_item(u("method"), F.array(*[F.lit(m) for m in METHODS])),
+            "any_row": draw_int(u("any_row"), F.lit(0), F.col("num_rows") - 1),
+            "any_col": draw_int(u("any_col"), F.lit(0), F.col("num_cols") - 2),
+            # the value to look for may come from the label column, and so may the second index
+            "value_col": draw_int(u("value_col"), F.lit(0), F.col("num_cols") - 1),
+            "index2": draw_int(u("index2"), F.lit(0), size - 1),
+            "u_value": u("value"),
+            "u_slice": u("slice"),
+            "u_causal": u("causal"),
+        }
     )
 
 
@@ -303,12 +305,17 @@ def answer(
         .cast("int")
     )
     on_row = is_fn(*AXIS_FNS) & (F.col("axis") == 0)
-    df = df.withColumn("index", index).withColumn("on_row", on_row)
-    df = df.withColumn("x", F.when(~on_row, F.get("nums", F.col("index"))))
-    df = df.withColumn("t", F.when(~on_row, F.get("texts", F.col("index"))))
-    df = df.withColumn("y", F.when(is_fn(*PAIR_COLUMN_FNS), F.get("nums", F.col("pair_col2"))))
-    df = df.withColumn("cells", F.when(on_row, _row_texts(F.col("index"))))
-    df = df.withColumn("whole", F.coalesce(F.get("wholes", F.col("index")), F.lit(False)) & ~on_row)
+    df = df.withColumns({"index": index, "on_row": on_row})
+    on_row = F.col("on_row")
+    df = df.withColumns(
+        {
+            "x": F.when(~on_row, F.get("nums", F.col("index"))),
+            "t": F.when(~on_row, F.get("texts", F.col("index"))),
+            "y": F.when(is_fn(*PAIR_COLUMN_FNS), F.get("nums", F.col("pair_col2"))),
+            "cells": F.when(on_row, _row_texts(F.col("index"))),
+            "whole": F.coalesce(F.get("wholes", F.col("index")), F.lit(False)) & ~on_row,
+        }
+    )
     x, t, cells, whole = F.col("x"), F.col("t"), F.col("cells"), F.col("whole")
     method = F.col("method")
 
@@ -344,7 +351,7 @@ def answer(
             ),
         },
     )
-    df = df.withColumn("numbers", numbers).withColumn("strings", F.when(x.isNull(), strings))
+    df = df.withColumns({"numbers": numbers, "strings": F.when(x.isNull(), strings)})
     unsliced = is_fn("top_n_values", "bottom_n_values")
     length = F.coalesce(F.array_size("numbers"), F.array_size("strings"))
     df = df.withColumn("length", length)
@@ -407,11 +414,11 @@ def answer(
     value_texts = F.array_sort(
         F.array_distinct(F.filter(F.flatten(F.filter("texts", lambda c: c.isNotNull())), lambda v: v.isNotNull()))
     )
-    df = df.withColumn("value_numbers", F.when(looks, value_numbers)).withColumn("value_texts", F.when(looks, value_texts))
+    df = df.withColumns({"value_numbers": F.when(looks, value_numbers), "value_texts": F.when(looks, value_texts)})
     at = F.floor(F.col("u_value") * (F.size("value_numbers") + F.size("value_texts"))).cast("int")
-    df = df.withColumn("seek_number", F.get("value_numbers", at)).withColumn(
-        "seek_text", F.get("value_texts", at - F.size("value_numbers"))
-    ).drop("value_numbers", "value_texts")
+    df = df.withColumns(
+        {"seek_number": F.get("value_numbers", at), "seek_text": F.get("value_texts", at - F.size("value_numbers"))}
+    )
     hits = F.flatten(
         F.transform(
             F.sequence(F.lit(0), F.col("num_rows").cast("int") - 1),
@@ -474,7 +481,7 @@ def answer(
                 "average_table_values": total_only(R.mean(column_means)),
             },
         ),
-    ).withColumn("result", F.coalesce("result", "list_text"))
+    )
     presence = choose(
         fn,
         {
@@ -503,36 +510,39 @@ def answer(
             **{name: seek for name in VALUE_FNS},
         },
     )
-    df = df.withColumn("presence", presence).withColumn("value", value_text)
-    df = df.withColumn("high", F.when(fn == "max_min_value", R.highest(x))).withColumn(
-        "low", F.when(fn == "max_min_value", R.lowest(x))
+    steps = fn == "stepwise_transform_column"
+    z = F.col("numbers")
+    stats = {
+        "stat_mean": R.mean(x), "stat_std": R.deviation(x), "stat_min": R.lowest(x), "stat_max": R.highest(x),
+        "stat_median": R.median(x), "stat_q1": R.quantile(x, 0.25), "stat_q3": R.quantile(x, 0.75),
+        "after_min": R.lowest(z), "after_max": R.highest(z), "after_mean": R.mean(z), "after_std": R.deviation(z),
+        "after_median": R.median(z), "after_iqr": R.quantile(z, 0.75) - R.quantile(z, 0.25),
+    }
+    positive = F.filter("causal_info", lambda r: r["is_causal"])
+    pool = F.when(F.size(positive) > 0, positive).otherwise(F.col("causal_info"))
+    df = df.withColumns(
+        {
+            "result": F.coalesce("result", "list_text"),
+            "presence": presence,
+            "value": value_text,
+            "high": F.when(fn == "max_min_value", R.highest(x)),
+            "low": F.when(fn == "max_min_value", R.lowest(x)),
+            "pair": F.when(is_fn(*PAIR_COLUMN_FNS), _pair(x, F.col("y"))),
+            "cause": F.when(fn == CAUSAL, draw_item(F.col("u_causal"), pool)),
+            **{name: F.when(steps, value) for name, value in stats.items()},
+        }
     )
-    df = df.withColumn("pair", F.when(is_fn(*PAIR_COLUMN_FNS), _pair(x, F.col("y"))))
     df = df.withColumn(
         "correlation",
         F.try_divide(F.col("pair.s.xy"), F.sqrt(F.col("pair.s.xx")) * F.sqrt(F.col("pair.s.yy"))),
     )
-    steps = fn == "stepwise_transform_column"
-    for name, value in {
-        "mean": R.mean(x), "std": R.deviation(x), "min": R.lowest(x), "max": R.highest(x),
-        "median": R.median(x), "q1": R.quantile(x, 0.25), "q3": R.quantile(x, 0.75),
-    }.items():
-        df = df.withColumn(f"stat_{name}", F.when(steps, value))
-    z = F.col("numbers")
-    for name, value in {
-        "min": R.lowest(z), "max": R.highest(z), "mean": R.mean(z), "std": R.deviation(z),
-        "median": R.median(z), "iqr": R.quantile(z, 0.75) - R.quantile(z, 0.25),
-    }.items():
-        df = df.withColumn(f"after_{name}", F.when(steps, value))
-    positive = F.filter("causal_info", lambda r: r["is_causal"])
-    pool = F.when(F.size(positive) > 0, positive).otherwise(F.col("causal_info"))
-    df = df.withColumn("cause", F.when(fn == CAUSAL, draw_item(F.col("u_causal"), pool)))
     if custom:
         def as_map(params):
             return F.create_map(*[e for k, v in params.items() for e in (F.lit(k), v.cast("string"))])
 
         df = df.withColumn("custom", choose(fn, {name: as_map(c.params()) for name, c in custom.items()}))
-    return df.drop("nums", "texts", "kinds", "wholes", "x", "y", "t", "cells", "numbers", "strings", "causal_info", "hits")
+    return df.drop("nums", "texts", "kinds", "wholes", "x", "y", "t", "cells", "numbers", "strings", "causal_info", "hits",
+        "value_numbers", "value_texts")
 
 
 # ------------------------------------------------------------------ text
