@@ -131,8 +131,9 @@ def _by_fn(options: dict[str, str]) -> str:
 
 def prompts_sql(functions) -> str:
     def q(p, a):
-        """The quantile, interpolated from the nearer end."""
-        s, at = f"list_sort({a})", f"({p}::DOUBLE * (len({a}) - 1))"
+        """The quantile of a sorted list (sn, sz), interpolated from the nearer end."""
+        a = {"nn": "sn", "numbers": "sz"}[a]
+        s, at = a, f"({p}::DOUBLE * (len({a}) - 1))"
         if p == 0.5:
             return f"({s}[(len({a}) + 1) // 2] + {s}[len({a}) // 2 + 1]) / 2"
         low, high, t = f"{s}[floor({at})::BIGINT + 1]", f"{s}[ceil({at})::BIGINT + 1]", f"({at} - floor({at}))"
@@ -247,14 +248,16 @@ a2 AS (SELECT *, list_filter(x, lambda v: v IS NOT NULL) AS nn, list_transform(t
   list_filter(list_transform(y, lambda v, i: CASE WHEN x[i] IS NOT NULL THEN v END), lambda v: v IS NOT NULL) AS py,
   CASE WHEN {_in(Q.VALUE_FNS)} THEN list_sort(list_distinct(list_filter({flat}, lambda v: v <> 0))) END AS vn,
   CASE WHEN {_in(Q.VALUE_FNS)} THEN list_sort(list_distinct(list_filter(flatten(list_filter(texts, lambda c: c IS NOT NULL)), lambda v: v IS NOT NULL))) END AS vt FROM a1),
+a2b AS (SELECT *, list_sort(nn) AS sn FROM a2),
 a3 AS (SELECT *, {center} AS center, {width} AS width, list_avg(px) AS mx, list_avg(py) AS my,
-  floor(u_value * (len(vn) + len(vt)))::BIGINT AS vat FROM a2),
+  floor(u_value * (len(vn) + len(vt)))::BIGINT AS vat FROM a2b),
 a4 AS (SELECT *, CASE WHEN vat < len(vn) THEN vn[vat + 1] END AS seek_number, CASE WHEN vat >= len(vn) THEN vt[vat - len(vn) + 1] END AS seek_text,
   {numbers} AS numbers, CASE WHEN x IS NULL THEN {strings} END AS strings,
   list_sum(list_transform(px, lambda v, i: (v - mx) * (py[i] - my))) AS sxy, list_sum(list_transform(px, lambda v: (v - mx) * (v - mx))) AS sxx,
   list_sum(list_transform(py, lambda v: (v - my) * (v - my))) AS syy FROM a3),
+a4b AS (SELECT *, list_sort(numbers) AS sz FROM a4),
 a5 AS (SELECT *, coalesce(len(numbers), len(strings)) AS length, CASE WHEN {_in(Q.VALUE_FNS)} THEN {hits} END AS hits,
-  coalesce(CASE WHEN len(list_filter(info, lambda i: i.is_causal)) > 0 THEN list_filter(info, lambda i: i.is_causal) END, info) AS pool FROM a4),
+  coalesce(CASE WHEN len(list_filter(info, lambda i: i.is_causal)) > 0 THEN list_filter(info, lambda i: i.is_causal) END, info) AS pool FROM a4b),
 a6 AS (SELECT *, CASE WHEN {_in(['top_n_values', 'bottom_n_values'])} OR length <= 5 THEN 0 ELSE floor(u_slice * (length - 4))::BIGINT END AS slice_start,
   pool[floor(u_causal * len(pool))::BIGINT + 1] AS cause FROM a5),
 a7 AS (SELECT *, CASE WHEN {_in(['top_n_values', 'bottom_n_values'])} THEN length ELSE least(length, slice_start + 5) END AS slice_end FROM a6),
