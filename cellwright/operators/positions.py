@@ -72,7 +72,13 @@ def _with_offsets(df: DataFrame, weight: Column, within, total_of) -> DataFrame:
     totals = df.groupBy(*within, "_block").agg(total_of(weight).alias("_total"))
     earlier = Window.partitionBy(*within).orderBy("_block").rowsBetween(*_BEFORE)
     offsets = totals.select(*within, "_block", F.sum("_total").over(earlier).alias("_offset"))
-    return df.join(offsets, [*within, "_block"])
+    return df.join(_hashed(offsets), [*within, "_block"])
+
+
+def _hashed(side: DataFrame) -> DataFrame:
+    """One row per block: small next to the rows it is joined to, so hashing it
+    saves sorting them once more than the window needs."""
+    return side.hint("shuffle_hash")
 
 
 def dense_position(
@@ -118,7 +124,7 @@ def previous_value(
     before = F.when(F.row_number().over(inside) == 1, F.col("_edge")).otherwise(
         F.lag(value).over(inside)
     )
-    return blocked.join(last, [*within, "_block"]).withColumn(out, before).drop("_block", "_edge")
+    return blocked.join(_hashed(last), [*within, "_block"]).withColumn(out, before).drop("_block", "_edge")
 
 
 def group_sizes(df: DataFrame, within) -> DataFrame:
@@ -164,7 +170,7 @@ def take_lowest(
         .otherwise(F.col("_offset") + F.row_number().over(inside) <= F.col("_k"))
     )
     return (
-        blocked.join(offsets, [*within, "_block"])
+        blocked.join(_hashed(offsets), [*within, "_block"])
         .withColumn(out, flag)
         .drop("_k", "_slices", "_block", "_total", "_offset")
     )

@@ -166,6 +166,9 @@ def downsample(
     df: DataFrame, n: int, seed: int, keys=(), row_id="row_id", sizes: DataFrame | None = None
 ) -> DataFrame:
     """At most ``n`` rows per table, a seeded choice without replacement."""
+    sizes = group_sizes(df, keys) if sizes is None else sizes
+    if (sizes.agg(F.max("n")).first()[0] or 0) <= n:
+        return df
     drawn = df.withColumn("_u", uniform(seed, *keys, row_id, F.lit("rows")))
     kept = take_lowest(drawn, "_u", [row_id], F.least(F.col("n"), F.lit(n)), keys, out="_kept", sizes=sizes)
     return kept.where("_kept").select(*df.columns)

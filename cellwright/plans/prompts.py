@@ -17,7 +17,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import rows as R
 from ..functions.draws import draw_int, draw_item, uniform
@@ -42,6 +42,10 @@ CELL_FNS = ("find_value", "fetch_neighbors")
 PAIR_CELL_FNS = ("add_cells", "subtract_cells")
 PAIR_COLUMN_FNS = ("direct_correlation_between_columns", "stepwise_correlation_between_columns")
 TABLE_TOTAL_FNS = ("sum_table_values", "average_table_values")
+WHOLE_TABLE_FNS = (
+    *CELL_FNS, *PAIR_CELL_FNS, *TABLE_TOTAL_FNS,
+    "compare_rows_or_columns", "value_present", "find_all_cells_with_value", "count_value_occurrences",
+)
 VALUE_FNS = ("find_all_cells_with_value", "count_value_occurrences")
 
 
@@ -71,10 +75,18 @@ def column_roles(meta: DataFrame) -> DataFrame:
     return meta.withColumns({"numeric_cols": with_flag(0), "categorical_cols": with_flag(1)})
 
 
+#: up to this many metadata rows are numbered in one task
+SMALL_META = 100_000
+
+
 def draw_tables(prompts: DataFrame, meta: DataFrame, seed: int) -> DataFrame:
     """A uniform table per prompt, found by its number in table_id order."""
-    numbered = number_rows(meta, ["table_id"], out="ordinal")
-    how_many = numbered.agg(F.count(F.lit(1))).scalar()
+    how_many = meta.count()
+    if how_many <= SMALL_META:
+        ordinal = (F.row_number().over(Window.orderBy("table_id")) - 1).cast("bigint")
+        numbered = meta.withColumn("ordinal", ordinal)
+    else:
+        numbered = number_rows(meta, ["table_id"], out="ordinal")
     drawn = prompts.withColumn("ordinal", F.floor(uniform(seed, "prompt_id", F.lit("table")) * how_many))
     return drawn.join(numbered, "ordinal").drop("ordinal")
 
@@ -174,14 +186,21 @@ def corpus_meta(df: DataFrame, target: str, columns) -> DataFrame:
     )
 
 
-def pack_tables(df: DataFrame, columns, max_rows: int, row_id="row_id") -> DataFrame:
+@dataclass(frozen=True)
+class Packed:
+    tables: DataFrame
+    n_tables: int
+
+
+def pack_tables(df: DataFrame, columns, max_rows: int, row_id="row_id") -> Packed:
     """table_id, nums, texts, kinds, wholes: each table's columns as arrays in row order.
 
     ``nums[c]`` is set for numeric columns, ``texts[c]`` for the others.
     Refuses tables above ``max_rows``: such corpora must be brought to the row
     budget first (preprocessing does), so an array never grows with the data.
     """
-    largest = df.groupBy("table_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    sizes = df.groupBy("table_id").agg(F.count(F.lit(1)).alias("n"))
+    n_tables, largest = sizes.agg(F.count(F.lit(1)), F.coalesce(F.max("n"), F.lit(0))).first()
     if largest > max_rows:
         raise ValueError(f"a table has {largest} rows, the row budget is {max_rows}: downsample first")
     numeric = [is_numeric(df.schema[c]) for c in columns]
@@ -200,7 +219,9 @@ def pack_tables(df: DataFrame, columns, max_rows: int, row_id="row_id") -> DataF
     # an integer column with gaps is read back as floating point, so it prints decimals
     wholes = F.array(*[F.lit(w) & ~F.coalesce(R.has_empty(F.get("nums", F.lit(i))), F.lit(True)) for i, w in enumerate(whole)])
     kinds = F.array(*[F.lit(df.schema[c].dataType.simpleString()) for c in columns])
-    return packed.select("table_id", "nums", "texts", kinds.alias("kinds"), wholes.alias("wholes"))
+    return Packed(
+        packed.select("table_id", "nums", "texts", kinds.alias("kinds"), wholes.alias("wholes")), n_tables
+    )
 
 
 # ------------------------------------------------------------------ answers
@@ -264,15 +285,13 @@ def _pair(x: Column, y: Column) -> Column:
     )
 
 
-def attach_packed(planned: DataFrame, packed: DataFrame) -> DataFrame:
+def attach_packed(planned: DataFrame, packed: DataFrame, n_tables: int) -> DataFrame:
     """Bring every prompt to its table.
 
     With fewer tables than partitions the prompts of one table are dealt to
     several tasks and the (bounded) table is copied to each.
     """
-    spark = planned.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n_tables = planned.select("table_id").distinct().limit(partitions).count()
+    partitions = int(planned.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     copies = ceil(partitions / max(n_tables, 1))
     dealt = planned.withColumn("_copy", F.pmod(F.hash("prompt_id"), F.lit(copies)))
     tables = packed.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
@@ -282,7 +301,7 @@ def attach_packed(planned: DataFrame, packed: DataFrame) -> DataFrame:
 
 
 def answer(
-    planned: DataFrame, packed: DataFrame, digits: int | None = None, encoded: bool = False,
+    planned: DataFrame, packed: "Packed", digits: int | None = None, encoded: bool = False,
     custom: dict[str, CustomFunction] | None = None,
 ) -> DataFrame:
     """Attach the answer of every prompt: scalars, lists (sliced) and their texts.
@@ -297,7 +316,7 @@ def answer(
     def is_fn(*names):
         return fn.isin(*names)
 
-    df = attach_packed(planned, packed)
+    df = attach_packed(planned, packed.tables, packed.n_tables)
     index = (
         F.when(is_fn(*AXIS_FNS), F.col("axis_index"))
         .when(is_fn(*PAIR_COLUMN_FNS), F.col("pair_col1"))
@@ -316,6 +335,8 @@ def answer(
             "whole": F.coalesce(F.get("wholes", F.col("index")), F.lit(False)) & ~on_row,
         }
     )
+    # most questions need no more of the table than the arrays just taken
+    df = df.withColumns({c: F.when(is_fn(*WHOLE_TABLE_FNS), F.col(c)) for c in ("nums", "texts")})
     x, t, cells, whole = F.col("x"), F.col("t"), F.col("cells"), F.col("whole")
     method = F.col("method")
 
