@@ -130,4 +130,5 @@ def deviation(a: Column) -> Column:
         mean(a),
         lambda m: F.aggregate(present(a), F.lit(0.0), lambda s, x: s + (x - m) * (x - m)),
     )
-    return F.sqrt(F.try_divide(squares, (F.size(present(a)) - 1).cast("double")))
+    n = F.size(present(a))
+    return F.when(n > 1, F.sqrt(squares / (n - 1).cast("double")))

@@ -126,8 +126,9 @@ def _quantiles_by_rank(values: DataFrame, keys, probs, value) -> DataFrame:
         *keys, "_part", "_t",
         F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"),
         F.sum("_t").over(by_group).alias("_n"),
-        F.explode(wanted).alias("w"),
     )
+    # a step of its own: an explode beside window functions would run before them
+    runs = runs.withColumn("w", F.explode(wanted))
     at = F.col("w.p") * (F.col("_n") - 1)
     ranks = runs.select(
         *keys, "_part", "_t", "_off", F.col("w.name").alias("name"),
