@@ -74,7 +74,9 @@ def pick(df: DataFrame, columns, col_id: Column) -> Column:
 
 def cell_lookup(df: DataFrame, requests: DataFrame, columns, row_id="row_id") -> DataFrame:
     """Cell per request (``row``, ``col``); out of range or missing gives NULL."""
-    rows = df.select(F.col(row_id).alias("row"), *columns)
+    # only asked-for rows reach the outer join; few requests are broadcast here
+    asked = requests.select("row").distinct()
+    rows = df.select(F.col(row_id).alias("row"), *columns).join(asked, "row", "left_semi")
     cell = pick(df, columns, F.col("col"))
     return (
         requests.join(rows, "row", "left")

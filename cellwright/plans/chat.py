@@ -220,14 +220,17 @@ def inject_table(turns: DataFrame, texts: DataFrame, column: str = "text") -> Da
 
     Only rows with a mark take part in the join.
     """
-    needs = F.when(F.col(column).contains(TABLE_MARK), F.col("table_id"))
+    marked = F.col(column).contains(TABLE_MARK)
+    # rows without a mark match nothing and are spread by their text
+    key = F.when(marked, F.col("table_id")).otherwise(F.xxhash64(column).cast("string"))
     wrapped = texts.select(
         F.col("table_id").alias("_table"),
+        F.lit(True).alias("_marked"),
         F.concat(F.lit(TABLE_START), F.col("table_text"), F.lit(TABLE_END)).alias("_text"),
     )
-    joined = turns.withColumn("_table", needs).join(wrapped, "_table", "left")
+    joined = turns.withColumns({"_table": key, "_marked": marked}).join(wrapped, ["_table", "_marked"], "left")
     filled = F.when(F.col("_text").isNotNull(), F.replace(F.col(column), F.lit(TABLE_MARK), F.col("_text")))
-    return joined.withColumn(column, F.coalesce(filled, F.col(column))).drop("_table", "_text")
+    return joined.withColumn(column, F.coalesce(filled, F.col(column))).drop("_table", "_marked", "_text")
 
 
 def build_training_text(turns: DataFrame, tables: DataFrame, columns, style_name: str = "llama_3", base: int = 1):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cellwright.functions import rows as R
 from cellwright.operators import cells as C, columns as K
-from cellwright.operators.rows import row_answers, spread_array
+from cellwright.operators.rows import row_aggregates, row_answers, spread_array
 
 from .base import (
     CELL_REQUESTS, CORPUS_LI, ORDER_CELLS, ORDERS_N, ROW_LIST, SIGNED, TIES, query,
@@ -227,6 +227,16 @@ def _row_query(name, answers, sql_columns):
         return row_answers(t.rows_num(), ROW_COLS, answers, ROW_KEYS)
 
 
+def _row_measures(name, measures, sql_columns, digits=None):
+    @query(name, f"WITH {ROW_LIST} SELECT l_orderkey, l_partkey, l_linenumber, {sql_columns} FROM row_list")
+    def run(t):
+        out = row_aggregates(t.rows_num(), ROW_COLS, measures, ROW_KEYS)
+        for m in measures:
+            if digits is not None:
+                out = out.withColumn(m, F.round(m, digits))
+        return out
+
+
 def _p(expr, width=4):
     return ", ".join(f"({expr})[{i + 1}] AS p{i}" for i in range(width))
 
@@ -248,11 +258,11 @@ _row_query(
     {**spread_array(R.ascending, 4), **{f"d{i}": (lambda a, i=i: F.get(R.descending(a), F.lit(i))) for i in range(4)}},
     _p("list_sort(nn)") + ", " + _p("list_reverse_sort(nn)").replace("AS p", "AS d"),
 )
-_row_query("t_max_min_rows", {"max_value": R.highest, "min_value": R.lowest},
+_row_measures("t_max_min_rows", ["max_value", "min_value"],
            "list_max(nn) AS max_value, list_min(nn) AS min_value")
-_row_query("t_sum_rows", {"sum_value": _rounded(R.total)}, "round(coalesce(list_sum(nn), 0), 6) AS sum_value")
-_row_query("t_has_missing_rows", {"has_missing": R.has_empty}, "len(nn) < 4 AS has_missing")
-_row_query("t_count_empty_rows", {"n_empty": R.empty_count}, "(4 - len(nn))::BIGINT AS n_empty")
+_row_measures("t_sum_rows", ["sum_value"], "round(coalesce(list_sum(nn), 0), 6) AS sum_value", 6)
+_row_measures("t_has_missing_rows", ["has_missing"], "len(nn) < 4 AS has_missing")
+_row_measures("t_count_empty_rows", ["n_empty"], "(4 - len(nn))::BIGINT AS n_empty")
 _row_query(
     "t_fill_missing_rows",
     spread_array(lambda a: F.transform(a, lambda x: F.coalesce(x, F.lit(42.0))), 4),
@@ -266,8 +276,8 @@ _row_query(
     "t_diffs_rows", spread_array(lambda a: F.transform(R.differences(a), lambda x: F.round(x, 4)), 4),
     _p("list_transform(a, lambda x, i: CASE WHEN i > 1 THEN round(x - a[i-1], 4) END)"),
 )
-_row_query("t_range_rows", {"value_range": _rounded(R.spread, 4)}, "round(list_max(nn) - list_min(nn), 4) AS value_range")
-_row_query("t_mean_rows", {"mean_value": _rounded(R.mean)}, "round(list_sum(nn) / len(nn), 6) AS mean_value")
+_row_measures("t_range_rows", ["value_range"], "round(list_max(nn) - list_min(nn), 4) AS value_range", 4)
+_row_measures("t_mean_rows", ["mean_value"], "round(list_sum(nn) / len(nn), 6) AS mean_value", 6)
 _row_query("t_median_rows", {"median_value": _rounded(R.median)}, f"""round(({_SORTED}[(len(nn) + 1) // 2]
   + {_SORTED}[len(nn) // 2 + 1]) / 2, 6) AS median_value""")
 _row_query(
