@@ -104,7 +104,7 @@ def read_corpus(spark: SparkSession, folder: str, include=None) -> tuple[DataFra
     def footer(path):
         try:
             return path, spark.read.parquet(path).schema, None
-        except PySparkException as e:
+        except PySparkException as e:  # missing or unreadable footer
             return path, None, type(e).__name__
         except Exception as e:  # noqa: BLE001  unreadable files surface as JVM errors
             return path, None, type(e).__name__

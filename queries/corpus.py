@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from cellwright.functions.draws import uniform
 from cellwright.functions.numbers import round_exact_sql
 from cellwright.operators import metadata as M, preprocess as P
 from cellwright.operators.cells import to_cells
@@ -14,7 +13,7 @@ from cellwright.operators.positions import number_rows
 from cellwright.sources import files as IO
 from cellwright.session import scratch_folder, store
 
-from .base import CORPUS_LI, FLAT, query
+from .base import CORPUS_LI, query
 
 SEED = 7
 

@@ -13,7 +13,7 @@ from cellwright.sources import files as IO
 
 from .base import query
 from .corpus import PROCESSED, SEED, draw_sql, processed
-from .prompts import COLUMNS, dec, fill_sql  # noqa: F401
+from .prompts import COLUMNS, dec
 
 CONV = """conv AS (SELECT * FROM conversations WHERE NOT (turn = 1 AND conv_id % 10 = 0))"""
 TRIM = CONV + """, talk AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k,
