@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chatfmt, fingerprints, sharding, urls
+from . import chatfmt, decontam, fingerprints, langid, packing, sharding, simhash, tokencount, toxicity, urls
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -24,6 +24,44 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a vocabulary file; executors have the same files installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+# ------------------------------------------------------------------ 1 decontamination
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10ffff}]+')"
+_SHINGLES = """CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END"""
+
+
+@query(
+    "op1_contained_items",
+    f"""
+WITH item_words AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+items AS (SELECT item_id, unnest({_SHINGLES}) AS shingle FROM item_words),
+sizes AS (SELECT item_id, count(*) AS n FROM items GROUP BY item_id),
+doc_words AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+docs AS (SELECT DISTINCT doc_id, unnest({_SHINGLES}) AS shingle FROM doc_words),
+found AS (SELECT doc_id, item_id, count(*) AS n_found FROM docs JOIN items USING (shingle) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n AS n_shingles, n_found, n_found / n AS containment
+FROM found JOIN sizes USING (item_id) WHERE n_found >= ceil(n * 0.8 - 1e-9)""",
+)
+def op1_contained_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that a document contains to at least 0.8."""
+    return decontam.find_contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# ------------------------------------------------------------------ 2 language ID
+@query("op2_language")
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, by a network trained on documents that are not held out."""
+    found = langid.identify(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 # ------------------------------------------------------------------ 3 sharding
 @query("op3_shard_documents")
 def op3_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +126,25 @@ def op4_chat_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ------------------------------------------------------------------ 5 SimHash
+@query("op5_simhash_groups")
+def op5_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and the groups that near fingerprints link."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# ------------------------------------------------------------------ 6 toxicity
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, by a network trained on labels that are not held out."""
+    found = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select(
+        "doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= toxicity.TOXIC).cast("int").alias("predicted"),
+    )
+
+
 # ------------------------------------------------------------------ 7 fingerprints
 @query("op7_weighted_fingerprints")
 def op7_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,3 +183,24 @@ FROM judged""",
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict of the fixed rules on every page's URL."""
     return urls.judge_urls(table(spark, sf_dir, "pages"), urls.rule_table(spark))
+
+
+# ------------------------------------------------------------------ 9 packing
+@query("op9_packed_sequences")
+def op9_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into windows of 4096 tokens."""
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+# ------------------------------------------------------------------ 10 token counts
+TOKEN_LIMIT = 1024
+
+
+@query("op10_token_counts")
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number of tokens of every document."""
+    found = tokencount.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    return found.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
