@@ -124,20 +124,21 @@ def edited_pairs(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         ((F.col("row_id") + (total - 1)) % max(total, 1)).alias("row_id"),
     )
     order = store(numbered.join(after, "row_id").select("ident", "h", "n", "next_ident", "next_h"), "documents_next")
+    # read twice below, with the same columns both times, so that texts move once
     single = keyed.groupBy("ident", "h").agg(
-        F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.count(F.lit(1)).alias("copies")
+        F.first(F.struct("doc_id", "text")).alias("doc"), F.count(F.lit(1)).alias("copies")
     )
     wanted = order.select(
         F.col("next_ident").alias("ident"), F.col("next_h").alias("h"),
         F.col("ident").alias("to_ident"), F.col("h").alias("to_h"), F.floor(F.col("n") / 4).cast("int").alias("q"),
     )
-    lent = single.join(wanted, ["ident", "h"]).select(
-        F.col("to_ident").alias("ident"), F.col("to_h").alias("h"), F.left("text", F.col("q")).alias("lent")
+    lent = single.where("copies > 0").join(wanted, ["ident", "h"]).select(
+        F.col("to_ident").alias("ident"), F.col("to_h").alias("h"), F.left("doc.text", F.col("q")).alias("lent")
     )
-    length = F.length("text")
-    kept = F.left(F.col("text"), length - F.floor(length / 4).cast("int"))
-    texts = single.join(lent, ["ident", "h"]).select(
-        "ident", "h", "doc_id", "copies", "text", F.concat(kept, "lent").alias("edited")
+    length = F.length("doc.text")
+    kept = F.left(F.col("doc.text"), length - F.floor(length / 4).cast("int"))
+    texts = single.where("copies > 0").join(lent, ["ident", "h"]).select(
+        "ident", "h", "doc.doc_id", "copies", "doc.text", F.concat(kept, "lent").alias("edited")
     )
     return texts, order.drop("n")
 
