@@ -12,6 +12,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+import queries
 from tools.check import norm
 
 FOLDER = "/root/testdata/sf0.001"
@@ -20,7 +21,7 @@ SAMPLE = [
     "profile_all", "t_corr_steps", "t_robust_steps", "corpus_cells", "build_metadata", "preprocess_corpus", "label_encode",
     "generate_prompts", "slice_result", "spans_single", "training_text", "collate", "split_exact", "manifest",
 ]
-NAMES = list(entry.queries()) if os.environ.get("ALL_QUERIES") else SAMPLE
+NAMES = list(queries.QUERIES) if os.environ.get("ALL_QUERIES") else SAMPLE
 
 
 @pytest.fixture(scope="module")
@@ -43,7 +44,7 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(queries.QUERIES) == set(queries.ORACLE)
 
 
 @pytest.mark.parametrize("name", ["t_cumsum", "t_diffs", "t_sort", "mask_target", "corpus_scale", "spans_llama3", "generate_prompts", "profile_all"])
