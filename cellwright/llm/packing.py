@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -41,39 +42,83 @@ WINDOW = 4096
 END_ID = 2
 #: open windows before the emptiest are poured out
 MOST_OPEN = 1024
-#: different pieces of text whose ids a worker remembers
-REMEMBERED = 300_000
+#: different words whose ids a worker remembers, before those of one more slice of texts
+REMEMBERED = 500_000
 
 
 class WordIds:
-    """Ids of texts under a tokenizer whose tokens never reach over white space.
+    """Ids of texts under a tokenizer of words: lower case, white space dropped, ends of words marked.
 
-    The ids of a text are those of its pieces between ASCII white space, in order;
-    a piece's ids come from the tokenizer library, once, and are remembered.
+    A text of Latin-1 characters is cut at ASCII white space into pieces; a new
+    piece is cut into words by the tokenizer's own pattern, and new words are given
+    to the library many at a time: the tokens that end a word tell their ids
+    apart. Any other text, or one with a special string, is cut at white space only, and
+    the library gets these pieces one by one. Ids of words and pieces are remembered.
     """
 
+    #: fixed value: how the tokenizer cuts texts into words
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[bytes, bytes] = {}
+        self.words_of = regex.compile(self.PATTERN).findall
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.words: dict[str, bytes] = {}
+        self.plain: dict[bytes, bytes] = {}  # pieces of Latin-1 texts, lower-cased
+        self.pieces: dict[bytes, bytes] = {}  # pieces of other texts, as they are
+
+    def cut(self, text: str) -> list[bytes] | None:
+        """Pieces of a text; None if the library has to see them as they are."""
+        if any(s[:2] in text for s in self.special):
+            return None
+        try:
+            return text.lower().encode("latin-1").split()
+        except UnicodeEncodeError:
+            return None
+
+    def learn(self, pieces: list[bytes]) -> None:
+        cut = [self.words_of(p.decode("latin-1")) for p in pieces]
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        words = list(set(itertools.chain.from_iterable(cut)) - self.words.keys())
+        for low in range(0, len(words), 5000):
+            part = words[low : low + 5000]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(part):
+                raise ValueError("the tokenizer does not mark the ends of words")
+            raw, at = ids.tobytes(), 0
+            for word, stop in zip(part, (4 * stops).tolist()):
+                self.words[word] = raw[at:stop]
+                at = stop
+        get = self.words.__getitem__
+        self.plain.update((p, b"".join(map(get, c))) for p, c in zip(pieces, cut))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        pieces = [(t or "").encode().split() for t in texts]
-        new = list(set(itertools.chain.from_iterable(pieces)) - self.known.keys())
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(set(itertools.chain.from_iterable(pieces)))
-        for low in range(0, len(new), 10_000):
-            part = new[low : low + 10_000]
-            encoded = self.tokenizer.encode_batch_fast([p.decode() for p in part], add_special_tokens=False)
-            for p, e in zip(part, encoded):
-                self.known[p] = np.array(e.ids, "<u4").tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, p)) for p in pieces]
+        cut = [self.cut(t or "") for t in texts]
+        if len(self.plain) > REMEMBERED:
+            self.plain.clear()
+        self.learn(list(set(itertools.chain.from_iterable(c for c in cut if c)) - self.plain.keys()))
+        get = self.plain.__getitem__
+        return [self.by_pieces(t) if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut)]
+
+    def by_pieces(self, text: str) -> bytes:
+        pieces = text.encode().split()
+        new = list(set(pieces) - self.pieces.keys())
+        if len(self.pieces) + len(new) > REMEMBERED:
+            self.pieces.clear()
+            new = list(set(pieces))
+        encoded = self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)
+        self.pieces.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(new, encoded))
+        return b"".join(map(self.pieces.__getitem__, pieces))
 
 
 class Packer:
