@@ -4,7 +4,7 @@ Merging is a left-to-right machine: the encoding of a prefix ends in exactly one
 token t, and it is the encoding of the prefix without t, followed by t, where t
 and the token before it form a pair that merging leaves apart. What follows
 can only depend on the longest suffix that some token still starts with, and on
-the token ending at each place in it. These make the (finitely many) states; a transition on
+the token ending at each place in it where a token could start. These make the (finitely many) states; a transition on
 a byte carries the change of the number of tokens. States and transitions are
 compiled when first needed and flushed when too many.
 
@@ -38,8 +38,8 @@ from .textbytes import text_slices
 #: fixed value: the public pattern that splits text before merging
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CHUNK = 1 << 14
-MOST_STATES = 60_000
-MOST_WORDS = 400_000
+MOST_STATES = 150_000
+MOST_WORDS = 500_000
 
 
 def _byte_letters() -> dict[str, int]:
@@ -123,12 +123,14 @@ class Transducer:
         text = state.tail + bytes((byte,))
         for p in range(len(text)):
             token = text[p:]
-            if token in self.tokens and self.stays(state.lasts[p], token):
+            if state.lasts[p] is not False and token in self.tokens and self.stays(state.lasts[p], token):
                 break
         count = state.counts[p] + 1
         keep = next((p for p in range(len(text)) if text[p:] in self.prefixes), len(text))
-        lasts = (*state.lasts[keep:], token)
-        counts = (*(c - count for c in state.counts[keep:]), 0)
+        # places where no token can start any more are all alike
+        live = [text[p:] in self.prefixes for p in range(keep, len(text))]
+        lasts = (*(t if ok else False for t, ok in zip(state.lasts[keep:], live)), token)
+        counts = (*(c - count if ok else 0 for c, ok in zip(state.counts[keep:], live)), 0)
         return self.state(text[keep:], lasts, counts), count
 
     def count(self, piece: bytes) -> int:
