@@ -37,13 +37,28 @@ def _str(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("string")
 
 
+def _exact(df: DataFrame, name: str) -> Column:
+    """Digits of a whole or decimal number that no double holds, else NULL."""
+    kind = df.schema[name].dataType
+    if not isinstance(kind, (T.LongType, T.DecimalType)):
+        return F.lit(None).cast("string")
+    wide = "decimal(38,18)" if isinstance(kind, T.DecimalType) and kind.scale else "decimal(38,0)"
+    back = F.col(name).cast("double").try_cast(wide)
+    return F.when(~F.coalesce(back == F.col(name).cast(wide), F.lit(False)), F.col(name).cast("string"))
+
+
 def cell_struct(df: DataFrame, name: str) -> Column:
     """One cell as (v_num, v_str): numbers and booleans in v_num, the rest as text."""
     return F.struct(_num(df, name).alias("v_num"), _str(df, name).alias("v_str"))
 
 
 def to_cells(df: DataFrame, table_id, row_id="row_id", columns=None) -> DataFrame:
-    """Long form: table_id, row_id, col_id, col_name, col_type, v_num, v_str. NULL cells are kept."""
+    """Long form: table_id, row_id, col_id, col_name, col_type, v_num, v_str, v_exact. NULL cells are kept.
+
+    ``v_exact`` has the digits of whole and decimal numbers beyond a double's
+    precision, so that different numbers stay different. ``columns`` may be a list
+    of names, or a dict of names to their ordinals.
+    """
     key_cols = [c for c in (table_id, row_id) if isinstance(c, str)]
     columns = columns or [c for c in df.columns if c not in key_cols]
     cells = [
@@ -53,8 +68,9 @@ def to_cells(df: DataFrame, table_id, row_id="row_id", columns=None) -> DataFram
             F.lit(df.schema[c].dataType.simpleString()).alias("col_type"),
             _num(df, c).alias("v_num"),
             _str(df, c).alias("v_str"),
+            _exact(df, c).alias("v_exact"),
         )
-        for i, c in enumerate(columns)
+        for c, i in (columns.items() if isinstance(columns, dict) else zip(columns, range(len(columns))))
     ]
     keys = [
         (k if isinstance(k, Column) else F.col(k)).alias(n)
@@ -182,15 +198,13 @@ def compare_columns(df: DataFrame, columns) -> DataFrame:
 
 
 def compare_rows(df: DataFrame, requests: DataFrame, columns, row_id="row_id") -> DataFrame:
-    """Are rows ``row1`` and ``row2`` of each request identical? NULL equals NULL."""
+    """Are rows ``row1`` and ``row2`` of each request identical? NULL equals NULL; NULL if one does not exist."""
     ends = requests.select(
         "request_id", "row1", "row2",
         F.explode(F.array("row1", "row2")).alias("row"),
     )
-    rows = df.select(F.col(row_id).alias("row"), F.struct(*columns).alias("content"))
-    # min = max over the two fetched rows; the struct itself is never NULL
-    return (
-        ends.join(rows, "row")
-        .groupBy("request_id", "row1", "row2")
-        .agg(F.min("content").eqNullSafe(F.max("content")).alias("identical"))
-    )
+    asked = ends.select("row").distinct()
+    rows = df.select(F.col(row_id).alias("row"), F.struct(*columns).alias("content")).join(asked, "row", "left_semi")
+    # the struct of a row that exists is never NULL, so both must have been found
+    same = F.when(F.count("content") == 2, F.min("content").eqNullSafe(F.max("content")))
+    return ends.join(rows, "row", "left").groupBy("request_id", "row1", "row2").agg(same.alias("identical"))

@@ -1,6 +1,6 @@
 """Corpus profiling: table sizes, column kinds, label choice, metadata records.
 
-Input is the cells form (table_id, col_id, col_name, col_type, v_num, v_str),
+Input is the cells form (table_id, col_id, col_name, col_type, v_num, v_str, v_exact),
 so tables of any schema are profiled in one aggregate.
 """
 
@@ -23,8 +23,8 @@ CATEGORICAL_PREFERENCE = 0.9
 def cell_text(col_type: str | Column = "col_type") -> Column:
     """A cell as text; NULL stays NULL."""
     kind = F.col(col_type) if isinstance(col_type, str) else col_type
-    number = F.when(F.col("v_num").isNotNull(), render_number(F.col("v_num"), kind.isin(*WHOLE_TYPES)))
-    return F.coalesce("v_str", number)
+    number = F.when(F.col("v_num").isNotNull(), render_number(F.col("v_num"), kind.isin(*WHOLE_TYPES) | kind.rlike(r"^decimal\(\d+,0\)$")))
+    return F.coalesce("v_str", "v_exact", number)
 
 
 def categorical_flag(col_type: Column) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.draws import uniform
 from ..functions.numbers import round_exact
+from ..functions.text import render_number
 from .cells import is_numeric
 from .metadata import categorical_flag
 from .positions import group_sizes, number_rows, take_lowest
@@ -134,7 +135,10 @@ def mask_target(
     # a hair above, so that n * fraction does not fall just short of a whole number
     how_many = F.floor(F.col("n") * F.lit(fraction) + F.lit(1e-9))
     marked = take_lowest(drawn, "_u", [row_id], how_many, keys, out="_masked", sizes=sizes)
+    kind = df.schema[target].dataType
     text = F.col(target).cast("string")
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        text = F.when(F.col(target).isNotNull(), render_number(F.col(target)))
     return marked.withColumn("original", F.when(F.col("_masked"), F.coalesce(text, F.lit("nan")))).withColumn(
         target, F.when(F.col("_masked"), F.lit(token)).otherwise(text)
     ).select(*df.columns, "original")
@@ -167,8 +171,6 @@ def downsample(
 ) -> DataFrame:
     """At most ``n`` rows per table, a seeded choice without replacement."""
     sizes = group_sizes(df, keys) if sizes is None else sizes
-    if (sizes.agg(F.max("n")).first()[0] or 0) <= n:
-        return df
     drawn = df.withColumn("_u", uniform(seed, *keys, row_id, F.lit("rows")))
     kept = take_lowest(drawn, "_u", [row_id], F.least(F.col("n"), F.lit(n)), keys, out="_kept", sizes=sizes)
     return kept.where("_kept").select(*df.columns)

@@ -8,9 +8,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.rows import lerp
 from ..session import store
 
-#: largest group (rows) for which one task may build an exact quantile buffer
-SMALL_GROUP = 1_000_000
-
 BASICS = {
     "n_values": lambda c: F.count(c),
     "n_empty": lambda c: F.count_if(c.isNull()),
@@ -85,27 +82,13 @@ def distinct_and_mode(values: DataFrame, keys, value="v") -> DataFrame:
     )
 
 
-def exact_quantiles(
-    values: DataFrame, keys, probs: dict[str, float], value="v", small_group=SMALL_GROUP
-) -> DataFrame:
+def exact_quantiles(values: DataFrame, keys, probs: dict[str, float], value="v") -> DataFrame:
     """Exact interpolated quantiles per group, one column per name in ``probs``.
 
-    The size of the largest group is measured first. Up to ``small_group`` rows
-    the built-in ``percentile`` is used; beyond it the quantiles are read off
-    range-partitioned value counts, so no task sees a whole group.
+    They are read off range-partitioned value counts, so no task sees a whole group.
     """
     keys = list(keys)
     values = values.where(F.col(value).isNotNull()).select(*keys, value)
-    sizes = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    biggest = sizes.agg(F.max("n")).first()[0] or 0
-    if biggest <= small_group:
-        picked = F.percentile(F.col(value).cast("double"), F.array(*[F.lit(p) for p in probs.values()]))
-        out = values.groupBy(*keys).agg(picked.alias("_q"))
-        return out.select(*keys, *[F.get("_q", F.lit(i)).alias(n) for i, n in enumerate(probs)])
-    return _quantiles_by_rank(values, keys, probs, value)
-
-
-def _quantiles_by_rank(values: DataFrame, keys, probs, value) -> DataFrame:
     order = [F.col(k) for k in keys] + [F.col(value)]
     placed = store(
         value_counts(values, keys, value)
@@ -157,7 +140,7 @@ def _quantiles_by_rank(values: DataFrame, keys, probs, value) -> DataFrame:
     )
 
 
-def profile(df: DataFrame, columns, keys=(), small_group=SMALL_GROUP) -> DataFrame:
+def profile(df: DataFrame, columns, keys=()) -> DataFrame:
     """Count, empties, distinct, min, max, range, sum, mean, std, quartiles and
     mode of every numeric column, per key when keys are given."""
     group = [*keys, "col_id", "col_name"]
@@ -165,7 +148,7 @@ def profile(df: DataFrame, columns, keys=(), small_group=SMALL_GROUP) -> DataFra
     basics = column_aggregates(df, columns, tuple(BASICS), keys)
     tops = distinct_and_mode(values, group)
     probs = {"q1": 0.25, "median_value": 0.5, "q3": 0.75}
-    quartiles = exact_quantiles(values, group, probs, small_group=small_group)
+    quartiles = exact_quantiles(values, group, probs)
     return (
         basics.join(tops, group, "left")
         .join(quartiles, group, "left")
@@ -237,7 +220,7 @@ def all_correlations(df: DataFrame, columns, keys=()) -> DataFrame:
 METHODS = ("normalize", "standardize", "robust_scale")
 
 
-def scaling_stats(df: DataFrame, value: str, method: str, keys=(), small_group=SMALL_GROUP) -> DataFrame:
+def scaling_stats(df: DataFrame, value: str, method: str, keys=()) -> DataFrame:
     """The centre and the width that ``method`` subtracts and divides by."""
     v = F.col(value).cast("double")
     if method == "normalize":
@@ -246,7 +229,7 @@ def scaling_stats(df: DataFrame, value: str, method: str, keys=(), small_group=S
         aggs = [F.avg(v).alias("center"), F.stddev_samp(v).alias("width")]
     elif method == "robust_scale":
         q = exact_quantiles(
-            df, keys, {"q1": 0.25, "center": 0.5, "q3": 0.75}, value, small_group
+            df, keys, {"q1": 0.25, "center": 0.5, "q3": 0.75}, value
         )
         return q.select(*keys, "center", (F.col("q3") - F.col("q1")).alias("width"))
     else:
@@ -254,7 +237,7 @@ def scaling_stats(df: DataFrame, value: str, method: str, keys=(), small_group=S
     return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
 
 
-def scale(df: DataFrame, value: str, method: str, row_id="row_id", keys=(), small_group=SMALL_GROUP) -> DataFrame:
+def scale(df: DataFrame, value: str, method: str, row_id="row_id", keys=()) -> DataFrame:
     """Scaled values; missing ones drop out, a zero width gives NULL.
 
     One table: the statistics enter as a scalar subquery. Many tables: an
@@ -262,7 +245,7 @@ def scale(df: DataFrame, value: str, method: str, row_id="row_id", keys=(), smal
     statistics are small and splits when one table is huge.
     """
     keys = list(keys)
-    stats = scaling_stats(df, value, method, keys, small_group)
+    stats = scaling_stats(df, value, method, keys)
     rows = df.where(F.col(value).isNotNull())
     v = F.col(value).cast("double")
     if keys:
@@ -274,7 +257,7 @@ def scale(df: DataFrame, value: str, method: str, row_id="row_id", keys=(), smal
     return rows.select(*keys, row_id, F.try_divide(v - center, width).alias("value"))
 
 
-def scale_steps(df: DataFrame, value: str, method: str, small_group=SMALL_GROUP) -> DataFrame:
+def scale_steps(df: DataFrame, value: str, method: str) -> DataFrame:
     """One row: statistics before scaling, and the ones to check after it."""
     v = F.col(value).cast("double")
     before = df.agg(
@@ -282,15 +265,15 @@ def scale_steps(df: DataFrame, value: str, method: str, small_group=SMALL_GROUP)
         F.min(v).alias("min"), F.max(v).alias("max"),
     )
     probs = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    quart = exact_quantiles(df, [], probs, value, small_group)
-    scaled = scale(df, value, method, small_group=small_group)
+    quart = exact_quantiles(df, [], probs, value)
+    scaled = scale(df, value, method)
     s = F.col("value")
     if method == "normalize":
         after = scaled.agg(F.min(s).alias("after_min"), F.max(s).alias("after_max"), F.avg(s).alias("after_mean"))
     elif method == "standardize":
         after = scaled.agg(F.avg(s).alias("after_mean"), F.stddev_samp(s).alias("after_std"))
     else:
-        q = exact_quantiles(scaled, [], probs, "value", small_group)
+        q = exact_quantiles(scaled, [], probs, "value")
         after = q.select(F.col("median").alias("after_median"), (F.col("q3") - F.col("q1")).alias("after_iqr"))
     q, a = quart.select(F.struct("*")).scalar(), after.select(F.struct("*")).scalar()
     return before.select(

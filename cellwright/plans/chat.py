@@ -133,8 +133,13 @@ def chat_pieces(numbered: DataFrame, s: Style) -> DataFrame:
     return numbered.withColumns({"piece": piece, "lead": lead})
 
 
+def rejected(turns: DataFrame) -> DataFrame:
+    """conv_id, n_turns of the conversations that ``prepare`` leaves out: roles do not alternate."""
+    return alternation_report(trim_turns(turns)).where("NOT alternates").select("conv_id", "n_turns")
+
+
 def prepare(turns: DataFrame, s: Style) -> DataFrame:
-    """Trimmed, numbered turns with their pieces; broken conversations are left out."""
+    """Trimmed, numbered turns with their pieces; broken conversations are left out, ``rejected`` names them."""
     numbered = number_turns(trim_turns(turns))
     expected = F.when(F.col("i") % 2 == 0, F.lit("user")).otherwise(F.lit("assistant"))
     broken = numbered.where(F.col("role") != expected).select("conv_id").distinct()

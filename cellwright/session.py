@@ -2,38 +2,39 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folder: dict[str, str] = {}
+_stored: dict[str, list[str]] = {}
 
 
 def scratch_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Without that setting a temporary folder is made, but only in local mode,
-    where driver and executors share one machine.
+    Without that setting a folder in the warehouse is used, which driver and
+    executors share as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_folder:
-        _local_folder[app] = tempfile.mkdtemp(prefix="cellwright-")
-    return _local_folder[app]
+    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate").rstrip("/")
 
 
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back.
 
     Cuts lineage, survives the loss of executors, keeps column pruning and
-    gives later joins real file sizes to plan with.
+    gives later joins real file sizes to plan with. ``release`` deletes what was stored.
     """
     spark = df.sparkSession
     path = f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _stored.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the tables this session has stored; results that read them are over."""
+    jvm = spark.sparkContext._jvm
+    for path in _stored.pop(spark.sparkContext.applicationId, []):
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

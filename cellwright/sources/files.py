@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.cells import nan_to_null, to_cells
-from ..operators.positions import number_rows
+from ..operators.positions import number_rows, prefix_sum
 
 CELL_TYPES = (
     T.NumericType, T.StringType, T.BooleanType, T.TimestampType, T.TimestampNTZType, T.DateType,
@@ -37,12 +37,20 @@ PROMPT_SCHEMA = "id string, table string, conversations array<struct<`from`:stri
 
 def read_table(spark: SparkSession, path: str, row_id: bool = False) -> DataFrame:
     """One Parquet table. ``row_id`` is the position in the file, read from the
-    file itself, so it costs neither a sort nor a shuffle."""
+    file itself, so it costs neither a sort nor a shuffle. Files of a folder
+    follow each other by name: each starts after the rows of the ones before it."""
     df = spark.read.parquet(path)
     columns = df.columns
-    if row_id:
-        df = df.select(*columns, F.col("_metadata.row_index").alias("row_id"))
-    return nan_to_null(df)
+    if not row_id:
+        return nan_to_null(df)
+    place = F.col("_metadata.row_index")
+    if len(df.inputFiles()) == 1:
+        return nan_to_null(df.select(*columns, place.alias("row_id")))
+    placed = df.select(*columns, F.col("_metadata.file_path").alias("_file"), place.alias("_row"))
+    sizes = number_rows(placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_n")), ["_file"], out="_k")
+    starts = prefix_sum(sizes, "_k", "_n", out="_upto").select("_file", (F.col("_upto") - F.col("_n")).alias("_start"))
+    whole = placed.join(starts, "_file").select(*columns, (F.col("_row") + F.col("_start")).alias("row_id"))
+    return nan_to_null(whole)
 
 
 def read_csv(spark: SparkSession, path: str, header: bool, schema=None) -> DataFrame:
@@ -90,7 +98,7 @@ def list_files(spark: SparkSession, folder: str) -> list[str]:
 
 
 def read_corpus(spark: SparkSession, folder: str, include=None) -> tuple[DataFrame, DataFrame]:
-    """All tables of a folder as cells, and the tables that could not be read.
+    """All tables of a folder as cells, and the tables and columns that could not be read.
 
     Parquet and CSV files are dispatched on their suffix, other files skipped.
     Parquet files with the same schema are read as one scan, and only footers
@@ -118,7 +126,11 @@ def read_corpus(spark: SparkSession, folder: str, include=None) -> tuple[DataFra
 
     parts = []
     for schema, paths in groups.values():
-        usable = [f.name for f in schema.fields if isinstance(f.dataType, CELL_TYPES)]
+        usable = {f.name: i for i, f in enumerate(schema.fields) if isinstance(f.dataType, CELL_TYPES)}
+        for f in schema.fields:
+            if f.name not in usable:
+                problem = f"column {f.name}: no cells for {f.dataType.simpleString()}"
+                rejects += [(p.rsplit("/", 1)[-1], problem) for p in paths]
         if not usable:
             continue
         df = spark.read.schema(schema).parquet(*paths).select(
@@ -185,13 +197,14 @@ def parse_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.lit("double").alias("col_type"),
         F.when(~F.isnan(number), number).alias("v_num"),
         F.lit(None).cast("string").alias("v_str"),
+        F.lit(None).cast("string").alias("v_exact"),
     )
     return cells, bad
 
 
 def missing_tables(meta: DataFrame, cells: DataFrame) -> DataFrame:
     """Metadata entries without any data."""
-    return meta.join(cells.select("table_id"), "table_id", "left_anti")
+    return meta.join(cells.select("table_id").distinct(), "table_id", "left_anti")
 
 
 def labelled_tables(meta: DataFrame) -> DataFrame:

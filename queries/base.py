@@ -167,7 +167,7 @@ CORPUS_LI = """corpus_li AS (
     l_extendedprice, l_discount, l_tax, l_linestatus, l_returnflag
   FROM lineitem)"""
 #: cells of orders_n; numbers in v_num, everything else in v_str
-ORDER_CELLS = ORDERS_N + """, order_cells AS (
+ORDER_CELLS = ORDERS_N + """, order_cells AS MATERIALIZED (
   SELECT row_id, 0 AS col, o_orderkey::DOUBLE AS v_num, NULL::VARCHAR AS v_str FROM orders_n
   UNION ALL SELECT row_id, 1, o_custkey::DOUBLE, NULL FROM orders_n
   UNION ALL SELECT row_id, 2, NULL, o_orderstatus FROM orders_n

@@ -32,25 +32,36 @@ MIXED = {
     "supplier": [("s_suppkey", "bigint"), ("s_name", "string"), ("s_nationkey", "int"), ("s_acctbal", "double")],
     "part": [("p_partkey", "bigint"), ("p_name", "string"), ("p_brand", "string"), ("p_type", "string"), ("p_size", "int"), ("p_retailprice", "double")],
     "orders": [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")],
+    "lineitem": [("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_linenumber", "int"), ("l_quantity", "double"),
+                 ("l_extendedprice", "double"), ("l_discount", "double"), ("l_tax", "double"), ("l_returnflag", "string"), ("l_linestatus", "string"),
+                 ("l_shipdate", "timestamp_ntz")],
+    "events": [("event_id", "bigint"), ("ts", "timestamp_ntz"), ("user_id", "bigint"), ("event_type", "string"), ("value", "double"), ("props", "string")],
+    "documents": [("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "bigint")],
+    "embeddings": [("vec_id", "bigint"), ("embedding", "array<float>"), ("label", "int")],
+    "pages": [("page_id", "bigint"), ("url", "string"), ("html", "string")],
+    "benchmark": [("item_id", "bigint"), ("text", "string")],
+    "labels": [("doc_id", "bigint"), ("quality", "int"), ("toxic", "int")],
+    "conversations": [("conv_id", "bigint"), ("turn", "bigint"), ("role", "string"), ("text", "string")],
 }
-FILES = [f"{n}.parquet" for n in MIXED]
 
 
 def _cells_sql(table_id, source, columns, row="row_number() OVER () - 1", order=None):
     parts = []
     for i, (c, ty) in enumerate(columns):
+        if ty.startswith("array"):  # reported by the reader, no cells
+            continue
         number = ty in ("int", "bigint", "double")
         num = f"{c}::DOUBLE" if number else "NULL::DOUBLE"
         text = "NULL::VARCHAR" if number else f"{c}::VARCHAR"
         parts.append(
             f"SELECT '{table_id}' AS table_id, {row} AS row_id, {i} AS col_id, '{c}' AS col_name, "
-            f"'{ty}' AS col_type, {num} AS v_num, {text} AS v_str FROM {source}"
+            f"'{ty}' AS col_type, {num} AS v_num, {text} AS v_str, NULL::VARCHAR AS v_exact FROM {source}"
         )
     return " UNION ALL ".join(parts)
 
 
 MIXED_CELLS = "mixed AS (" + " UNION ALL ".join(
-    _cells_sql(f"{t}.parquet", t, cols, f"row_number() OVER (ORDER BY {cols[0][0]}) - 1") for t, cols in MIXED.items()
+    _cells_sql(f"{t}.parquet", t, cols, "row_number() OVER () - 1") for t, cols in MIXED.items()
 ) + ")"
 #: the suppliers as a zero-padded synthetic table
 PADDED = [("s_suppkey", "bigint"), ("s_nationkey", "int"), ("s_acctbal", "double"), ("z0", "int"), ("z1", "int"), ("s_label", "int")]
@@ -79,7 +90,7 @@ STATS = LABELS + """, label_stats AS (SELECT *, num_classes <> 0 AS is_classific
 
 
 def mixed_cells(t):
-    return IO.read_corpus(t.spark, t.dir, FILES)[0]
+    return IO.read_corpus(t.spark, t.dir)[0]
 
 
 def corpus_cells(t):
@@ -102,6 +113,33 @@ def scan_parquet(t):
     return IO.read_table(t.spark, f"{t.dir}/orders.parquet", row_id=True)
 
 
+@query("scan_many_files", "SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) - 1 AS row_id FROM orders")
+def scan_many_files(t):
+    """The same table in several files, in order."""
+    path = _fresh(t, "parts")
+    t.table("orders").select("o_orderkey", "o_totalprice").repartitionByRange(7, "o_orderkey").sortWithinPartitions("o_orderkey").write.parquet(path)
+    return IO.read_table(t.spark, path, row_id=True)
+
+
+@query("corpus_column_rejects", "SELECT 'embeddings.parquet' AS table_id, 'column embedding: no cells for array<float>' AS problem FROM (SELECT 1 FROM embeddings LIMIT 1)")
+def corpus_column_rejects(t):
+    return IO.read_corpus(t.spark, t.dir)[1]
+
+
+BIG = """big AS (SELECT c_custkey, 1152921504606846976 + c_custkey % 97 AS near, (9007199254740993 + c_custkey)::DECIMAL(20,0) AS wide FROM customer)"""
+
+
+@query("exact_distinct", f"""WITH {BIG} SELECT 0 AS col_id, count(DISTINCT near) AS n_distinct, max(length(near::VARCHAR))::INT AS max_len FROM big
+UNION ALL SELECT 1, count(DISTINCT wide), max(length(wide::VARCHAR))::INT FROM big""")
+def exact_distinct(t):
+    """Distinct counts of whole numbers that a double does not tell apart."""
+    k = F.col("c_custkey")
+    big = t.table("customer").select(
+        k, (F.lit(1 << 60) + k % 97).alias("near"), (F.lit(9007199254740993) + k).cast("decimal(20,0)").alias("wide"))
+    out = M.column_profile(to_cells(big, F.lit("big"), "c_custkey", ["near", "wide"]))
+    return out.select("col_id", "n_distinct", "max_len")
+
+
 @query("corpus_cells", f"WITH {MIXED_CELLS} SELECT * FROM mixed")
 def corpus_cells_q(t):
     return mixed_cells(t)
@@ -118,15 +156,14 @@ def scan_csv_roundtrip(t):
     return IO.read_csv(t.spark, path, header=True, schema=part.schema)
 
 
-@query("sink_roundtrip", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority AS table_id FROM orders")
+@query("sink_roundtrip", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority AS table_id, format FROM orders, (VALUES ('parquet'), ('csv')) f(format)")
 def sink_roundtrip(t):
     o = t.table("orders").select("o_orderkey", "o_custkey", "o_totalprice", F.col("o_orderpriority").alias("table_id"))
     out = []
-    for fmt, wanted in (("parquet", F.col("o_orderkey") % 2 == 0), ("csv", F.col("o_orderkey") % 2 == 1)):
+    for fmt in ("parquet", "csv"):
         path = _fresh(t, fmt)
         IO.write_tables(o, path, fmt)
-        # each format supplies half of the rows of the comparison
-        out.append(IO.read_tables(t.spark, path, o.schema, fmt).where(wanted))
+        out.append(IO.read_tables(t.spark, path, o.schema, fmt).withColumn("format", F.lit(fmt)))
     return out[0].unionByName(out[1])
 
 
@@ -372,6 +409,15 @@ def masked_info(t):
     return P.masked_info(mask_target(t), ["table_id"])
 
 
+@query("masked_balances", f"""WITH b AS (SELECT c_custkey AS row_id, abs(c_acctbal) * 100000 AS v FROM customer), m AS (SELECT *,
+  row_number() OVER (ORDER BY {draw_sql('row_id', "'mask'")}, row_id) <= floor(count(*) OVER () * 0.15 + 1e-9) AS hit FROM b)
+SELECT row_id, v::VARCHAR AS original FROM m WHERE hit""")
+def masked_balances(t):
+    """Masked numbers beyond 1e7 are kept as plain digits."""
+    b = t.table("customer").select(F.col("c_custkey").alias("row_id"), (F.abs("c_acctbal") * 100000).alias("v"))
+    return P.masked_info(P.mask_target(b, "v", 0.15, "missing", SEED))
+
+
 @query("round_floats", f"""SELECT c_custkey, {round_exact_sql('c_acctbal', 2)} AS c_acctbal,
   {round_exact_sql('c_acctbal / 8', 2)} AS eighth FROM customer""")
 def round_floats(t):

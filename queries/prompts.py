@@ -370,13 +370,16 @@ def prompt_records(t):
 
 
 @query("render_number", f"""SELECT o_orderkey, {dec('o_totalprice')} AS price, {dec('round(o_totalprice / 1e6, 6)')} AS millions,
-  o_orderkey::VARCHAR AS whole, printf('%.1f', o_orderkey * 1e9::DOUBLE) AS large FROM orders""")
+  o_orderkey::VARCHAR AS whole, printf('%.1f', o_orderkey * 1e9::DOUBLE) AS large,
+  '1' || repeat('0', 20 + (o_orderkey % 3)::INT) || '.0' AS huge, '0.' || repeat('0', 20 + (o_orderkey % 3)::INT) || '1' AS tiny FROM orders""")
 def render_number_q(t):
     price = F.col("o_totalprice")
     return t.table("orders").select(
         "o_orderkey", render_number(price).alias("price"), render_number(F.round(price / 1e6, 6)).alias("millions"),
         render_number(F.col("o_orderkey").cast("double"), True).alias("whole"),
         render_number(F.col("o_orderkey") * F.lit(1e9)).alias("large"),
+        render_number(F.concat(F.lit("1e"), 20 + F.col("o_orderkey") % 3).cast("double")).alias("huge"),
+        render_number(F.concat(F.lit("1e-"), 21 + F.col("o_orderkey") % 3).cast("double")).alias("tiny"),
     )
 
 

@@ -114,6 +114,8 @@ def profile_all(t):
     return _profile_rounded(a.unionByName(b))
 
 
+#: the values have two decimals: a mean to four, from whole numbers, depends on no order of adding
+_EXACT_MEAN = "((round(sum(v) * 100)::BIGINT * 200 + count(v)) // (2 * count(v))) / 10000"
 _CORPUS_COLS = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
@@ -121,10 +123,11 @@ _CORPUS_COLS = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "
     f"SELECT table_id, {i} AS col_id, '{c}' AS col_name, {c}::DOUBLE AS v FROM corpus_li" for i, c in enumerate(_CORPUS_COLS))
     + """), best AS (SELECT table_id, col_id, v AS mode_value, row_number() OVER (PARTITION BY table_id, col_id ORDER BY n DESC, v) AS k
   FROM (SELECT table_id, col_id, v, count(*) AS n FROM m WHERE v IS NOT NULL GROUP BY ALL)), p AS (
-  SELECT table_id, col_id, col_name, """ + _PROFILE.replace("{c}", "v") + """ FROM m GROUP BY ALL)
+  SELECT table_id, col_id, col_name, """ + _PROFILE.replace("{c}", "v").replace("round(avg(v), 4)", _EXACT_MEAN) + """ FROM m GROUP BY ALL)
 SELECT p.*, mode_value FROM p LEFT JOIN best USING (table_id, col_id) WHERE k = 1""")
 def corpus_profile(t):
-    return _profile_rounded(S.profile(t.corpus_li(), _CORPUS_COLS, ["table_id"]))
+    out = _profile_rounded(S.profile(t.corpus_li(), _CORPUS_COLS, ["table_id"]))
+    return out.withColumn("mean_value", F.expr("(cast(round(sum_value * 100) as bigint) * 200 + n_values) div (2 * n_values) / 10000"))
 
 
 @query("row_profile", f"""WITH {ROW_LIST} SELECT l_orderkey, l_partkey, l_linenumber, len(nn) AS n_values,

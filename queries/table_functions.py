@@ -103,12 +103,16 @@ def t_compare_cols(t):
 
 
 @query("t_compare_rows", f"""WITH {TIES}, s AS (SELECT row_id, p_size FROM ties),
-r AS (SELECT p_partkey AS request_id, p_partkey AS row1, (p_partkey * 7) % 50 AS row2 FROM part)
-SELECT request_id, row1, row2, a.p_size IS NOT DISTINCT FROM b.p_size AS identical
-FROM r JOIN s a ON a.row_id = row1 JOIN s b ON b.row_id = row2""")
+r AS (SELECT p_partkey AS request_id, CASE WHEN p_partkey % 17 = 0 THEN -1 ELSE p_partkey END AS row1,
+  CASE WHEN p_partkey % 13 = 0 THEN p_partkey + 1000000000 ELSE (p_partkey * 7) % 50 END AS row2 FROM part)
+SELECT request_id, row1, row2, CASE WHEN a.row_id IS NOT NULL AND b.row_id IS NOT NULL THEN a.p_size IS NOT DISTINCT FROM b.p_size END AS identical
+FROM r LEFT JOIN s a ON a.row_id = row1 LEFT JOIN s b ON b.row_id = row2""")
 def t_compare_rows(t):
     k = F.col("p_partkey")
-    requests = t.table("part").select(k.alias("request_id"), k.alias("row1"), ((k * 7) % 50).alias("row2"))
+    requests = t.table("part").select(
+        k.alias("request_id"), F.when(k % 17 == 0, F.lit(-1).cast("bigint")).otherwise(k).alias("row1"),
+        F.when(k % 13 == 0, k + 1_000_000_000).otherwise((k * 7) % 50).alias("row2"),
+    )
     return C.compare_rows(t.ties(), requests, ["p_size"])
 
 

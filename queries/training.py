@@ -15,7 +15,9 @@ from .base import query
 from .corpus import PROCESSED, SEED, draw_sql, processed
 from .prompts import COLUMNS, dec
 
-CONV = """conv AS (SELECT * FROM conversations WHERE NOT (turn = 1 AND conv_id % 10 = 0))"""
+CONV = """conv AS (SELECT * FROM conversations)"""
+#: one turn is missing in every tenth conversation, which breaks the order there
+GAPS = """conv AS (SELECT * FROM conversations WHERE NOT (turn = 1 AND conv_id % 10 = 0))"""
 TRIM = CONV + """, talk AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k,
   count(*) OVER (PARTITION BY conv_id) AS m FROM conv WHERE role <> 'system'),
 trimmed AS (SELECT conv_id, turn, role, text FROM talk
@@ -25,8 +27,8 @@ report AS (SELECT conv_id, count(*) AS n_turns, bool_and(role = CASE WHEN i % 2
   FROM numbered GROUP BY 1)"""
 
 
-def conv(t):
-    """Conversations; one turn is missing in every tenth, which breaks the order there."""
+def gaps(t):
+    """Conversations with one turn missing in every tenth, beside the whole ones."""
     return t.table("conversations").where(~((F.col("turn") == 1) & (F.col("conv_id") % 10 == 0)))
 
 
@@ -65,14 +67,22 @@ SPAN = {
 }
 
 
-@query("trim_turns", f"WITH {TRIM} SELECT conv_id, turn, role, text FROM trimmed")
+BROKEN = TRIM.replace(CONV, GAPS)
+
+
+@query("trim_turns", f"WITH {BROKEN} SELECT conv_id, turn, role, text FROM trimmed")
 def trim_turns(t):
-    return H.trim_turns(conv(t))
+    return H.trim_turns(gaps(t))
+
+
+@query("rejected_conversations", f"WITH {BROKEN} SELECT conv_id, n_turns FROM report WHERE NOT alternates")
+def rejected_conversations(t):
+    return H.rejected(gaps(t))
 
 
-@query("alternation_report", f"WITH {TRIM} SELECT * FROM report")
+@query("alternation_report", f"WITH {BROKEN} SELECT * FROM report")
 def alternation_report(t):
-    return H.alternation_report(H.trim_turns(conv(t)))
+    return H.alternation_report(H.trim_turns(gaps(t)))
 
 
 @query("mark_table", """SELECT conv_id, turn, role, CASE WHEN turn = min(turn) OVER (PARTITION BY conv_id)
@@ -85,7 +95,7 @@ def _render(name):
     @query(f"render_{name.replace('_', '')}" if name.startswith("llama") else f"render_{name}",
            f"WITH {TRIM}, {pieces_sql(H.STYLES[name])} SELECT * FROM texts")
     def run(t):
-        return H.render_chat(conv(t), name)
+        return H.render_chat(t.table("conversations"), name)
 
 
 for _n in H.STYLES:
@@ -98,7 +108,7 @@ def _spans(name):
     @query(f"spans_{name.replace('_', '')}", f"""WITH {TRIM}, {pieces_sql(H.STYLES[name])}
 SELECT conv_id, i, ({start})::BIGINT AS start, ({end})::BIGINT AS "end" FROM placed WHERE role = 'assistant'""")
     def run(t):
-        return H.supervised_spans(conv(t), name)
+        return H.supervised_spans(t.table("conversations"), name)
 
 
 for _n in SPAN:
@@ -174,7 +184,7 @@ def tokens(t):
     """Character codes of the rendered conversations; the end mark is one code."""
     text = F.replace("text", F.lit("<|eot_id|>"), F.lit("\x03"))
     codes = F.transform(F.split(text, ""), lambda c: F.ascii(c))
-    return H.render_chat(conv(t), "llama_3").select("conv_id", codes.alias("input_ids"))
+    return H.render_chat(t.table("conversations"), "llama_3").select("conv_id", codes.alias("input_ids"))
 
 
 def labelled(t):

@@ -29,7 +29,7 @@ def test_round_exact_on_any_doubles(spark, values):
 
 
 def test_render_number(spark):
-    cases = [(25.0, False, "25.0"), (25.0, True, "25"), (0.125, False, "0.125"), (1e7, False, "10000000.0"), (-3.5, False, "-3.5"), (None, False, "nan"), (100.0, False, "100.0")]
+    cases = [(25.0, False, "25.0"), (25.0, True, "25"), (0.125, False, "0.125"), (1e7, False, "10000000.0"), (-3.5, False, "-3.5"), (None, False, "nan"), (100.0, False, "100.0"), (1e20, False, "100000000000000000000.0"), (-1.25e-7, False, "-0.000000125"), (1.5e300, True, "15" + "0" * 299), (12345678.5, False, "12345678.5"), (5e20, True, "5" + "0" * 20), (0.0, True, "0"), (1e-19, False, "0.0000000000000000001")]
     df = spark.createDataFrame([(v, w) for v, w, _ in cases], "v double, w boolean")
     assert [r[0] for r in df.select(render_number(F.col("v"), F.col("w"))).collect()] == [c for *_, c in cases]
 
