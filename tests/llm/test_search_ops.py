@@ -60,10 +60,10 @@ def test_contained_items_match_brute_force(spark):
     df = spark.createDataFrame([(*d, "x") for d in docs], DOCS + ", shingle string")
     it = spark.createDataFrame(items, "item_id long, text string")
     got = {(r["doc_id"], r["item_id"]): (r["n_shingles"], r["n_found"]) for r in decontam.find_contained(df, it).collect()}
-    assert got == brute_contained(docs, items) and len(got) > 60
+    assert got == brute_contained(docs, items) and len(got) > 40
     kept = decontam.drop_contaminated(df, it).collect()
     bad = {d for d, _ in got if d is not None}
-    assert sorted((r["doc_id"] or -1) for r in kept) == sorted(d if d is not None else -1 for d, _ in docs if d not in bad)
+    assert sorted(r["doc_id"] if r["doc_id"] is not None else -1 for r in kept) == sorted(d if d is not None else -1 for d, _ in docs if d not in bad)
     assert kept[0].asDict().keys() == {"doc_id", "text", "shingle"}
     assert decontam.find_contained(df.where("false"), it).collect() == []
     assert decontam.find_contained(df, it.where("false")).collect() == []
