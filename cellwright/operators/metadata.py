@@ -34,6 +34,8 @@ def categorical_flag(col_type: Column) -> Column:
 
 def column_profile(cells: DataFrame) -> DataFrame:
     """One row per column: n_rows, n_distinct, max_len, active, categorical."""
+    if "v_exact" not in cells.columns:
+        cells = cells.withColumn("v_exact", F.lit(None).cast("string"))
     text = cells.withColumn("_text", cell_text())
     return text.groupBy("table_id", "col_id", "col_name", "col_type").agg(
         F.count(F.lit(1)).alias("n_rows"),

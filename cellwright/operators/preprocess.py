@@ -32,7 +32,7 @@ class Options:
     decimals: int = 2
     context_length: int = 250_000
     tokens_per_cell: int = 10
-    keep_all_rows: bool = False      # encoder training: no row budget
+    keep_all_rows: bool = True       # False: the row budget of question making
     seed: int = 11
 
 

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.cells import nan_to_null, to_cells
 from ..operators.positions import number_rows, prefix_sum
@@ -73,9 +72,16 @@ def write_records(df: DataFrame, path: str) -> None:
     df.write.json(path)
 
 
-def write_tables(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """A corpus, one folder per table, so later reads prune to the tables they need."""
-    writer = df.write.partitionBy("table_id")
+def write_tables(df: DataFrame, path: str, fmt: str = "parquet", rows_per_file: int = 1_000_000) -> None:
+    """One folder ``table_id=<name>`` per table, in files of about ``rows_per_file`` rows.
+
+    A table's rows are dealt to as many tasks as it has files, so a very large
+    table is written by many, and a small one in a single file.
+    """
+    sizes = df.groupBy("table_id").agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_files"))
+    kept = [c for c in df.columns if c != "table_id"]
+    dealt = df.join(sizes, "table_id").withColumn("_file", F.pmod(F.xxhash64(*kept), F.col("_files")))
+    writer = dealt.repartition("table_id", "_file").select(*df.columns).write.partitionBy("table_id")
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.format(fmt).save(path)
@@ -89,38 +95,55 @@ def read_tables(spark: SparkSession, path: str, schema, fmt: str = "parquet") ->
 
 
 # ------------------------------------------------------------------ corpora
-def list_files(spark: SparkSession, folder: str) -> list[str]:
-    """Files directly in the folder, by name."""
+#: fixed values: CSV fields that mean missing
+MISSING = ("", "#N/A", "N/A", "NA", "n/a", "NaN", "nan", "NULL", "null", "None", "<NA>", "-nan", "-NaN")
+_TABLE = r"([^/]+\.(?:csv|parquet))(?:/[^/]*)?$"
+
+
+def list_tables(spark: SparkSession, folder: str) -> list[str]:
+    """Tables of the folder by name: files, or folders of part files, ending in .parquet or .csv.
+
+    A folder may be called ``table_id=<name>``, the way ``write_tables`` leaves it.
+    """
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return sorted(s.getPath().toString() for s in fs.listStatus(path) if s.isFile())
+    return sorted(s.getPath().toString() for s in fs.listStatus(path) if s.getPath().getName().endswith((".parquet", ".csv")))
+
+
+def _name(path: str) -> str:
+    return path.rsplit("/", 1)[-1].removeprefix("table_id=")
 
 
-def read_corpus(spark: SparkSession, folder: str, include=None) -> tuple[DataFrame, DataFrame]:
+def _table_of_file() -> Column:
+    """Name of the table that a row's file belongs to."""
+    found = F.regexp_extract(F.url_decode(F.col("_metadata.file_path")), _TABLE, 1)
+    return F.regexp_replace(found, "^table_id=", "")
+
+
+def read_corpus(spark: SparkSession, folder: str, include=None, header: bool = False) -> tuple[DataFrame, DataFrame]:
     """All tables of a folder as cells, and the tables and columns that could not be read.
 
-    Parquet and CSV files are dispatched on their suffix, other files skipped.
-    Parquet files with the same schema are read as one scan, and only footers
-    are looked at to find that out. ``include`` selects file names.
+    Parquet and CSV tables are dispatched on their suffix, other files skipped.
+    Parquet tables with the same schema are read as one scan, and only footers
+    are looked at to find that out. CSV tables have a header line or none, all alike.
+    ``include`` selects table names.
     """
-    files = [p for p in list_files(spark, folder) if include is None or p.rsplit("/", 1)[-1] in include]
-    parquet = [p for p in files if p.endswith(".parquet")]
+    tables = [p for p in list_tables(spark, folder) if include is None or _name(p) in include]
+    parquet = [p for p in tables if p.endswith(".parquet")]
     rejects: list[tuple[str, str]] = []
     groups: dict[str, tuple[T.StructType, list[str]]] = {}
 
     def footer(path):
         try:
-            return path, spark.read.parquet(path).schema, None
-        except PySparkException as e:  # missing or unreadable footer
-            return path, None, type(e).__name__
-        except Exception as e:  # noqa: BLE001  unreadable files surface as JVM errors
-            return path, None, type(e).__name__
+            return path, spark.read.parquet(path).schema
+        except Exception:  # noqa: BLE001  damaged files surface as one of many errors
+            return path, None
 
     with ThreadPoolExecutor(16) as pool:
-        for path, schema, problem in pool.map(footer, parquet):
-            if problem:
-                rejects.append((path.rsplit("/", 1)[-1], problem))
+        for path, schema in pool.map(footer, parquet):
+            if schema is None:
+                rejects.append((_name(path), "unreadable footer"))
             else:
                 groups.setdefault(schema.json(), (schema, []))[1].append(path)
 
@@ -130,20 +153,18 @@ def read_corpus(spark: SparkSession, folder: str, include=None) -> tuple[DataFra
         for f in schema.fields:
             if f.name not in usable:
                 problem = f"column {f.name}: no cells for {f.dataType.simpleString()}"
-                rejects += [(p.rsplit("/", 1)[-1], problem) for p in paths]
+                rejects += [(_name(p), problem) for p in paths]
         if not usable:
             continue
         df = spark.read.schema(schema).parquet(*paths).select(
-            *usable,
-            F.col("_metadata.file_name").alias("_file"),
-            F.col("_metadata.row_index").alias("_row"),
+            *usable, _table_of_file().alias("_file"), F.col("_metadata.row_index").alias("_row"),
         )
         parts.append(to_cells(nan_to_null(df), F.col("_file"), F.col("_row"), usable))
     reject_schema = "table_id string, problem string"
     rejected = spark.createDataFrame(rejects, reject_schema)
-    csv = [p for p in files if p.endswith(".csv")]
+    csv = [p for p in tables if p.endswith(".csv")]
     if csv:
-        cells, bad = parse_lines(read_lines(spark, csv))
+        cells, bad = parse_lines(read_lines(spark, csv), header)
         parts.append(cells)
         rejected = rejected.unionByName(bad)
     if not parts:
@@ -155,48 +176,59 @@ def read_corpus(spark: SparkSession, folder: str, include=None) -> tuple[DataFra
 
 
 def read_lines(spark: SparkSession, paths) -> DataFrame:
-    """table_id, row_id, line of headerless CSV files, in file order."""
+    """table_id, row_id, line of CSV tables, in file order; blank lines are none."""
     lines = spark.read.text(paths).select(
-        F.col("_metadata.file_name").alias("table_id"),
+        _table_of_file().alias("table_id"),
+        F.col("_metadata.file_name").alias("_part"),
         F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_seen"),
         F.col("value").alias("line"),
     )
     lines = lines.where(F.length(F.trim("line")) > 0)
-    return number_rows(lines, ["_start", "_seen"], ["table_id"]).drop("_start", "_seen")
+    return number_rows(lines, ["_part", "_start", "_seen"], ["table_id"]).drop("_part", "_start", "_seen")
+
+
+def csv_fields(line: Column) -> Column:
+    """Fields of a CSV line; a quoted one may hold commas, and quotes written twice."""
+    raw = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("(?:[^"]|"")*"|[^,]*)'), 1)
+    quoted = lambda f: F.length(f) >= 2
+    inner = lambda f: F.replace(F.substring(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))
+    return F.transform(raw, lambda f: F.when(f.startswith('"') & f.endswith('"') & quoted(f), inner(f)).otherwise(F.trim(f)))
 
 
-def parse_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Cells of headerless numeric CSV lines, and the rejected tables.
+def parse_lines(lines: DataFrame, header: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Cells of CSV lines, and the rejected tables.
 
-    The first line gives the width. A table with a longer line is rejected as
-    a whole; shorter lines are filled with NULL, as is text that is no number.
+    The first line gives the width, and with ``header`` the names. A table with a
+    longer line is rejected as a whole; shorter lines are filled with NULL. A column
+    is numeric if every field that is not missing is a number, else text.
     """
-    fields = F.split("line", ",")
-    sized = lines.withColumn("_n", F.size(fields))
-    shape = sized.groupBy("table_id").agg(
-        F.min(F.struct("row_id", "_n")).getField("_n").alias("_width"),
-        F.max("_n").alias("_longest"),
-    )
+    cut = lines.withColumn("_fields", csv_fields(F.col("line"))).withColumn("_n", F.size("_fields"))
+    shape = cut.groupBy("table_id").agg(
+        F.min(F.struct("row_id", "_n", "_fields")).alias("_first"), F.max("_n").alias("_longest"),
+    ).select("table_id", F.col("_first._n").alias("_width"), F.col("_first._fields").alias("_names"), "_longest")
     bad = shape.where(F.col("_longest") > F.col("_width")).select(
         "table_id", F.lit("line longer than the first").alias("problem")
     )
-    good = shape.where(F.col("_longest") <= F.col("_width")).select("table_id", "_width")
-    cells = lines.join(good, "table_id").select(
-        "table_id", "row_id",
-        F.posexplode(
-            F.transform(
-                F.sequence(F.lit(0), F.col("_width") - 1), lambda i: F.get(fields, i)
-            )
-        ).alias("col_id", "_text"),
-    )
-    number = F.expr("try_cast(trim(_text) as double)")
+    good = shape.where(F.col("_longest") <= F.col("_width")).select("table_id", "_width", "_names")
+    places = F.transform(F.sequence(F.lit(0), F.col("_width") - 1), lambda i: F.get("_fields", i))
+    cells = cut.join(good, "table_id").select(
+        "table_id", (F.col("row_id") - int(header)).alias("row_id"), "_names", F.posexplode(places).alias("col_id", "_text")
+    ).where("row_id >= 0")
+    name = F.get("_names", F.col("col_id")) if header else F.col("col_id").cast("string")
+    text = F.when(~F.col("_text").isin(*MISSING), F.col("_text"))
+    number = F.col("_text").try_cast("double")
     cells = cells.select(
-        "table_id", "row_id", "col_id",
-        F.col("col_id").cast("string").alias("col_name"),
-        F.lit("double").alias("col_type"),
-        F.when(~F.isnan(number), number).alias("v_num"),
-        F.lit(None).cast("string").alias("v_str"),
+        "table_id", "row_id", "col_id", name.alias("col_name"), text.alias("_text"), F.when(text.isNotNull() & ~F.isnan(number), number).alias("_num")
+    )
+    kinds = cells.groupBy("table_id", "col_id").agg(
+        F.bool_and(F.col("_text").isNull() | F.col("_num").isNotNull()).alias("_numeric")
+    )
+    cells = cells.join(kinds, ["table_id", "col_id"]).select(
+        "table_id", "row_id", "col_id", "col_name",
+        F.when(F.col("_numeric"), F.lit("double")).otherwise(F.lit("string")).alias("col_type"),
+        F.when(F.col("_numeric"), F.col("_num")).alias("v_num"),
+        F.when(~F.col("_numeric"), F.col("_text")).alias("v_str"),
         F.lit(None).cast("string").alias("v_exact"),
     )
     return cells, bad

@@ -220,15 +220,37 @@ def corpus_lines(t):
     return t.once("corpus_lines", build)
 
 
-@query("corpus_csv_cells", f"""WITH {LINES} SELECT table_id, row_id, 0 AS col_id, c0 AS v_num FROM lines WHERE NOT bad
-UNION ALL SELECT table_id, row_id, 1, c1 FROM lines WHERE NOT bad UNION ALL SELECT table_id, row_id, 2, c2 FROM lines WHERE NOT bad""")
+def csv_folder(t):
+    """The lines as CSV tables on disk, one more with quoted text, and a damaged Parquet table."""
+    def build():
+        k, balance = F.col("c_custkey"), F.col("c_acctbal").cast("string")
+        said = F.concat(F.lit('"'), F.col("c_name"), F.lit(', ""the"" one",'), F.when(k % 4 != 0, balance).otherwise(F.lit("NA")), F.lit(", x "))
+        quoted = t.table("customer").select(F.lit("quoted.csv").alias("table_id"), k.alias("row_id"), said.alias("line"))
+        damaged = t.table("region").select(F.lit("damaged.parquet").alias("table_id"), F.col("r_regionkey").cast("bigint").alias("row_id"), F.lit("no table").alias("line"))
+        path = _fresh(t, "lines")
+        rows = corpus_lines(t).unionByName(quoted).unionByName(damaged)
+        rows.repartition("table_id").sortWithinPartitions("table_id", "row_id").drop("row_id").write.partitionBy("table_id").text(path)
+        return path
+
+    return t.once("csv_folder", build)
+
+
+CSV_CELLS = LINES + """, quoted AS (SELECT 'quoted.csv' AS table_id, row_number() OVER (ORDER BY c_custkey) - 1 AS row_id,
+  c_name || ', "the" one' AS a, CASE WHEN c_custkey % 4 <> 0 THEN c_acctbal END AS b FROM customer)"""
+
+
+@query("corpus_csv_cells", f"""WITH {CSV_CELLS} SELECT table_id, row_id, 0 AS col_id, c0 AS v_num, NULL AS v_str FROM lines WHERE NOT bad
+UNION ALL SELECT table_id, row_id, 1, c1, NULL FROM lines WHERE NOT bad UNION ALL SELECT table_id, row_id, 2, c2, NULL FROM lines WHERE NOT bad
+UNION ALL SELECT table_id, row_id, 0, NULL, a FROM quoted UNION ALL SELECT table_id, row_id, 1, b, NULL FROM quoted
+UNION ALL SELECT table_id, row_id, 2, NULL, 'x' FROM quoted""")
 def corpus_csv_cells(t):
-    return IO.parse_lines(corpus_lines(t))[0].select("table_id", "row_id", "col_id", "v_num")
+    return IO.read_corpus(t.spark, csv_folder(t))[0].select("table_id", "row_id", "col_id", "v_num", "v_str")
 
 
-@query("corpus_rejects", f"WITH {LINES} SELECT DISTINCT table_id, 'line longer than the first' AS problem FROM lines WHERE bad")
+@query("corpus_rejects", f"""WITH {LINES} SELECT DISTINCT table_id, 'line longer than the first' AS problem FROM lines WHERE bad
+UNION ALL SELECT DISTINCT 'damaged.parquet', 'unreadable footer' FROM region""")
 def corpus_rejects(t):
-    return IO.parse_lines(corpus_lines(t))[1]
+    return IO.read_corpus(t.spark, csv_folder(t))[1]
 
 
 @query("missing_tables", f"""WITH {CORPUS_LI}, meta AS (SELECT 'supplier_' || c_custkey || '.parquet' AS table_id FROM customer)
@@ -436,8 +458,8 @@ def downsample(t):
     return P.downsample(t.corpus_li(), 120, SEED, ["table_id"])
 
 
-OPTS = P.Options(seed=SEED)
-ENCODED = P.Options(encoded=True, max_cols=9, seed=SEED)
+OPTS = P.Options(seed=SEED, keep_all_rows=False)
+ENCODED = P.Options(encoded=True, max_cols=9, seed=SEED, keep_all_rows=False)
 _BUDGET = P.row_budget(7)
 Q2, P2, D2, X2 = (round_exact_sql(c, 2) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
 PROCESSED = CORPUS_LI + ", " + MASKED + f""", processed AS (SELECT replace(table_id, '.parquet', '.csv') AS table_id, row_id, l_linenumber,

@@ -22,12 +22,33 @@ def test_read_corpus_mixes_formats_and_isolates_bad_files(spark, tmp_path):
     got = {(r.table_id, r.row_id, r.col_id): (r.v_num, r.v_str) for r in cells.collect()}
     assert got["one.parquet", 1, 1] == (None, None) and got["one.parquet", 2, 1] == (None, "z")
     assert got["two.parquet", 1, 0] == (None, None)
-    assert got["Causal_Table1.csv", 1, 2] == (None, None) and got["Causal_Table1.csv", 2, 0] == (None, None)
-    assert got["Causal_Table1.csv", 1, 0] == (0.25, None)
+    assert got["Causal_Table1.csv", 1, 2] == (None, None) and got["Causal_Table1.csv", 2, 0] == (None, "x")
+    assert got["Causal_Table1.csv", 1, 0] == (None, "0.25") and got["Causal_Table1.csv", 1, 1] == (2.0, None)
     assert {t for t, *_ in got} == {"one.parquet", "two.parquet", "Causal_Table1.csv"}
     assert {r.table_id for r in rejects.collect()} == {"broken.parquet", "wide.csv"}
 
 
+def test_csv_header_quotes_and_part_files(spark, tmp_path):
+    (tmp_path / "city.csv").write_text('city,n\n"x, ""y""",2\nz,NA\n\n"",3\n')
+    (tmp_path / "table_id=parts.csv").mkdir()
+    (tmp_path / "table_id=parts.csv" / "part-0.csv").write_text("k\n1\n2\n")
+    (tmp_path / "table_id=parts.csv" / "part-1.csv").write_text("3\n")
+    cells, rejects = IO.read_corpus(spark, str(tmp_path), header=True)
+    got = {(r.table_id, r.row_id, r.col_name): (r.v_num, r.v_str) for r in cells.collect()}
+    assert got == {
+        ("city.csv", 0, "city"): (None, 'x, "y"'), ("city.csv", 0, "n"): (2.0, None), ("city.csv", 1, "city"): (None, "z"),
+        ("city.csv", 1, "n"): (None, None), ("city.csv", 2, "city"): (None, None), ("city.csv", 2, "n"): (3.0, None),
+        ("parts.csv", 0, "k"): (1.0, None), ("parts.csv", 1, "k"): (2.0, None), ("parts.csv", 2, "k"): (3.0, None),
+    }
+    assert rejects.collect() == []
+
+
+def test_row_ids_go_on_from_file_to_file(spark, tmp_path):
+    spark.range(40).repartitionByRange(4, "id").sortWithinPartitions("id").write.parquet(str(tmp_path / "t"))
+    got = IO.read_table(spark, str(tmp_path / "t"), row_id=True).collect()
+    assert sorted((r.id, r.row_id) for r in got) == [(i, i) for i in range(40)]
+
+
 def test_causal_json_array(spark, tmp_path):
     records = [{"causal_info": [{"source_feature": "a", "sink_feature": "b", "is_causal": True}]}, {"causal_info": []}]
     (tmp_path / "causal.json").write_text(json.dumps(records))

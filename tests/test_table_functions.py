@@ -95,3 +95,10 @@ def test_cells_out_of_range_and_comparisons(spark):
 def test_table_mean_is_the_mean_of_column_means(spark):
     df = spark.createDataFrame([(1.0, 1.0), (None, 5.0)], "a double, b double")
     assert S.table_mean(df, ["a", "b"]).first()[0] == 2.0
+
+
+def test_rows_that_do_not_exist_are_not_compared(spark):
+    df = spark.createDataFrame([(0, 5), (1, 5)], "row_id long, v int")
+    asked = spark.createDataFrame([(1, 0, 1), (2, 0, 9), (3, 8, 9), (4, 1, 1)], "request_id int, row1 long, row2 long")
+    got = {r.request_id: r.identical for r in C.compare_rows(df, asked, ["v"]).collect()}
+    assert got == {1: True, 2: None, 3: None, 4: True}
