@@ -72,10 +72,18 @@ def distinct_and_mode(values: DataFrame, keys, value="v") -> DataFrame:
 
     Works on value counts, so no task ever holds the values of a whole group.
     """
-    best = F.min(F.struct((-F.col("c")).alias("c"), F.col(value).alias("v")))
+    return _distinct_and_mode(_inner_names(value_counts(values, keys, value), keys, value), keys)
+
+
+def _inner_names(counts: DataFrame, keys, value) -> DataFrame:
+    """Names that no key has: ``_value`` and ``_count``."""
+    return counts.toDF(*keys, "_value", "_count")
+
+
+def _distinct_and_mode(counts: DataFrame, keys) -> DataFrame:
+    best = F.min(F.struct((-F.col("_count")).alias("c"), F.col("_value").alias("v")))
     return (
-        value_counts(values, keys, value)
-        .groupBy(*keys)
+        counts.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n_distinct"), best.alias("_best"))
         .withColumn("mode_value", F.col("_best.v"))
         .drop("_best")
@@ -87,16 +95,21 @@ def exact_quantiles(values: DataFrame, keys, probs: dict[str, float], value="v")
 
     They are read off range-partitioned value counts, so no task sees a whole group.
     """
-    keys = list(keys)
-    values = values.where(F.col(value).isNotNull()).select(*keys, value)
-    order = [F.col(k) for k in keys] + [F.col(value)]
-    placed = store(
-        value_counts(values, keys, value)
-        .repartitionByRange(*order)
+    return _quantiles_by_rank(ranked_counts(values, keys, value), list(keys), probs)
+
+
+def ranked_counts(values: DataFrame, keys, value="v") -> DataFrame:
+    """Value counts in ranges of (keys, ``_value``), stored; ``_part`` numbers the ranges."""
+    return store(
+        _inner_names(value_counts(values, list(keys), value), keys, value)
+        .repartitionByRange(*keys, "_value")
         .withColumn("_part", F.spark_partition_id()),
         "ranked",
     )
-    runs = placed.groupBy(*keys, "_part").agg(F.sum("c").alias("_t"))
+
+
+def _quantiles_by_rank(placed: DataFrame, keys, probs) -> DataFrame:
+    runs = placed.groupBy(*keys, "_part").agg(F.sum("_count").alias("_t"))
     by_group = Window.partitionBy(*keys)
     before = by_group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     wanted = F.array(
@@ -121,17 +134,17 @@ def exact_quantiles(values: DataFrame, keys, probs: dict[str, float], value="v")
     ).where((F.col("r.rank") >= F.col("_off")) & (F.col("r.rank") < F.col("_off") + F.col("_t")))
     # only the few runs that hold a wanted rank are ordered
     hit = ranks.select(*keys, "_part", "_off").distinct()
-    upto = Window.partitionBy(*keys, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy(*keys, "_part").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
     ordered = placed.join(hit, [*keys, "_part"]).withColumn(
-        "_upto", F.col("_off") + F.sum("c").over(upto)
+        "_upto", F.col("_off") + F.sum("_count").over(upto)
     ).drop("_off")
     found = (
         ordered.join(ranks, [*keys, "_part"])
-        .where((F.col("r.rank") < F.col("_upto")) & (F.col("r.rank") >= F.col("_upto") - F.col("c")))
+        .where((F.col("r.rank") < F.col("_upto")) & (F.col("r.rank") >= F.col("_upto") - F.col("_count")))
         .groupBy(*keys, "name", "_frac")
         .agg(
-            F.max(F.when(F.col("r.end") == "low", F.col(value))).alias("_low"),
-            F.max(F.when(F.col("r.end") == "high", F.col(value))).alias("_high"),
+            F.max(F.when(F.col("r.end") == "low", F.col("_value"))).alias("_low"),
+            F.max(F.when(F.col("r.end") == "high", F.col("_value"))).alias("_high"),
         )
         .withColumn("q", lerp(F.col("_low"), F.col("_high"), F.col("_frac")))
     )
@@ -146,9 +159,10 @@ def profile(df: DataFrame, columns, keys=()) -> DataFrame:
     group = [*keys, "col_id", "col_name"]
     values = melt(df, columns, keys)
     basics = column_aggregates(df, columns, tuple(BASICS), keys)
-    tops = distinct_and_mode(values, group)
+    counts = ranked_counts(values, group)
+    tops = _distinct_and_mode(counts, group)
     probs = {"q1": 0.25, "median_value": 0.5, "q3": 0.75}
-    quartiles = exact_quantiles(values, group, probs)
+    quartiles = _quantiles_by_rank(counts, group, probs)
     return (
         basics.join(tops, group, "left")
         .join(quartiles, group, "left")

@@ -105,7 +105,7 @@ def test_preprocess_profiles(spark):
         F.concat(F.lit("t"), F.col("id") % 2, F.lit(".parquet")).alias("table_id"), F.floor(F.col("id") / 2).alias("row_id"),
         (F.col("id") / 7).alias("x"), (F.col("id") % 2 == 0).alias("b"), F.concat(F.lit("k"), F.col("id") % 5).alias("y"),
     )
-    raw = P.preprocess(df, "y", P.Options(context_length=300, tokens_per_cell=10))
+    raw = P.preprocess(df, "y", P.Options(context_length=300, tokens_per_cell=10, keep_all_rows=False))
     assert raw.groupBy("table_id").count().where("count = 10").count() == 2
     assert {r.table_id for r in raw.collect()} == {"t0.csv", "t1.csv"}
     enc = P.preprocess(df, "y", P.Options(encoded=True, max_cols=6))
