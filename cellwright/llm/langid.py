@@ -43,7 +43,7 @@ LANES = 1024
 PER_LANGUAGE = 150
 PASSAGE = 1024
 #: below this probability the pipeline counts a language as not identified
-LEAST_SCORE = 0.4
+LEAST_SCORE = 0.3
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -195,6 +195,14 @@ def _judge(net: LanguageNet | None, texts: pa.Array) -> tuple[list[str], np.ndar
     return [net.languages[b] if ok else UNKNOWN for b, ok in zip(best, letters)], score
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
 def _predict(docs: DataFrame, net: LanguageNet | None, lang: str, score: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
@@ -215,6 +223,6 @@ def identify(docs: DataFrame, learn_from: DataFrame | None = None) -> DataFrame:
 def keep_identified(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
     """Documents in an identified language, with all their columns."""
     net = train(training_rows(docs))
-    judged = _predict(docs, net, "_lang_pred", "_lang_score")
-    kept = judged.where((F.col("_lang_pred") != UNKNOWN) & (F.col("_lang_score") >= least))
-    return kept.drop("_lang_pred", "_lang_score")
+    lang, score = free_name(docs, "lang_pred"), free_name(docs, "lang_score")
+    judged = _predict(docs, net, lang, score)
+    return judged.where((F.col(lang) != UNKNOWN) & (F.col(score) >= least)).drop(lang, score)

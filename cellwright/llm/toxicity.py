@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
 from . import gru
-from .langid import held_out
+from .langid import free_name, held_out
 from .textbytes import LOWER, text_bytes, text_slices, word_hashes, word_spans
 
 UNITS = 8
@@ -311,4 +311,5 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def drop_toxic(docs: DataFrame, labels: DataFrame, least: float = TOXIC) -> DataFrame:
     """Documents scored below ``least``, with all their columns."""
     net = train(training_rows(docs, labels))
-    return _predict(docs, net, "_toxicity").where(F.col("_toxicity") < least).drop("_toxicity")
+    score = free_name(docs, "toxicity")
+    return _predict(docs, net, score).where(F.col(score) < least).drop(score)

@@ -64,7 +64,7 @@ def test_language_cases(spark):
     rows = [(k, t, lang) for k, (_, t, lang) in enumerate(rows)]
     rows += [(500, None, "en"), (501, "", "en"), (502, "12 34 !!", None), (503, "the and of", None), (503, "the and of", None)]
     rows += [(504, "schön und die " * 20_000, None), (None, "the thing", None)]
-    df = spark.createDataFrame([(*r, 1.0) for r in rows], DOCS + ", score double")
+    df = spark.createDataFrame([(*r, 1.0, None) for r in rows], DOCS + ", lang_score double, lang_pred string")
     out = {}
     for r in langid.identify(df).collect():
         out.setdefault(r["doc_id"], []).append((r["lang_pred"], r["score"]))
@@ -104,7 +104,7 @@ def test_toxicity_cases(spark):
     clean, bad = "good calm words of the day and night " * 8, "good calm words of the vile fool and night " * 8
     rows = [(i, bad if i % 2 else clean, "en") for i in range(80)]
     rows += [(100, None, "en"), (101, "", "en"), (102, "?!", "en"), (103, clean * 50 + "vile fool " + clean * 50, "en"), (103, clean, "en"), (None, bad, "en")]
-    df = spark.createDataFrame([(*r, 7) for r in rows], DOCS + ", toxic int")
+    df = spark.createDataFrame([(*r, 7, 7) for r in rows], DOCS + ", toxic int, toxicity int")
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(80)] + [(999, 1, 0), (100, None, 0), (None, 1, 0)], "doc_id long, toxic int, text int")
     out = {}
     for r in toxicity.score_toxicity(df, labels).collect():
