@@ -2,7 +2,7 @@
 
 A step is a word (A-Z lower-cased; runs of ASCII letters, digits and characters beyond
 ASCII). Its input joins a word vector, the sum of what training knows of the whole
-word, of its first and of its last four bytes, with a
+word, of its first four and six and of its last four bytes, with a
 character vector, the mean of the vectors of its byte pairs. Two gated recurrent
 layers read a window of words forwards and backwards, attention over their states pools
 the window into one vector and that gives the window's score. Windows of 32 words
@@ -45,7 +45,8 @@ SIZE = 8  # of a word vector and of a character vector
 SPAN, STRIDE = 32, 16
 LANES = 2048
 PAIRS = 4096
-EDGE = 4
+#: bytes of a word's beginnings and of its ending that are looked up like words
+BEGINNINGS, ENDING = (4, 6), 4
 PER_CLASS = 600
 PASSAGE = 6000
 #: training documents that hold a word of the vocabulary, at least
@@ -84,11 +85,11 @@ class Words:
         starts, ends, doc = word_spans(buf, offsets)
         self.texts = len(offsets) - 1
         self.hashes = word_hashes(buf, starts, ends)
-        # the word, its beginning, its ending: (3, words)
+        # the word, its beginnings, its ending: (4, words)
         self.marks = np.stack([
             self.hashes,
-            word_hashes(buf, starts, np.minimum(starts + EDGE, ends)) ^ np.uint64(0x5BD1E995),
-            word_hashes(buf, np.maximum(ends - EDGE, starts), ends) ^ np.uint64(0x1B873593),
+            *(word_hashes(buf, starts, np.minimum(starts + n, ends)) ^ np.uint64(0x5BD1E995 + n) for n in BEGINNINGS),
+            word_hashes(buf, np.maximum(ends - ENDING, starts), ends) ^ np.uint64(0x1B873593),
         ])
         # byte pairs of each word: (mark, first), (first, second), ..., (last, mark)
         sizes = ends - starts
@@ -119,7 +120,7 @@ class ToxicityNet:
         self.vocabulary, self.params, self.scale = vocabulary, params, scale
 
     def word_ids(self, words: Words) -> np.ndarray:
-        """(3, words): places in the vocabulary, its size for what is not in it."""
+        """(4, words): places in the vocabulary, its size for what is not in it."""
         n = len(self.vocabulary)
         if not n:
             return np.zeros(words.marks.shape, np.int64)
@@ -191,7 +192,7 @@ def train(rows: list[tuple[str, int]], steps: int = 320, half: int = 64) -> Toxi
         return None
     rng = np.random.default_rng(11)
     owner = np.searchsorted(words.begin, np.arange(len(words.hashes)), "right") - 1
-    pairs = np.stack([words.marks.ravel(), np.tile(owner, 3).astype(np.uint64)])
+    pairs = np.stack([words.marks.ravel(), np.tile(owner, len(words.marks)).astype(np.uint64)])
     known, times = np.unique(np.unique(pairs, axis=1)[0], return_counts=True)
     vocabulary = known[times >= LEAST_SEEN]
     normal = lambda *shape, by=0.3: (rng.standard_normal(shape) * by).astype(np.float32)
