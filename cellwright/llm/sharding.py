@@ -9,8 +9,8 @@ splitter keeps the bin its target lies in. Bins narrow by 2^12 a round, until
 every splitter is within tolerance or its bin is a single key. Only these sums
 (at most splitters x 4096 numbers) reach the driver. Then rows move once.
 
-Each shard is cut into ``pieces`` the same way, so that no task gets a whole
-shard; slots count on from piece to piece.
+Each shard is cut into pieces the same way, as many as its bytes ask for, so that
+no task gets a whole shard; slots count on from piece to piece.
 
 Defined results
     null text        size 8, hash of the empty string, as an empty text
@@ -28,6 +28,7 @@ from ..session import store
 
 BITS = 12
 ROW_BYTES = 8
+PIECE_BYTES = 64 << 20
 
 
 def row_size(text: Column) -> Column:
@@ -105,11 +106,12 @@ def find_splitters(keys: DataFrame, parts: int, tolerance: float) -> list[tuple[
     return cuts
 
 
-def shard_by_bytes(docs: DataFrame, shards: int = 24, pieces: int = 8, tolerance: float = 0.005) -> DataFrame:
+def shard_by_bytes(docs: DataFrame, shards: int = 24, pieces: int | None = None, tolerance: float = 0.005) -> DataFrame:
     """doc_id, text, size, shard, slot: every row of ``docs`` in one of ``shards`` shards of near equal bytes.
 
     ``tolerance`` is the share of a piece by which a cut may miss its target;
-    a single row larger than that moves the cut by up to its own size.
+    a single row larger than that moves the cut by up to its own size. ``pieces``
+    of a shard: by default one for each ``PIECE_BYTES``, 8 to 32.
     """
     lowest = -(1 << 63)
     text = F.coalesce("text", F.lit(""))
@@ -118,6 +120,9 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, pieces: int = 8, tolerance
         F.xxhash64(text).alias("key"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(lowest)).alias("id"),
     )
     keys = store(keyed.select("key", "id", "size"), "shard_keys")
+    if pieces is None:
+        total = keys.agg(F.sum("size")).first()[0] or 0
+        pieces = min(32, max(8, -(-total // (shards * PIECE_BYTES))))
     cuts = find_splitters(keys, shards * pieces, tolerance)
 
     def piece_of(key: Column, ident: Column) -> Column:
