@@ -148,6 +148,20 @@ def masked_info(masked: DataFrame, keys=(), row_id="row_id") -> DataFrame:
     return masked.where(F.col("original").isNotNull()).select(*keys, row_id, "original")
 
 
+def updated_metadata(processed: DataFrame, target: str, keys=("table_id",), row_id="row_id") -> DataFrame:
+    """Metadata of processed tables: measured rows, flags in the new column order, the label last.
+
+    ``target_masked`` tells whether labels were masked and ``n_masked`` how many;
+    which ones is the ledger, ``masked_info``.
+    """
+    columns = [c for c in processed.columns if c not in (*keys, row_id, "original")]
+    return processed.groupBy(*keys).agg(F.count(F.lit(1)).alias("num_rows"), F.count("original").alias("n_masked")).select(
+        *keys, "num_rows", F.lit(len(columns)).alias("num_cols"), F.lit(columns.index(target)).alias("label_index"),
+        F.array(*[F.lit(f) for f in categorical_flags(processed, columns)]).alias("categorical_columns"),
+        (F.col("n_masked") > 0).alias("target_masked"), "n_masked",
+    )
+
+
 def round_floats(df: DataFrame, places: int) -> DataFrame:
     """Round floating columns the way decimal rounding of their exact value does."""
     return df.select(

@@ -2,9 +2,9 @@
 
 1. ``plan_prompts``: every draw of every prompt (table, function, axis,
    indices, constants), as columns computed from md5 of seed and prompt id.
-2. ``pack_tables``: one row per processed table with its columns as arrays.
-   The row budget of preprocessing bounds a packed table (25,000 cells by
-   default); this is checked on measured row counts before packing.
+2. ``pack_cells`` / ``pack_tables``: one row per processed table, of any mix of
+   schemas, with its columns as arrays. No table is refused; a packed one has to
+   fit one row, so bring very large ones to a row budget (``downsample``) first.
 3. ``answer``: plan joined to packed tables by table_id; all functions are
    expressions on the arrays, so after that join nothing is shuffled.
 4. ``render``: question and answer text; prompts that cannot be asked of
@@ -24,7 +24,7 @@ from ..functions.draws import draw_int, draw_item, uniform
 from ..functions.numbers import round_exact
 from ..functions.text import fixed, render_list, render_number
 from ..operators.cells import is_numeric
-from ..operators.metadata import WHOLE_TYPES
+from ..operators.metadata import WHOLE_TYPES, categorical_flag
 from ..operators.positions import number_rows
 from .templates import (
     CAUSAL, DRAWABLE, SCALING_PROPERTIES, SCALING_STATS, SCALING_STEPS, choose, fill, fill_pieces, templates,
@@ -54,12 +54,16 @@ class CustomFunction:
     """A question type added by the user.
 
     ``params`` maps placeholders of the two wordings to text expressions; they
-    may use ``x``, the drawn numeric column as an array, and ``index``.
+    may use ``x``, the drawn numeric column as an array, and ``index``. With
+    ``columns`` 2 there are two different numeric columns, ``x`` and ``y``, at ``index``
+    and ``pair_col2``. ``draws`` gives further columns of the plan, drawn from ``prompt_id``.
     """
 
     question: str
     answer: str
     params: Callable[[], dict[str, Column]]
+    draws: Callable[[], dict[str, Column]] | None = None
+    columns: int = 1
 
 
 # ------------------------------------------------------------------ plan
@@ -184,17 +188,8 @@ class Packed:
     n_tables: int
 
 
-def pack_tables(df: DataFrame, columns, max_rows: int, row_id="row_id") -> Packed:
-    """table_id, nums, texts, kinds, wholes: each table's columns as arrays in row order.
-
-    ``nums[c]`` is set for numeric columns, ``texts[c]`` for the others.
-    Refuses tables above ``max_rows``: such corpora must be brought to the row
-    budget first (preprocessing does), so an array never grows with the data.
-    """
-    sizes = df.groupBy("table_id").agg(F.count(F.lit(1)).alias("n"))
-    n_tables, largest = sizes.agg(F.count(F.lit(1)), F.coalesce(F.max("n"), F.lit(0))).first()
-    if largest > max_rows:
-        raise ValueError(f"a table has {largest} rows, the row budget is {max_rows}: downsample first")
+def pack_tables(df: DataFrame, columns, row_id="row_id") -> Packed:
+    """``pack_cells`` for equally shaped tables in wide form: one shuffle of the wide rows."""
     numeric = [is_numeric(df.schema[c]) for c in columns]
     whole = [df.schema[c].dataType.simpleString() in WHOLE_TYPES for c in columns]
     record = F.struct(row_id, *columns)
@@ -212,8 +207,36 @@ def pack_tables(df: DataFrame, columns, max_rows: int, row_id="row_id") -> Packe
     wholes = F.array(*[F.lit(w) & ~F.coalesce(R.has_empty(F.get("nums", F.lit(i))), F.lit(True)) for i, w in enumerate(whole)])
     kinds = F.array(*[F.lit(df.schema[c].dataType.simpleString()) for c in columns])
     return Packed(
-        packed.select("table_id", "nums", "texts", kinds.alias("kinds"), wholes.alias("wholes")), n_tables
+        packed.select("table_id", "nums", "texts", kinds.alias("kinds"), wholes.alias("wholes")),
+        df.select("table_id").distinct().count(),
+    )
+
+
+def pack_cells(cells: DataFrame) -> Packed:
+    """table_id, nums, texts, kinds, wholes: each table's columns as arrays in row order.
+
+    ``nums[c]`` is set for numeric columns, ``texts[c]`` for the others. Tables may
+    have any mix of schemas. Columns are gathered one by one, then put together: a
+    table has to fit one row (2 GB) and is refused by nothing but that.
+    """
+    kind = F.col("col_type")
+    numeric = categorical_flag(kind) == 0
+    entry = F.struct("row_id", "v_num", "v_str")
+    columns = cells.groupBy("table_id", "col_id", "col_type").agg(F.array_sort(F.collect_list(entry)).alias("_c"))
+    nums = F.when(numeric, F.transform("_c", lambda c: c["v_num"]))
+    as_text = lambda c: F.coalesce(c["v_str"], F.when(c["v_num"].isNotNull(), (c["v_num"] != 0).cast("string")))
+    texts = F.when(~numeric, F.transform("_c", as_text))
+    whole = kind.isin(*WHOLE_TYPES) & ~F.exists("_c", lambda c: c["v_num"].isNull())
+    one = columns.select(
+        "table_id",
+        F.struct("col_id", nums.alias("nums"), texts.alias("texts"), kind.alias("kind"), whole.alias("whole")).alias("_col"),
     )
+    tables = one.groupBy("table_id").agg(F.array_sort(F.collect_list("_col")).alias("_t"))
+    # a field of an array of structs is the array of that field
+    packed = tables.select(
+        "table_id", F.col("_t.nums"), F.col("_t.texts"), F.col("_t.kind").alias("kinds"), F.col("_t.whole").alias("wholes")
+    )
+    return Packed(packed, cells.select("table_id").distinct().count())
 
 
 # ------------------------------------------------------------------ answers
@@ -308,10 +331,14 @@ def answer(
     def is_fn(*names):
         return fn.isin(*names)
 
+    custom = custom or {}
+    pair_fns = (*PAIR_COLUMN_FNS, *(n for n, c in custom.items() if c.columns == 2))
+    for c in custom.values():
+        planned = planned.withColumns(c.draws() if c.draws else {})
     df = attach_packed(planned, packed.tables, packed.n_tables)
     index = (
         F.when(is_fn(*AXIS_FNS), F.col("axis_index"))
-        .when(is_fn(*PAIR_COLUMN_FNS), F.col("pair_col1"))
+        .when(is_fn(*pair_fns), F.col("pair_col1"))
         .otherwise(F.col("numeric_col"))
         .cast("int")
     )
@@ -322,7 +349,7 @@ def answer(
         {
             "x": F.when(~on_row, F.get("nums", F.col("index"))),
             "t": F.when(~on_row, F.get("texts", F.col("index"))),
-            "y": F.when(is_fn(*PAIR_COLUMN_FNS), F.get("nums", F.col("pair_col2"))),
+            "y": F.when(is_fn(*pair_fns), F.get("nums", F.col("pair_col2"))),
             "cells": F.when(on_row, _row_texts(F.col("index"))),
             "whole": F.coalesce(F.get("wholes", F.col("index")), F.lit(False)) & ~on_row,
         }
@@ -638,11 +665,17 @@ def prompt_records(rendered: DataFrame) -> DataFrame:
 
 
 def generate_prompts(
-    prompts: DataFrame, processed: DataFrame, meta: DataFrame, columns, max_rows: int, seed: int,
+    prompts: DataFrame, processed: DataFrame, meta: DataFrame, columns, seed: int,
     digits: int | None = None, encoded: bool = False, custom: dict[str, CustomFunction] | None = None,
 ) -> DataFrame:
-    """The whole job up to rendered questions and answers (see ``prompt_records`` for the record form)."""
+    """The whole job up to rendered questions and answers (see ``prompt_records`` for the record form).
+
+    ``processed`` holds wide rows of equally shaped tables with these ``columns``,
+    or, with ``columns`` None, cells of tables of any mix of schemas.
+    """
     functions = sorted([*DRAWABLE, *(custom or {})])
     planned = plan_prompts(prompts, meta, seed, functions)
-    packed = pack_tables(processed, columns, max_rows)
+    # only tables that are asked about
+    asked = processed.join(planned.select("table_id").distinct(), "table_id", "left_semi")
+    packed = pack_cells(asked) if columns is None else pack_tables(asked, columns)
     return render(answer(planned, packed, digits, encoded, custom), custom)

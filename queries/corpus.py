@@ -473,6 +473,13 @@ def processed(t):
     return t.once("processed", lambda: store(P.preprocess(t.corpus_li(), "l_returnflag", OPTS), "processed"))
 
 
+@query("updated_metadata", f"""WITH {PROCESSED} SELECT table_id, count(*) AS num_rows, 7 AS num_cols, 6 AS label_index,
+  '0,0,0,0,0,1,1' AS categorical_columns, count(original) > 0 AS target_masked, count(original) AS n_masked FROM processed GROUP BY 1""")
+def updated_metadata(t):
+    out = P.updated_metadata(processed(t), "l_returnflag")
+    return out.withColumn("categorical_columns", F.array_join(F.transform("categorical_columns", lambda x: x.cast("string")), ","))
+
+
 @query("preprocess_corpus", f"""WITH {PROCESSED}, e AS (SELECT replace(table_id, '.parquet', '.csv') AS table_id, row_id, l_linenumber,
   {Q2} AS l_quantity, l_extendedprice, l_discount, l_tax,
   (dense_rank() OVER (PARTITION BY table_id ORDER BY l_linestatus) - 1)::INT AS l_linestatus,

@@ -5,21 +5,20 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cellwright.functions import rows as R
-from cellwright.functions.draws import uniform
+from cellwright.functions.draws import draw_int, uniform
 from cellwright.functions.numbers import round_exact_sql
 from cellwright.functions.text import render_number
-from cellwright.operators import columns as K
-from cellwright.operators.preprocess import row_budget
+from cellwright.operators import columns as K, metadata as M
+from cellwright.operators.cells import to_cells
 from cellwright.plans import prompts as Q
 from cellwright.plans.templates import (
     DRAWABLE, SCALING_PROPERTIES, SCALING_STATS, SCALING_STEPS, TEMPLATES, pieces, templates,
 )
 
 from .base import ORDERS_N, query
-from .corpus import CAUSAL, PROCESSED, SEED, causal_records, draw_sql, processed
+from .corpus import CAUSAL, PROCESSED, SEED, causal_records, draw_sql, mixed_cells, processed
 
 COLUMNS = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linestatus", "l_returnflag"]
-BUDGET = row_budget(len(COLUMNS))
 #: decimals of computed numbers in the compared texts
 DIGITS = 4
 
@@ -48,12 +47,17 @@ def planned(t):
 def generated(t, only=None, custom=None):
     """The prompt job; ``only`` plans every prompt on the given functions."""
     if only is None:
-        return Q.generate_prompts(prompt_ids(t), processed(t), meta(t), COLUMNS, BUDGET, SEED, digits=DIGITS, custom=custom)
+        return Q.generate_prompts(prompt_ids(t), processed(t), meta(t), COLUMNS, SEED, digits=DIGITS, custom=custom)
     plan = Q.plan_prompts(prompt_ids(t), meta(t), SEED, only)
-    packed = Q.pack_tables(processed(t), COLUMNS, BUDGET)
+    packed = Q.pack_tables(processed(t), COLUMNS)
     return Q.render(Q.answer(plan, packed, DIGITS))
 
 
+def generated_from_cells(t, only):
+    plan = Q.plan_prompts(prompt_ids(t), meta(t), SEED, only)
+    return Q.render(Q.answer(plan, Q.pack_cells(to_cells(processed(t), "table_id", columns=COLUMNS)), DIGITS))
+
+
 # ------------------------------------------------------------------ the same in SQL
 def u(key: str) -> str:
     return draw_sql("prompt_id", f"'{key}'")
@@ -402,6 +406,48 @@ def registry_custom_fn(t):
     )
     names = sorted([*DRAWABLE[:2], "value_gap"])
     plan = Q.plan_prompts(prompt_ids(t), meta(t), SEED, names)
-    packed = Q.pack_tables(processed(t), COLUMNS, BUDGET)
+    packed = Q.pack_tables(processed(t), COLUMNS)
     out = Q.render(Q.answer(plan, packed, DIGITS, custom={"value_gap": gap}), {"value_gap": gap})
     return out.where(F.col("fn") == "value_gap")
+
+
+@query("registry_custom_pair", f"""WITH {plan_sql(sorted([*DRAWABLE[:2], 'mean_gap']))},
+x AS (SELECT table_id, c, avg(v) AS mean FROM (""" + " UNION ALL ".join(
+    f"SELECT table_id, {i} AS c, {c}::DOUBLE AS v FROM processed" for i, c in enumerate(COLUMNS[:5])) + f""") GROUP BY 1, 2),
+f AS (SELECT *, {d_int('factor', '1', '9')} AS factor FROM plan WHERE fn = 'mean_gap')
+SELECT prompt_id, f.table_id, fn, 'By how much do the means of columns ' || pair_col1 || ' and ' || pair_col2 || ' differ, ' || factor || ' times?' AS question,
+  'By ' || {dec('round((a.mean - b.mean) * factor, 4)')} || '.' AS answer
+FROM f JOIN x a ON a.table_id = f.table_id AND a.c = pair_col1 JOIN x b ON b.table_id = f.table_id AND b.c = pair_col2""")
+def registry_custom_pair(t):
+    """A question type on two columns with a draw of its own."""
+    x, y, factor = F.col("x"), F.col("y"), F.col("factor")
+    gap = Q.CustomFunction(
+        "By how much do the means of columns {index} and {second} differ, {factor} times?", "By {gap}.",
+        lambda: {
+            "gap": render_number(F.round((R.mean(x) - R.mean(y)) * factor, 4)),
+            "second": F.col("pair_col2").cast("string"), "factor": factor.cast("string"),
+        },
+        draws=lambda: {"factor": draw_int(uniform(SEED, "prompt_id", F.lit("factor")), 1, 9)}, columns=2,
+    )
+    custom = {"mean_gap": gap}
+    plan = Q.plan_prompts(prompt_ids(t), meta(t), SEED, sorted([*DRAWABLE[:2], "mean_gap"]))
+    packed = Q.pack_tables(processed(t), COLUMNS)
+    return Q.render(Q.answer(plan, packed, DIGITS, custom=custom), custom).where(F.col("fn") == "mean_gap")
+
+
+FROM_CELLS = ["find_value", "count_empty_cells", "unique_values", "compare_rows_or_columns", "sort_values", "value_present", "add_cells"]
+
+
+@query("prompts_from_cells", f"WITH p AS ({prompts_sql(FROM_CELLS)}) SELECT * FROM p")
+def prompts_from_cells(t):
+    """The same questions asked of tables that come as cells."""
+    return generated_from_cells(t, FROM_CELLS)
+
+
+@query("prompts_of_mixed_tables")
+def prompts_of_mixed_tables(t):
+    """Questions about every table of the folder, each of another schema, one per nation."""
+    cells = mixed_cells(t)
+    labelled = M.build_metadata(cells, SEED).where("label_index <> -1")
+    ids = t.table("nation").select(F.col("n_nationkey").alias("prompt_id"))
+    return Q.generate_prompts(ids, cells, labelled, None, SEED, digits=DIGITS)

@@ -21,7 +21,7 @@ SAMPLE = [
     "profile_all", "t_corr_steps", "t_robust_steps", "corpus_cells", "build_metadata", "preprocess_corpus", "label_encode",
     "generate_prompts", "slice_result", "spans_single", "training_text", "collate", "split_exact", "manifest",
 ]
-NAMES = list(queries.QUERIES) if os.environ.get("ALL_QUERIES") else SAMPLE
+NAMES = list(queries.ORACLE) if os.environ.get("ALL_QUERIES") else SAMPLE
 
 
 @pytest.fixture(scope="module")
@@ -44,7 +44,8 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(queries.QUERIES) == set(queries.ORACLE)
+    # questions about tables of many schemas: see test_text_jobs
+    assert set(queries.QUERIES) - set(queries.ORACLE) == {"prompts_of_mixed_tables"}
 
 
 @pytest.mark.parametrize("name", ["t_cumsum", "t_diffs", "t_sort", "mask_target", "corpus_scale", "spans_llama3", "generate_prompts", "profile_all"])

@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from cellwright.operators.cells import to_cells
 from cellwright.operators.positions import number_rows
 from cellwright.plans import chat as H, prompts as Q, synth as D
 from cellwright.plans.templates import DRAWABLE, TEMPLATES
@@ -28,12 +29,12 @@ def _meta(tables):
 @pytest.mark.parametrize("encoded", [True, False])
 def test_every_function_is_answered(spark, tables, encoded):
     ids = spark.range(400).select(F.col("id").alias("prompt_id"))
-    out = Q.generate_prompts(ids, tables, _meta(tables), COLUMNS, 20, 3, encoded=encoded).collect()
+    out = Q.generate_prompts(ids, tables, _meta(tables), COLUMNS, 3, encoded=encoded).collect()
     totals = {"sum_table_values", "average_table_values"}
     assert {r.fn for r in out} == set(DRAWABLE) - (set() if encoded else totals)
     assert all(r.question.endswith("\n<table>") for r in out)
     assert not any(re.search(r"\{\w+\}", r.question + r.answer) for r in out)
-    again = Q.generate_prompts(ids.repartition(3), tables.repartition(5), _meta(tables), COLUMNS, 20, 3, encoded=encoded)
+    again = Q.generate_prompts(ids.repartition(3), tables.repartition(5), _meta(tables), COLUMNS, 3, encoded=encoded)
     assert sorted(map(tuple, out)) == sorted(map(tuple, again.collect()))
 
 
@@ -43,7 +44,7 @@ def test_answers_against_plain_python(spark, tables):
     for r in sorted(tables.collect(), key=lambda r: r.row_id):
         data.setdefault(r.table_id, []).append(r)
     checked = 0
-    for r in Q.generate_prompts(ids, tables, _meta(tables), COLUMNS, 20, 3).collect():
+    for r in Q.generate_prompts(ids, tables, _meta(tables), COLUMNS, 3).collect():
         if r.fn == "top_n_values":
             n, col = map(int, re.match(r"What are the top (\d+) values in column (\d+)", r.question).groups())
             values = sorted((x[COLUMNS[col]] for x in data[r.table_id] if x[COLUMNS[col]] is not None), reverse=True)[:n]
@@ -69,16 +70,24 @@ def test_answers_against_plain_python(spark, tables):
     assert checked > 15
 
 
-def test_tables_over_the_budget_are_refused(tables):
-    with pytest.raises(ValueError, match="downsample"):
-        Q.pack_tables(tables, COLUMNS, 19)
+def test_cells_of_mixed_schemas_give_the_same_answers(spark, tables):
+    """Tables as cells, beside a table of another schema, answer like the wide form."""
+    ids = spark.range(150).select(F.col("id").alias("prompt_id"))
+    meta = Q.corpus_meta(tables, COLUMNS[-1], COLUMNS)
+    wide = {tuple(r) for r in Q.generate_prompts(ids, tables, meta, COLUMNS, 3).collect()}
+    other = spark.createDataFrame([(i, "x" * i, i % 2 == 0) for i in range(30_000)], "row_id long, s string, b boolean")
+    cells = to_cells(tables, "table_id", columns=COLUMNS).unionByName(to_cells(other, F.lit("z_other.csv")))
+    assert {tuple(r) for r in Q.generate_prompts(ids, cells, meta, None, 3).collect()} == wide
+    long = meta.where("false").unionByName(spark.createDataFrame([("z_other.csv", 30_000, 2, [1, 1], 1, False, None)], meta.schema))
+    out = Q.generate_prompts(ids.limit(25), cells, long, None, 3).collect()
+    assert out and {r.table_id for r in out} == {"z_other.csv"}
 
 
 def test_no_numeric_columns_skips_instead_of_failing(spark):
     df = spark.createDataFrame([("t.csv", 0, "x", "y"), ("t.csv", 1, "x", "z")], "table_id string, row_id long, s string, y string")
     meta = Q.corpus_meta(df, "y", ["s", "y"])
     ids = spark.range(120).select(F.col("id").alias("prompt_id"))
-    out = Q.generate_prompts(ids, df, meta, ["s", "y"], 5, 3).collect()
+    out = Q.generate_prompts(ids, df, meta, ["s", "y"], 3).collect()
     assert {r.fn for r in out} <= {"find_value", "fetch_neighbors", "table_shape", *Q.AXIS_FNS, *Q.VALUE_FNS} and out
 
 
@@ -90,7 +99,7 @@ def test_causal_prefers_positive_entries_and_skips_empty_ones(spark, tables):
         F.array(*[F.lit(0)] * 3).alias("categorical_columns"), F.lit(2).alias("label_index"), F.lit(True).alias("has_causal"), "causal_info",
     )
     ids = spark.range(40).select(F.col("id").alias("prompt_id"))
-    out = Q.generate_prompts(ids, tables, meta, COLUMNS, 20, 3).collect()
+    out = Q.generate_prompts(ids, tables, meta, COLUMNS, 3).collect()
     assert {(r.table_id, r.answer) for r in out} == {("Causal_Table1.csv", "Yes, there is a causal relationship between feature r and feature s.")}
 
 
