@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.draws import uniform
 from ..functions.text import render_number
+from ..session import store
 
 WHOLE_TYPES = ("tinyint", "smallint", "int", "bigint")
 NUMERIC_TYPES = (*WHOLE_TYPES, "float", "double")
@@ -133,7 +134,8 @@ def label_stats(profile: DataFrame, seed: int) -> DataFrame:
 
 def build_metadata(cells: DataFrame, seed: int, causal: DataFrame | None = None) -> DataFrame:
     """The metadata record of every table of the corpus."""
-    profile = column_profile(cells)
+    # one row per column, used several times below
+    profile = store(column_profile(cells), "profile")
     synthetic = F.col("table_id").endswith(".csv")
     flags = F.transform(
         F.array_sort(F.collect_list(F.struct("col_id", "categorical"))), lambda c: c["categorical"]

@@ -104,7 +104,7 @@ def corpus_cells(t):
 
 
 def profile(t):
-    return M.column_profile(corpus_cells(t))
+    return t.once("profile", lambda: store(M.column_profile(corpus_cells(t)), "profile"))
 
 
 # ------------------------------------------------------------------ sources and sinks
