@@ -15,7 +15,7 @@ positive examples are each toxic document's highest window so far, the negative
 ones random and highest windows of the others.
 
 What is learned from: at most ``PER_CLASS`` labelled documents of either class (chosen
-by a hash of their id), and of each a passage of at most ``PASSAGE`` characters.
+by a hash of their id), and ``CLEAN_MORE`` times as many clean ones to set the scores' scale, and of each a passage of at most ``PASSAGE`` characters.
 
 Defined results
     null or wordless text   score 0
@@ -51,8 +51,9 @@ PER_CLASS = 600
 PASSAGE = 6000
 #: training documents that hold a word of the vocabulary, at least
 LEAST_SEEN = 6
-#: of the sample, every so many-th document is kept from training, to set the scores' scale
-CALIBRATE = 4
+#: of the sample, every so many-th document is kept from training, to set the scores' scale,
+#: and so many clean ones for each of ``PER_CLASS`` are only for that
+CALIBRATE, CLEAN_MORE = 4, 2
 DECAY = 0.02
 TOXIC = 0.7
 
@@ -65,7 +66,7 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> list[tuple[str, int]]:
     known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     label = {}
     for y in (0, 1):  # the first so many of a class by hash, found in each task before they meet
-        first = known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(PER_CLASS)
+        first = known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(PER_CLASS * (1 if y else 1 + CLEAN_MORE))
         label |= {r["doc_id"]: y for r in first.collect()}
     if len(set(label.values())) < 2:
         return []
@@ -181,9 +182,12 @@ class ToxicityNet:
 def train(rows: list[tuple[str, int]], steps: int = 320, half: int = 64) -> ToxicityNet | None:
     """Fit a network to (passage, label) rows; None without both labels."""
     rows = [r for r in rows if r[0]]
-    apart = rows[::CALIBRATE]
-    if len({y for _, y in apart}) == 2 and len({y for k, (_, y) in enumerate(rows) if k % CALIBRATE}) == 2:
-        rows = [r for k, r in enumerate(rows) if k % CALIBRATE]
+    bad, good = ([r for r in rows if r[1] == y] for y in (1, 0))
+    own, more = good[:PER_CLASS], good[PER_CLASS:]
+    apart = [*bad[::CALIBRATE], *own[::CALIBRATE], *more]
+    learned = [r for part in (bad, own) for k, r in enumerate(part) if k % CALIBRATE]
+    if len({y for _, y in apart}) == 2 == len({y for _, y in learned}):
+        rows = learned
     else:  # too few to keep any from training
         apart = rows
     words = Words(*text_bytes(pa.array([t for t, _ in rows], pa.string())))
@@ -273,7 +277,8 @@ def _calibrate(logits: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     """Slope and shift: a logistic fit of the documents' highest windows gives the slope.
 
     The shift puts ``TOXIC`` in the middle of the cuts that err least, a clean
-    document above the cut counting as much as three toxic ones below it.
+    document above the cut counting as much as six toxic ones below it: the sample
+    has as many of either, but most documents are clean.
     """
     ok = np.isfinite(logits)
     x, y = np.clip(logits[ok], -20, 20), label[ok].astype(float)
@@ -287,7 +292,7 @@ def _calibrate(logits: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     x, y = x[order], y[order]
     missed = np.concatenate([[0], np.cumsum(y)]) / max(y.sum(), 1)
     wrong = ((1 - y).sum() - np.concatenate([[0], np.cumsum(1 - y)])) / max((1 - y).sum(), 1)
-    cost = missed + 3 * wrong
+    cost = missed + 6 * wrong
     best = np.flatnonzero(cost <= cost.min() + 1e-9)
     edges = np.concatenate([[x[0] - 1], x, [x[-1] + 1]])
     cut = (edges[best[0]] + edges[best[-1] + 1]) / 2
