@@ -14,7 +14,8 @@ signature stores one 32-bit hash of (term, t) per sample.
 All of it is column expressions: words are hashed and sorted inside their row,
 equal neighbours become weights, the terms are exploded, and each sample is one
 minimum over a long (ln a in the high bits, the hash in the low ones), combined
-in the task that read the text, before anything moves.
+in the task that read the text, before anything moves. Samples are independent, so
+the likeness of two texts of similarity s has variance s (1 - s) / SAMPLES.
 
 Defined results
     null or empty text       no terms: every sample is empty (zeros); such texts
@@ -33,33 +34,31 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..operators.positions import number_rows
 from ..session import store
 
-SAMPLES = 20
-#: so many samples of a term share their r; each still has its own c and b
-SHARED = 4
+SAMPLES = 64
 _LOW = (1 << 32) - 1
 
 
-def _uniform(bits: Column, width: int) -> Column:
-    return (bits + F.lit(0.5)) * F.lit(2.0**-width)
+def _uniform(bits: str, width: int) -> str:
+    return f"(({bits}) + 0.5D) * {2.0**-width!r}D"
 
 
-def _r(term: Column, k: int) -> Column:
-    bits = F.xxhash64(term, F.lit(-1 - k // SHARED))
-    return -F.ln(_uniform(F.shiftrightunsigned(bits, 32), 32) * _uniform(bits.bitwiseAND(F.lit(_LOW)), 32))
+def _sample(k: int) -> Column:
+    """ln a of one sample as fixed point in the high half of a long, a hash of (term, t) in the low half.
 
-
-def _sample(term: Column, log_weight: Column, r: Column, k: int) -> Column:
-    """ln a of one sample as fixed point in the high half of a long, a hash of (term, t) in the low half."""
-    bits = F.xxhash64(term, F.lit(k))
-    u = _uniform(F.shiftrightunsigned(bits, 43), 21)
-    v = _uniform(F.shiftrightunsigned(bits, 22).bitwiseAND(F.lit((1 << 21) - 1)), 21)
-    b = _uniform(bits.bitwiseAND(F.lit((1 << 22) - 1)), 22)
-    t = F.floor(log_weight / r + b)
-    log_a = F.ln(-F.ln(u * v)) - r * (t - b + F.lit(1.0))
+    Two hashes of (_term, k) give r, c and b of this sample alone. Written as one
+    SQL text, as building so many columns one call at a time takes longer than small inputs.
+    """
+    bits, more = f"xxhash64(_term, {k})", f"xxhash64(_term, {-1 - k})"
+    u = _uniform(f"shiftrightunsigned({bits}, 43)", 21)
+    v = _uniform(f"shiftrightunsigned({bits}, 22) & {(1 << 21) - 1}L", 21)
+    b = _uniform(f"{bits} & {(1 << 22) - 1}L", 22)
+    r = f"(-ln({_uniform(f'shiftrightunsigned({more}, 32)', 32)} * {_uniform(f'{more} & {_LOW}L', 32)}))"
+    t = f"floor(_lnw / {r} + {b})"
+    log_a = f"ln(-ln({u} * {v})) - {r} * ({t} - {b} + 1.0D)"
     # ln a lies between about -120 and 4
-    high = F.floor((log_a + F.lit(1000.0)) * F.lit(float(1 << 20)))
-    name = bits.bitwiseXOR(F.shiftleft(t, 8)).bitwiseXOR(F.shiftleft(t, 21))
-    return F.shiftleft(high, 32).bitwiseOR(name.bitwiseAND(F.lit(_LOW)))
+    high = f"floor(({log_a} + 1000.0D) * {float(1 << 20)!r}D)"
+    name = f"({bits} ^ ({t} * {(1 << 21) + (1 << 8)}L))"
+    return F.expr(f"shiftleft({high}, 32) | ({name} & {_LOW}L)")
 
 
 def signatures(texts: DataFrame, key: list[str], text: str = "text", samples: int = SAMPLES) -> DataFrame:
@@ -79,12 +78,8 @@ def signatures(texts: DataFrame, key: list[str], text: str = "text", samples: in
     rows = ends.select(*key, "_w", "_ends", F.posexplode_outer("_ends").alias("_j", "_end"))
     weight = F.col("_end") - F.coalesce(F.get("_ends", F.col("_j") - 1), F.lit(0))
     terms = rows.select(*key, F.get("_w", F.col("_end") - 1).alias("_term"), F.ln(weight).alias("_lnw"))
-    groups = range((samples + SHARED - 1) // SHARED)
-    terms = terms.select("*", *[_r(F.col("_term"), g * SHARED).alias(f"_r{g}") for g in groups])
-    best = [
-        F.min(_sample(F.col("_term"), F.col("_lnw"), F.col(f"_r{k // SHARED}"), k)).alias(f"_s{k}") for k in range(samples)
-    ]
-    best[0] = F.min(F.when(F.col("_term").isNotNull(), _sample(F.col("_term"), F.col("_lnw"), F.col("_r0"), 0))).alias("_s0")
+    best = [F.min(_sample(k)).alias(f"_s{k}") for k in range(samples)]
+    best[0] = F.min(F.when(F.col("_term").isNotNull(), _sample(0))).alias("_s0")
     found = terms.groupBy(*key).agg(*best)
     each = [
         F.when(F.col("_s0").isNull(), F.lit(0)).otherwise(F.col(f"_s{k}").bitwiseAND(F.lit(_LOW))) for k in range(samples)
@@ -152,14 +147,20 @@ def compare_edited(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
         F.posexplode(F.array("text", "edited")).alias("edit", "text"),
     )
     key = ["ident", "h", "edit", "doc_id", "copies", "n_chars", "edited_sha256"]
-    signed = store(signatures(both, key, samples=samples), "signatures")
+    # kept and moved as 32-bit integers around zero, half the bytes of longs
+    narrow = F.transform("signature", lambda x: (x - F.lit(1 << 31)).cast("int"))
+    signed = store(signatures(both, key, samples=samples).withColumn("signature", narrow), "signatures")
     base = signed.where("edit = 0").drop("edit")
     edited = signed.where("edit = 1").select("ident", "h", F.col("signature").alias("edited_signature"))
     following = base.select(
         F.col("ident").alias("next_ident"), F.col("h").alias("next_h"), F.col("signature").alias("next_signature")
     )
     found = base.join(edited, ["ident", "h"]).join(order, ["ident", "h"]).join(following, ["next_ident", "next_h"])
+    wide = [
+        F.transform(c, lambda x: x.cast("bigint") + F.lit(1 << 31)).alias(c)
+        for c in ("signature", "edited_signature", "next_signature")
+    ]
     return found.select(
-        "doc_id", "n_chars", "edited_sha256", "signature", "edited_signature", "next_signature",
+        "doc_id", "n_chars", "edited_sha256", *wide,
         F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"),
     ).drop("copy")

@@ -149,6 +149,27 @@ def test_collision_rate_is_generalised_jaccard(spark):
     assert max(map(abs, errors)) < 0.13 and abs(sum(errors) / len(errors)) < 0.02
 
 
+def test_likeness_at_production_samples_errs_like_independent_samples(spark):
+    rng = random.Random(17)
+    pairs = []
+    for i in range(400):
+        base = [f"{i}-{rng.randint(0, 40)}" for _ in range(60)]
+        pairs.append((" ".join(base), " ".join(w if rng.random() < 0.75 else f"{i}-{rng.randint(0, 40)}" for w in base)))
+    rows = [(i, side, t) for i, pair in enumerate(pairs) for side, t in enumerate(pair)]
+    got = fingerprints.signatures(spark.createDataFrame(rows, "i int, side int, text string"), ["i", "side"]).collect()
+    sig = {(r["i"], r["side"]): r["signature"] for r in got}
+    samples = len(sig[0, 0])
+    wrong, scaled = [], []
+    for i, (a, b) in enumerate(pairs):
+        true = jaccard(a, b)
+        error = sum(x == y for x, y in zip(sig[i, 0], sig[i, 1])) / samples - true
+        wrong.append(error**2)
+        scaled.append(error**2 / (true * (1 - true) / samples))
+    assert samples >= 64 and math.sqrt(sum(wrong) / len(wrong)) < 0.07
+    # 1 when samples do not depend on one another
+    assert math.sqrt(sum(scaled) / len(scaled)) < 1.12
+
+
 def test_edited_texts_and_defined_cases(spark):
     texts = {1: "Ab cd ef gh ij kl", 2: None, 3: "", 5: "é😀 " * 9, 8: "Ab cd ef gh ij kl", 9: "x", 11: "many words " * 4000}
     rows = [(k, t, 0) for k, t in texts.items()] + [(5, texts[5], 0)]
