@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chatfmt, decontam, fingerprints, langid, packing, sharding, simhash, tokencount, toxicity, urls
+from . import (
+    chatfmt, decontam, fingerprints, langid, negatives, packing, sharding, simhash, spelling, suffixes, tokencount, toxicity, urls,
+)
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -204,3 +206,48 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The number of tokens of every document."""
     found = tokencount.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return found.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+# ------------------------------------------------------------------ 11 hard negatives
+@query(
+    "op11_hard_negatives",
+    """
+WITH fit AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+    coalesce(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])), 0)::BIGINT AS score
+  FROM fit a JOIN fit b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER w AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)""",
+)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten hard negatives for each of five positives of every hundredth vector."""
+    vectors = table(spark, sf_dir, "embeddings")
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine_negatives(vectors.withColumn("label", relabelled), anchors=F.col("vec_id") % 100 == 0)
+
+
+# ------------------------------------------------------------------ 12 spelling variants
+@query("op12_spelling_variants")
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, one code point taken out of every 199th, grouped with the words they vary."""
+    words = spelling.count_words(table(spark, sf_dir, "documents"), damage=199)
+    return spelling.group_variants(words)
+
+
+# ------------------------------------------------------------------ 13 repeated strings
+@query("op13_repeated_strings")
+def op13_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes that a repeated string of 400 bytes covers."""
+    found = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
