@@ -13,7 +13,12 @@ an edit can only follow its word. A word's state that ends on a node where a
 word ends, with one edit, is a pair of neighbours. Rounds are stored, and there are as
 many as the longest word has code points.
 
-The first two levels have few nodes and all the states, so their edges are copied to
+Near the root a node has very many words below it, and an edit there leads into all of them. So
+words are walked twice, from their begins and from their ends, and spend their edit in the half
+they come to last. Each edge has a summary of the words below it (64 bits of their last symbols and
+lengths), and a state with an edit stops where no word below can end as its own does.
+
+The first two levels have few nodes and all the words, so their edges are copied to
 ``SPREAD`` keys and the states dealt over them. Words of more than ``LONGEST`` code
 points do not go through the trie (a text without a blank would take a round for each
 of its letters): they are matched by hashes of themselves with one code point
@@ -117,55 +122,78 @@ def _spread(node: Column, word: Column) -> Column:
     return F.when(F.length(node) <= 1, F.pmod(F.xxhash64(word), F.lit(SPREAD)).cast("int")).otherwise(F.lit(0))
 
 
+def _ending(word: Column, left: Column) -> Column:
+    """One bit of 64 for the last three symbols of a word and how many of its symbols are left."""
+    at = F.pmod(F.xxhash64(F.right(word, F.lit(3)), left.cast("int")), F.lit(64)).cast("int")
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), at)
+
+
 def trie_edges(words: DataFrame) -> DataFrame:
-    """node, symbol, child, ends (a word ends at the child), part: the edges of the trie of ``words``."""
+    """node, symbol, child, ends (a word ends at the child), below, part: the edges of the trie of ``words``.
+
+    ``below`` has the bits (``_ending``) of all words that go through the edge.
+    """
     steps = words.select("word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("i"))
     edges = steps.groupBy(
         F.substring("word", F.lit(1), F.col("i") - 1).alias("node"), F.substring("word", F.col("i"), F.lit(1)).alias("symbol")
-    ).agg(F.max(F.col("i") == F.length("word")).alias("ends"))
+    ).agg(
+        F.max(F.col("i") == F.length("word")).alias("ends"), F.bit_or(_ending(F.col("word"), F.length("word") - F.col("i"))).alias("below")
+    )
     copies = F.when(F.length("node") <= 1, F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))
-    return edges.select("node", "symbol", F.concat("node", "symbol").alias("child"), "ends", F.explode(copies).alias("part"))
+    return edges.select("node", "symbol", F.concat("node", "symbol").alias("child"), "ends", "below", F.explode(copies).alias("part"))
 
 
-def _walk(words: DataFrame) -> DataFrame:
-    """word, near: pairs one edit apart, by one join with the edges for each level."""
-    edges = store(trie_edges(words), "edges")
+def _walk(words: DataFrame, backwards: bool) -> DataFrame:
+    """word, near: pairs one edit apart whose edit lies in the second half of ``word``, or in the first half if
+    ``backwards``, by one join with the edges for each level. Backwards both are walked from their ends."""
+    if backwards:
+        words = words.select(F.reverse("word").alias("word"))
+    edges = store(trie_edges(words), "edges").withColumnRenamed("ends", "_ends")
     states = words.select("word", F.lit(0).alias("pos"), F.lit("").alias("node"), F.lit(0).alias("edits"), F.lit(False).alias("ends"))
-    pairs = []
+    half = F.floor(F.length("word") / 2).cast("int")
+    first = F.length("word") - half if backwards else half
     at_end = F.col("pos") == F.length("word")
     own = F.substring("word", F.col("pos") + 1, F.lit(1))
-    while True:
-        states = states.withColumn("part", _spread(F.col("node"), F.col("word")))
-        whole, edited = states.where("edits = 0"), states.where("edits = 1")
+    step, child, ends = F.col("pos") + 1, F.col("child"), F.col("_ends")
+    open_ = (F.col("edits") == 0) & (F.col("pos") >= first)
+    pairs = []
+
+    def leads(pos, node):
+        """Can a word below ``node`` end as the rest of the own word has it?"""
+        rest = F.substring("word", pos + 1, F.length("word"))
+        return F.col("below").bitwiseAND(_ending(F.concat(node, rest), F.length("word") - pos)) != 0
 
-        def state(pos, node, edits, ends):
-            return F.struct(pos.alias("pos"), node.alias("node"), edits.alias("edits"), ends.alias("ends"))
+    def state(pos, node, edits, ends):
+        return F.when((edits == 0) | leads(pos, node), F.struct(pos.alias("pos"), node.alias("node"), edits.alias("edits"), ends.alias("ends")))
 
-        step, child, ends = F.col("pos") + 1, F.col("child"), F.col("_ends")
-        same = own == F.col("symbol")
-        down = whole.drop("ends").join(edges.withColumnRenamed("ends", "_ends"), ["node", "part"])
-        down = down.select(
+    while True:
+        states = states.withColumn("part", _spread(F.col("node"), F.col("word")))
+        # every move: follow or replace the own symbol, or insert one
+        free = states.where(open_)
+        down = free.drop("ends").join(edges, ["node", "part"]).select(
             "word",
             F.inline(F.filter(
                 F.array(
-                    F.when(~at_end, state(step, child, F.when(same, F.lit(0)).otherwise(F.lit(1)), ends)),  # followed or replaced
-                    state(F.col("pos"), child, F.lit(1), ends),  # inserted
+                    F.when(~at_end, state(step, child, F.when(own == F.col("symbol"), F.lit(0)).otherwise(F.lit(1)), ends)),
+                    state(F.col("pos"), child, F.lit(1), ends),
                 ),
                 lambda s: s.isNotNull(),
             )),
         )
-        left_out = whole.where(~at_end).select("word", step.alias("pos"), "node", F.lit(1).alias("edits"), "ends")
-        followed = edited.where(~at_end).drop("ends").withColumn("symbol", own).join(
-            edges.withColumnRenamed("ends", "_ends"), ["node", "symbol", "part"]
-        ).select("word", step.alias("pos"), child.alias("node"), F.lit(1).alias("edits"), ends.alias("ends"))
-        states = store(down.unionByName(left_out).unionByName(followed).distinct(), "states")
+        left_out = free.where(~at_end).select("word", step.alias("pos"), "node", F.lit(1).alias("edits"), "ends")
+        # no move but the own symbol: the edit is not due yet, or is spent
+        bound = states.where(~open_ & ~at_end).drop("ends").withColumn("symbol", own)
+        followed = bound.join(edges, ["node", "symbol", "part"]).where((F.col("edits") == 0) | leads(step, child)).select(
+            "word", step.alias("pos"), child.alias("node"), "edits", ends.alias("ends")
+        )
+        states = store(down.unionByName(left_out).unionByName(followed), "states")
         pairs.append(states.where(at_end & F.col("ends") & (F.col("edits") == 1)).select("word", F.col("node").alias("near")))
         if states.isEmpty():
             break
     out = pairs[0]
     for p in pairs[1:]:
         out = out.unionByName(p)
-    return out
+    return out.select(F.reverse("word").alias("word"), F.reverse("near").alias("near")) if backwards else out
 
 
 # ------------------------------------------------------------------ neighbours of very long words
@@ -217,8 +245,9 @@ def _match_long(words: DataFrame, longest: int) -> DataFrame:
 
 def near_words(words: DataFrame, longest: int = LONGEST) -> DataFrame:
     """word, near: all ordered pairs of the distinct words in ``words`` that are one edit apart."""
-    short = _walk(words.where(F.length("word") <= longest).select("word"))
-    return short.unionByName(_match_long(words, longest)).distinct()
+    short = words.where(F.length("word") <= longest).select("word")
+    found = _walk(short, False).unionByName(_walk(short, True))
+    return found.unionByName(_match_long(words, longest)).distinct()
 
 
 # ------------------------------------------------------------------ forms and roots
