@@ -132,45 +132,64 @@ def group_sizes(df: DataFrame, within) -> DataFrame:
     return store(df.groupBy(*within).agg(F.count(F.lit(1)).alias("n")), "sizes")
 
 
+def _with_group_value(df: DataFrame, values: DataFrame, name: str, within) -> DataFrame:
+    """Attach a column that has one value for each group; without groups it is one scalar."""
+    if within:
+        return df.join(values.select(*within, name), list(within), "left")
+    return df.withColumn(name, values.select(name).scalar())
+
+
+#: bits of a draw that one histogram looks at, and how often it is refined
+_BITS, _ROUNDS = 12, 2
+
+
+def lowest_cuts(rows: DataFrame, draw: str, tie, wanted: DataFrame, within=()) -> DataFrame:
+    """within, _cut: the last of the ``_k`` smallest (draw, tie) of each group; no row for groups with none.
+
+    ``rows`` needs only within, draw and tie, and is read once for each histogram: one counts the
+    draws of every group by their first 12 bits, the next one those in the bin where the
+    group's count is reached by 12 more. The rows left in that last bin, one in 16 million,
+    are ranked. ``wanted`` has within and _k.
+    """
+    within, tie = list(within), list(tie)
+    left = wanted.where("_k > 0").select(*within, F.col("_k").alias("_left"), F.lit(0).cast("bigint").alias("_bin"))
+    earlier = Window.partitionBy(*within).orderBy("_bin").rowsBetween(*_BEFORE)
+    inside = rows
+    for step in range(1, _ROUNDS + 1):
+        scale = float(1 << (_BITS * step))
+        binned = inside.withColumn("_bin", F.floor(F.col(draw) * scale))
+        counts = binned.groupBy(*within, "_bin").agg(F.count(F.lit(1)).alias("_n")).withColumn(
+            "_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+        )
+        joined = _with_group_value(counts, left, "_left", within)
+        # the bin where the count is reached: one row for each group
+        left = store(
+            joined.where((F.col("_before") < F.col("_left")) & (F.col("_left") <= F.col("_before") + F.col("_n"))).select(
+                *within, (F.col("_left") - F.col("_before")).alias("_left"), "_bin"
+            ), "cut_bins",
+        )
+        inside = binned.join(left.select(*within, "_bin"), [*within, "_bin"], "left_semi").drop("_bin")
+    key = F.struct(draw, *tie)
+    order = Window.partitionBy(*within).orderBy(draw, *tie)
+    ranked = inside.select(*within, key.alias("_cut"), F.row_number().over(order).alias("_at"))
+    joined = _with_group_value(ranked, left, "_left", within)
+    return store(joined.where(F.col("_at") == F.col("_left")).select(*within, "_cut"), "cuts")
+
+
 def take_lowest(
-    df: DataFrame, draw: str, tie, how_many: Column, within=(), out: str = "chosen",
-    sizes: DataFrame | None = None, block: int = BLOCK,
+    df: DataFrame, draw: str, tie, how_many: Column, within=(), out: str = "chosen", sizes: DataFrame | None = None
 ) -> DataFrame:
     """Flag exactly ``how_many`` rows per group: those with the smallest draws.
 
     ``draw`` is uniform in [0, 1), ``tie`` makes the order total and
-    ``how_many`` is an expression over ``n``, the rows of the group. The unit
-    interval is cut into about n/block equal slices; slices wholly below or
-    above the cut are decided by their counts, the one that holds it by rank.
-    ``sizes`` may pass group sizes that are already known.
+    ``how_many`` is an expression over ``n``, the rows of the group. Each group's cut
+    point is found from the draws alone (``lowest_cuts``); the rows then only compare
+    themselves with it, so wide rows are neither sorted nor ranked. ``sizes`` may pass group
+    sizes that are already known.
     """
-    within = list(within)
+    within, tie = list(within), list(tie)
     sizes = group_sizes(df, within) if sizes is None else sizes
-    wanted = sizes.select(
-        *within,
-        how_many.cast("bigint").alias("_k"),
-        F.ceil(F.col("n") / block).alias("_slices"),
-    )
-    if within:
-        sized = df.join(wanted, within)
-    else:
-        one = wanted.select(F.struct("_k", "_slices")).scalar()
-        sized = df.withColumn("_k", one["_k"]).withColumn("_slices", one["_slices"])
-    blocked = sized.withColumn("_block", F.floor(F.col(draw) * F.col("_slices")))
-    totals = blocked.groupBy(*within, "_block").agg(F.count(F.lit(1)).alias("_total"))
-    earlier = Window.partitionBy(*within).orderBy("_block").rowsBetween(*_BEFORE)
-    offsets = totals.select(
-        *within, "_block", "_total",
-        F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset"),
-    )
-    inside = Window.partitionBy(*within, "_block").orderBy(draw, *tie)
-    flag = (
-        F.when(F.col("_offset") + F.col("_total") <= F.col("_k"), F.lit(True))
-        .when(F.col("_offset") >= F.col("_k"), F.lit(False))
-        .otherwise(F.col("_offset") + F.row_number().over(inside) <= F.col("_k"))
-    )
-    return (
-        blocked.join(_hashed(offsets), [*within, "_block"])
-        .withColumn(out, flag)
-        .drop("_k", "_slices", "_block", "_total", "_offset")
-    )
+    wanted = sizes.select(*within, F.least(how_many, F.col("n")).cast("bigint").alias("_k"))
+    cuts = lowest_cuts(df.select(*within, draw, *tie), draw, tie, wanted, within)
+    cut = _with_group_value(df, cuts, "_cut", within)
+    return cut.withColumn(out, F.coalesce(F.struct(draw, *tie) <= F.col("_cut"), F.lit(False))).drop("_cut")

@@ -250,39 +250,40 @@ def build_training_text(turns: DataFrame, tables: DataFrame, columns, style_name
 # ------------------------------------------------------------------ token arrays
 def mask_labels(df: DataFrame, ids: str, lead: list[int], end: int) -> DataFrame:
     """``labels``: the ids inside spans that start after each occurrence of
-    ``lead`` and stop before the next ``end`` id; -100 elsewhere."""
+    ``lead`` and stop before the next ``end`` id; -100 elsewhere.
+
+    Span starts and ``end`` ids are events of an automaton with two states, sorted by place (a
+    start before an end at the same place). Each event decides the ids up to the next one, so the array
+    is cut into as many runs as there are events and put together once.
+    """
     a, k = F.col(ids), len(lead)
     wanted = F.array(*[F.lit(x) for x in lead])
     none = F.array().cast("array<int>")
-    places = F.sequence(F.lit(0), F.size(a) - 1)
-    starts = F.when(
-        F.size(a) >= k,
-        F.transform(
-            F.filter(
-                F.sequence(F.lit(0), F.size(a) - k),
-                # the first id is compared before a slice is cut
-                lambda i: (F.get(a, i) == lead[0]) & (F.slice(a, i + 1, F.lit(k)) == wanted),
-            ),
-            lambda i: i + k,
-        ),
+    size = F.size(a)
+    begins = F.when(
+        size >= k,
+        # the first id is compared before a slice is cut
+        F.filter(F.sequence(F.lit(0), size - k), lambda i: (F.get(a, i) == lead[0]) & (F.slice(a, i + 1, F.lit(k)) == wanted)),
     ).otherwise(none)
-    stops = F.when(F.size(a) > 0, F.filter(places, lambda i: F.get(a, i) == end)).otherwise(none)
-    def spans(m):
-        return F.transform(
-            m["starts"],
-            lambda b: F.struct(
-                b.alias("b"), F.coalesce(F.array_min(F.filter(m["stops"], lambda e: e >= b)), F.size(a)).alias("e")
-            ),
-        )
-
-    def masked(found):
-        return F.transform(
-            a, lambda x, i: F.when(F.exists(found, lambda s: (i >= s["b"]) & (i < s["e"])), x).otherwise(F.lit(IGNORE))
-        )
-
-    # starts, stops and spans are computed once per array, not once per element
-    places = F.struct(starts.alias("starts"), stops.alias("stops"))
-    return df.withColumn("labels", let(let(places, spans), masked))
+    ends = F.when(size > 0, F.filter(F.sequence(F.lit(0), size - 1), lambda i: F.get(a, i) == end)).otherwise(none)
+
+    def event(place, kind):
+        return F.struct(place.alias("at"), F.lit(kind).alias("kind"))
+
+    events = F.array_sort(F.concat(F.transform(begins, lambda i: event(i + k, 0)), F.transform(ends, lambda i: event(i, 1))))
+
+    def ignored(n):
+        return F.array_repeat(F.lit(IGNORE), n)
+
+    def runs(found):
+        def run(e, j):
+            n = F.coalesce(F.get(found, j + 1)["at"], size) - e["at"]
+            return F.when(e["kind"] == 0, F.slice(a, e["at"] + 1, n)).otherwise(ignored(n))
+
+        before = F.array(ignored(F.coalesce(F.get(found, F.lit(0))["at"], size)))
+        return F.flatten(F.concat(before, F.transform(found, run)))
+
+    return df.withColumn("labels", F.when(a.isNotNull(), let(events, runs)))
 
 
 def collate(df: DataFrame, order_by, batch: int, pad: int, max_len: int, ids="input_ids") -> DataFrame:

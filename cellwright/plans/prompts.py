@@ -2,68 +2,32 @@
 
 1. ``plan_prompts``: every draw of every prompt (table, function, axis,
    indices, constants), as columns computed from md5 of seed and prompt id.
-2. ``pack_cells`` / ``pack_tables``: one row per processed table, of any mix of
-   schemas, with its columns as arrays. No table is refused; a packed one has to
-   fit one row, so bring very large ones to a row budget (``downsample``) first.
-3. ``answer``: plan joined to packed tables by table_id; all functions are
-   expressions on the arrays, so after that join nothing is shuffled.
-4. ``render``: question and answer text; prompts that cannot be asked of
+2. ``answers.answer``: the plan joined, by family of functions, to the cells of the asked tables.
+3. ``render``: question and answer text; prompts that cannot be asked of
    their table come out NULL and are dropped.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
-from math import ceil
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import rows as R
 from ..functions.draws import draw_int, draw_item, uniform
 from ..functions.numbers import round_exact
-from ..functions.text import fixed, render_list, render_number
-from ..operators.cells import is_numeric
-from ..operators.metadata import WHOLE_TYPES, categorical_flag
+from ..functions.text import fixed, render_number
+from ..operators.cells import is_numeric, to_cells
 from ..operators.positions import number_rows
+from .answers import AXIS_FNS, PAIR_COLUMN_FNS, VALUE_FNS, CustomFunction, answer  # noqa: F401
 from .templates import (
     CAUSAL, DRAWABLE, SCALING_PROPERTIES, SCALING_STATS, SCALING_STEPS, choose, fill, fill_pieces, templates,
 )
 
 #: fixed values of the question sampler
-SLICE_SIZE = 5
 TOP_N = (1, 15)
 CONSTANT_RANGE = (1.0, 100.0)
 FILL_RANGE = (0, 100)
 METHODS = ("normalize", "standardize", "robust_scale")
 
-AXIS_FNS = ("non_empty_cells", "unique_values", "has_missing_values", "compare_rows_or_columns", "value_present", "fill_missing_values")
-CELL_FNS = ("find_value", "fetch_neighbors")
-PAIR_CELL_FNS = ("add_cells", "subtract_cells")
-PAIR_COLUMN_FNS = ("direct_correlation_between_columns", "stepwise_correlation_between_columns")
 TABLE_TOTAL_FNS = ("sum_table_values", "average_table_values")
-WHOLE_TABLE_FNS = (
-    *CELL_FNS, *PAIR_CELL_FNS, *TABLE_TOTAL_FNS,
-    "compare_rows_or_columns", "value_present", "find_all_cells_with_value", "count_value_occurrences",
-)
-VALUE_FNS = ("find_all_cells_with_value", "count_value_occurrences")
-
-
-@dataclass(frozen=True)
-class CustomFunction:
-    """A question type added by the user.
-
-    ``params`` maps placeholders of the two wordings to text expressions; they
-    may use ``x``, the drawn numeric column as an array, and ``index``. With
-    ``columns`` 2 there are two different numeric columns, ``x`` and ``y``, at ``index``
-    and ``pair_col2``. ``draws`` gives further columns of the plan, drawn from ``prompt_id``.
-    """
-
-    question: str
-    answer: str
-    params: Callable[[], dict[str, Column]]
-    draws: Callable[[], dict[str, Column]] | None = None
-    columns: int = 1
 
 
 # ------------------------------------------------------------------ plan
@@ -182,409 +146,6 @@ def corpus_meta(df: DataFrame, target: str, columns) -> DataFrame:
     )
 
 
-@dataclass(frozen=True)
-class Packed:
-    tables: DataFrame
-    n_tables: int
-
-
-def pack_tables(df: DataFrame, columns, row_id="row_id") -> Packed:
-    """``pack_cells`` for equally shaped tables in wide form: one shuffle of the wide rows."""
-    numeric = [is_numeric(df.schema[c]) for c in columns]
-    whole = [df.schema[c].dataType.simpleString() in WHOLE_TYPES for c in columns]
-    record = F.struct(row_id, *columns)
-    rows = df.groupBy("table_id").agg(F.array_sort(F.collect_list(record)).alias("_rows"))
-
-    def column(c, want, as_type):
-        if not want:
-            return F.lit(None).cast(f"array<{as_type}>")
-        return F.transform("_rows", lambda r: r[c].cast(as_type))
-
-    nums = F.array(*[column(c, n, "double") for c, n in zip(columns, numeric)])
-    texts = F.array(*[column(c, not n, "string") for c, n in zip(columns, numeric)])
-    packed = rows.select("table_id", nums.alias("nums"), texts.alias("texts"))
-    # an integer column with gaps is read back as floating point, so it prints decimals
-    wholes = F.array(*[F.lit(w) & ~F.coalesce(R.has_empty(F.get("nums", F.lit(i))), F.lit(True)) for i, w in enumerate(whole)])
-    kinds = F.array(*[F.lit(df.schema[c].dataType.simpleString()) for c in columns])
-    return Packed(
-        packed.select("table_id", "nums", "texts", kinds.alias("kinds"), wholes.alias("wholes")),
-        df.select("table_id").distinct().count(),
-    )
-
-
-def pack_cells(cells: DataFrame) -> Packed:
-    """table_id, nums, texts, kinds, wholes: each table's columns as arrays in row order.
-
-    ``nums[c]`` is set for numeric columns, ``texts[c]`` for the others. Tables may
-    have any mix of schemas. Columns are gathered one by one, then put together: a
-    table has to fit one row (2 GB) and is refused by nothing but that.
-    """
-    kind = F.col("col_type")
-    numeric = categorical_flag(kind) == 0
-    entry = F.struct("row_id", "v_num", "v_str")
-    columns = cells.groupBy("table_id", "col_id", "col_type").agg(F.array_sort(F.collect_list(entry)).alias("_c"))
-    nums = F.when(numeric, F.transform("_c", lambda c: c["v_num"]))
-    as_text = lambda c: F.coalesce(c["v_str"], F.when(c["v_num"].isNotNull(), (c["v_num"] != 0).cast("string")))
-    texts = F.when(~numeric, F.transform("_c", as_text))
-    whole = kind.isin(*WHOLE_TYPES) & ~F.exists("_c", lambda c: c["v_num"].isNull())
-    one = columns.select(
-        "table_id",
-        F.struct("col_id", nums.alias("nums"), texts.alias("texts"), kind.alias("kind"), whole.alias("whole")).alias("_col"),
-    )
-    tables = one.groupBy("table_id").agg(F.array_sort(F.collect_list("_col")).alias("_t"))
-    # a field of an array of structs is the array of that field
-    packed = tables.select(
-        "table_id", F.col("_t.nums"), F.col("_t.texts"), F.col("_t.kind").alias("kinds"), F.col("_t.whole").alias("wholes")
-    )
-    return Packed(packed, cells.select("table_id").distinct().count())
-
-
-# ------------------------------------------------------------------ answers
-def _quoted(s: Column) -> Column:
-    return F.when(s.contains("'"), F.concat(F.lit('"'), s, F.lit('"'))).otherwise(F.concat(F.lit("'"), s, F.lit("'")))
-
-
-def _cell(r: Column, c: Column, quote: bool) -> Column:
-    """Text of a cell; NULL when missing or outside."""
-    c = c.cast("int")
-    number = F.get(F.get("nums", c), r.cast("int"))
-    text = F.get(F.get("texts", c), r.cast("int"))
-    shown = F.when(number.isNotNull(), render_number(number, F.get("wholes", c)))
-    return F.coalesce(shown, _quoted(text) if quote else text)
-
-
-def _row_texts(r: Column) -> Column:
-    """All cells of a row as text; missing cells are NULL."""
-    return F.transform(F.sequence(F.lit(0), F.size("nums") - 1), lambda c: _cell(r, c, True))
-
-
-def _scaled(x: Column, method: Column) -> Column:
-    """Scaled present values of the array, for the method drawn."""
-    p = R.present(x)
-    center = choose(method, {"normalize": R.lowest(x), "standardize": R.mean(x), "robust_scale": R.median(x)})
-    width = choose(
-        method,
-        {
-            "normalize": R.spread(x), "standardize": R.deviation(x),
-            "robust_scale": R.quantile(x, 0.75) - R.quantile(x, 0.25),
-        },
-    )
-    return R.let(
-        F.struct(center.alias("c"), width.alias("w")),
-        lambda s: F.transform(p, lambda v: F.try_divide(v - s["c"], s["w"])),
-    )
-
-
-def _pair(x: Column, y: Column) -> Column:
-    """n, means, centred sums and r of two arrays over complete pairs."""
-    both = F.filter(F.arrays_zip(x.alias("x"), y.alias("y")), lambda p: p["x"].isNotNull() & p["y"].isNotNull())
-    xs, ys = F.transform(both, lambda p: p["x"]), F.transform(both, lambda p: p["y"])
-    means = F.struct(both.alias("b"), R.mean(xs).alias("mx"), R.mean(ys).alias("my"))
-
-    def sums(m):
-        zero = F.struct(F.lit(0.0).alias("xy"), F.lit(0.0).alias("xx"), F.lit(0.0).alias("yy"))
-        return F.aggregate(
-            m["b"], zero,
-            lambda s, p: F.struct(
-                (s["xy"] + (p["x"] - m["mx"]) * (p["y"] - m["my"])).alias("xy"),
-                (s["xx"] + (p["x"] - m["mx"]) * (p["x"] - m["mx"])).alias("xx"),
-                (s["yy"] + (p["y"] - m["my"]) * (p["y"] - m["my"])).alias("yy"),
-            ),
-        )
-
-    return R.let(
-        means,
-        lambda m: F.struct(
-            F.size(m["b"]).alias("n"), m["mx"].alias("x_mean"), m["my"].alias("y_mean"), sums(m).alias("s")
-        ),
-    )
-
-
-def attach_packed(planned: DataFrame, packed: DataFrame, n_tables: int) -> DataFrame:
-    """Bring every prompt to its table.
-
-    With fewer tables than partitions the prompts of one table are dealt to
-    several tasks and the (bounded) table is copied to each.
-    """
-    partitions = int(planned.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    copies = ceil(partitions / max(n_tables, 1))
-    dealt = planned.withColumn("_copy", F.pmod(F.hash("prompt_id"), F.lit(copies)))
-    tables = packed.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
-    return dealt.repartition(partitions, "table_id", "_copy").join(
-        tables, ["table_id", "_copy"], "left"
-    ).drop("_copy")
-
-
-def answer(
-    planned: DataFrame, packed: "Packed", digits: int | None = None, encoded: bool = False,
-    custom: dict[str, CustomFunction] | None = None,
-) -> DataFrame:
-    """Attach the answer of every prompt: scalars, lists (sliced) and their texts.
-
-    ``digits`` rounds computed numbers in the text; None prints them in full.
-    """
-    fn = F.col("fn")
-
-    def rounded(v):
-        return v if digits is None else F.round(v, digits)
-
-    def is_fn(*names):
-        return fn.isin(*names)
-
-    custom = custom or {}
-    pair_fns = (*PAIR_COLUMN_FNS, *(n for n, c in custom.items() if c.columns == 2))
-    for c in custom.values():
-        planned = planned.withColumns(c.draws() if c.draws else {})
-    df = attach_packed(planned, packed.tables, packed.n_tables)
-    index = (
-        F.when(is_fn(*AXIS_FNS), F.col("axis_index"))
-        .when(is_fn(*pair_fns), F.col("pair_col1"))
-        .otherwise(F.col("numeric_col"))
-        .cast("int")
-    )
-    on_row = is_fn(*AXIS_FNS) & (F.col("axis") == 0)
-    df = df.withColumns({"index": index, "on_row": on_row})
-    on_row = F.col("on_row")
-    df = df.withColumns(
-        {
-            "x": F.when(~on_row, F.get("nums", F.col("index"))),
-            "t": F.when(~on_row, F.get("texts", F.col("index"))),
-            "y": F.when(is_fn(*pair_fns), F.get("nums", F.col("pair_col2"))),
-            "cells": F.when(on_row, _row_texts(F.col("index"))),
-            "whole": F.coalesce(F.get("wholes", F.col("index")), F.lit(False)) & ~on_row,
-        }
-    )
-    # most questions need no more of the table than the arrays just taken
-    df = df.withColumns({c: F.when(is_fn(*WHOLE_TABLE_FNS), F.col(c)) for c in ("nums", "texts")})
-    x, t, cells, whole = F.col("x"), F.col("t"), F.col("cells"), F.col("whole")
-    method = F.col("method")
-
-    # ---- lists of numbers, and lists of texts (rows of mixed type, text columns)
-    numbers = choose(
-        fn,
-        {
-            "square_values": F.transform(x, lambda v: v * v),
-            "sqrt_values": F.transform(F.filter(x, lambda v: v >= 0), F.sqrt),
-            "abs_values": F.transform(x, F.abs),
-            "add_constant": F.transform(x, lambda v: v + F.col("constant")),
-            "cumulative_sum": x,
-            "successive_differences": R.present(R.differences(x)),
-            "sort_values": F.when(F.col("ascending"), R.ascending(x)).otherwise(R.descending(x)),
-            "top_n_values": F.slice(R.descending(R.present(x)), F.lit(1), F.col("n").cast("int")),
-            "bottom_n_values": F.slice(R.ascending(R.present(x)), F.lit(1), F.col("n").cast("int")),
-            "transform_column": _scaled(x, method),
-            "stepwise_transform_column": _scaled(x, method),
-            "log_transform_column": F.transform(R.present(x), lambda v: F.ln(F.abs(v) + F.lit(1e-10))),
-            "non_empty_cells": R.present(x),
-            "unique_values": F.array_distinct(x),
-            "fill_missing_values": F.transform(x, lambda v: F.coalesce(v, F.col("filler").cast("double"))),
-        },
-    )
-    quoted = F.transform(t, _quoted)
-    strings = choose(
-        fn,
-        {
-            "non_empty_cells": R.present(F.coalesce(cells, quoted)),
-            "unique_values": F.array_distinct(F.coalesce(cells, quoted)),
-            "fill_missing_values": F.transform(
-                F.coalesce(cells, quoted), lambda v: F.coalesce(v, F.col("filler").cast("string"))
-            ),
-        },
-    )
-    df = df.withColumns({"numbers": numbers, "strings": F.when(x.isNull(), strings)})
-    unsliced = is_fn("top_n_values", "bottom_n_values")
-    length = F.coalesce(F.array_size("numbers"), F.array_size("strings"))
-    df = df.withColumn("length", length)
-    start = F.when(unsliced | (F.col("length") <= SLICE_SIZE), F.lit(0)).otherwise(
-        F.floor(F.col("u_slice") * (F.col("length") - SLICE_SIZE + 1))
-    ).cast("int")
-    end = F.when(unsliced, F.col("length")).otherwise(F.least(F.col("length"), F.col("slice_start") + SLICE_SIZE))
-    df = df.withColumn("slice_start", start)
-    df = df.withColumn("slice_end", end)
-    begin, stop = F.col("slice_start"), F.col("slice_end")
-    part = F.when(fn == "cumulative_sum", R.running(F.col("numbers"), begin, stop)).otherwise(
-        F.slice("numbers", begin + 1, stop - begin)
-    )
-    keeps_whole = whole & is_fn(
-        "square_values", "abs_values", "cumulative_sum", "sort_values", "top_n_values",
-        "bottom_n_values", "non_empty_cells", "unique_values", "fill_missing_values",
-    )
-    df = df.withColumn(
-        "list_text",
-        F.coalesce(
-            render_list(F.transform(part, lambda v: render_number(rounded(v), keeps_whole))),
-            render_list(
-                F.transform(F.slice("strings", begin + 1, stop - begin), lambda s: F.coalesce(s, F.lit("nan")))
-            ),
-        ),
-    )
-
-    # ---- single numbers
-    cell1 = F.get(F.get("nums", F.col("cell_col1")), F.col("row1").cast("int"))
-    cell2 = F.get(F.get("nums", F.col("cell_col2")), F.col("row2").cast("int"))
-    pair_whole = F.get("wholes", F.col("cell_col1")) & F.get("wholes", F.col("cell_col2"))
-    flat = F.filter(F.flatten(F.filter("nums", lambda c: c.isNotNull())), lambda v: v.isNotNull())
-    has_x = x.isNotNull()
-
-    def number(v, as_whole=F.lit(False)):
-        return render_number(rounded(v), as_whole)
-
-    def both_cells(v):
-        return F.when(F.col("cell_col1").isNotNull() & F.col("cell_col2").isNotNull(), number(v, pair_whole))
-
-    def total_only(v):
-        return F.when(F.lit(encoded), number(v))
-
-    column_means = F.filter(F.transform("nums", R.mean), lambda m: m.isNotNull())
-
-    # ---- values to look for
-    any_number = F.get(F.get("nums", F.col("value_col").cast("int")), F.col("any_row").cast("int"))
-    any_text = F.get(F.get("texts", F.col("value_col").cast("int")), F.col("any_row").cast("int"))
-    line = F.when(
-        F.col("on_row"), F.transform("nums", lambda c: F.get(c, F.col("index")))
-    ).otherwise(x)
-    text_line = F.when(
-        F.col("on_row"), F.transform("texts", lambda c: F.get(c, F.col("index")))
-    ).otherwise(t)
-    found = F.when(any_number.isNotNull(), R.contains(F.coalesce(line, F.array().cast("array<double>")), any_number)).otherwise(
-        R.contains(F.coalesce(text_line, F.array().cast("array<string>")), any_text)
-    )
-    looks = is_fn(*VALUE_FNS)
-    value_numbers = F.array_sort(F.array_distinct(F.filter(flat, lambda v: v != 0)))
-    value_texts = F.array_sort(
-        F.array_distinct(F.filter(F.flatten(F.filter("texts", lambda c: c.isNotNull())), lambda v: v.isNotNull()))
-    )
-    df = df.withColumns({"value_numbers": F.when(looks, value_numbers), "value_texts": F.when(looks, value_texts)})
-    at = F.floor(F.col("u_value") * (F.size("value_numbers") + F.size("value_texts"))).cast("int")
-    df = df.withColumns(
-        {"seek_number": F.get("value_numbers", at), "seek_text": F.get("value_texts", at - F.size("value_numbers"))}
-    )
-    hits = F.flatten(
-        F.transform(
-            F.sequence(F.lit(0), F.col("num_rows").cast("int") - 1),
-            lambda r: F.filter(
-                F.transform(
-                    F.sequence(F.lit(0), F.size("nums") - 1),
-                    lambda c: F.when(
-                        F.coalesce(
-                            F.get(F.get("nums", c), r) == F.col("seek_number"),
-                            F.get(F.get("texts", c), r) == F.col("seek_text"),
-                            F.lit(False),
-                        ),
-                        F.concat(F.lit("("), r, F.lit(", "), c, F.lit(")")),
-                    ),
-                ),
-                lambda p: p.isNotNull(),
-            ),
-        )
-    )
-    df = df.withColumn("hits", F.when(looks, hits))
-    # an integer column anywhere makes the drawn value print as an integer only when all numbers are
-    all_whole = F.forall(F.arrays_zip("nums", "wholes"), lambda p: p["nums"].isNull() | p["wholes"])
-    seek = F.coalesce(F.when(F.col("seek_number").isNotNull(), render_number(F.col("seek_number"), all_whole)), F.col("seek_text"))
-
-    # ---- neighbours
-    def side(name, when, dr, dc):
-        there = F.coalesce(_cell(F.col("any_row") + dr, F.col("any_col") + dc, True), F.lit("nan"))
-        return F.when(when, F.concat(F.lit(f"'{name}': "), there))
-
-    around = F.concat(
-        F.lit("{"),
-        F.concat_ws(
-            ", ",
-            side("above", F.col("any_row") > 0, -1, 0),
-            side("below", F.col("any_row") < F.col("num_rows") - 1, 1, 0),
-            side("left", F.col("any_col") > 0, 0, -1),
-            side("right", F.col("any_col") < F.col("num_cols") - 1, 0, 1),
-        ),
-        F.lit("}"),
-    )
-
-    df = df.withColumn(
-        "result",
-        choose(
-            fn,
-            {
-                "find_value": F.coalesce(_cell(F.col("any_row"), F.col("any_col"), False), F.lit("nan")),
-                "fetch_neighbors": around,
-                "add_cells": both_cells(cell1 + cell2),
-                "subtract_cells": both_cells(cell1 - cell2),
-                "sum_values": F.when(has_x, number(R.total(x), whole)),
-                "value_range": F.when(has_x, number(R.spread(x), whole)),
-                "mean_value": F.when(has_x, number(R.mean(x))),
-                "median_value": F.when(has_x, number(R.median(x))),
-                "mode_value": F.when(has_x, number(R.mode(x), whole)),
-                "count_empty_cells": F.when(has_x, R.empty_count(x).cast("string")),
-                "find_all_cells_with_value": render_list(F.col("hits")),
-                "count_value_occurrences": F.size("hits").cast("string"),
-                "sum_table_values": total_only(R.total(flat)),
-                "average_table_values": total_only(R.mean(column_means)),
-            },
-        ),
-    )
-    presence = choose(
-        fn,
-        {
-            "has_missing_values": F.when(
-                F.exists(F.coalesce(cells, x.cast("array<string>"), t), lambda v: v.isNull()), F.lit("are")
-            ).otherwise(F.lit("are no")),
-            "compare_rows_or_columns": F.when(
-                F.when(
-                    F.col("on_row"),
-                    cells.eqNullSafe(_row_texts(F.col("index2"))),
-                ).otherwise(
-                    (F.get("kinds", F.col("index")) == F.get("kinds", F.col("index2").cast("int")))
-                    & x.eqNullSafe(F.get("nums", F.col("index2").cast("int")))
-                    & t.eqNullSafe(F.get("texts", F.col("index2").cast("int")))
-                ),
-                F.lit(""),
-            ).otherwise(F.lit(" not")),
-            "value_present": F.when(found, F.lit("")).otherwise(F.lit(" not")),
-        },
-    )
-    value_text = choose(
-        fn,
-        {
-            "value_present": F.coalesce(_cell(F.col("any_row"), F.col("value_col"), False), F.lit("nan")),
-            "fill_missing_values": F.col("filler").cast("string"),
-            **{name: seek for name in VALUE_FNS},
-        },
-    )
-    steps = fn == "stepwise_transform_column"
-    z = F.col("numbers")
-    stats = {
-        "stat_mean": R.mean(x), "stat_std": R.deviation(x), "stat_min": R.lowest(x), "stat_max": R.highest(x),
-        "stat_median": R.median(x), "stat_q1": R.quantile(x, 0.25), "stat_q3": R.quantile(x, 0.75),
-        "after_min": R.lowest(z), "after_max": R.highest(z), "after_mean": R.mean(z), "after_std": R.deviation(z),
-        "after_median": R.median(z), "after_iqr": R.quantile(z, 0.75) - R.quantile(z, 0.25),
-    }
-    positive = F.filter("causal_info", lambda r: r["is_causal"])
-    pool = F.when(F.size(positive) > 0, positive).otherwise(F.col("causal_info"))
-    df = df.withColumns(
-        {
-            "result": F.coalesce("result", "list_text"),
-            "presence": presence,
-            "value": value_text,
-            "high": F.when(fn == "max_min_value", R.highest(x)),
-            "low": F.when(fn == "max_min_value", R.lowest(x)),
-            "pair": F.when(is_fn(*PAIR_COLUMN_FNS), _pair(x, F.col("y"))),
-            "cause": F.when(fn == CAUSAL, draw_item(F.col("u_causal"), pool)),
-            **{name: F.when(steps, value) for name, value in stats.items()},
-        }
-    )
-    df = df.withColumn(
-        "correlation",
-        F.try_divide(F.col("pair.s.xy"), F.sqrt(F.col("pair.s.xx")) * F.sqrt(F.col("pair.s.yy"))),
-    )
-    if custom:
-        def as_map(params):
-            return F.create_map(*[e for k, v in params.items() for e in (F.lit(k), v.cast("string"))])
-
-        df = df.withColumn("custom", choose(fn, {name: as_map(c.params()) for name, c in custom.items()}))
-    return df.drop("nums", "texts", "kinds", "wholes", "x", "y", "t", "cells", "numbers", "strings", "causal_info", "hits",
-        "value_numbers", "value_texts")
-
-
 # ------------------------------------------------------------------ text
 def _three(v: Column) -> Column:
     return F.when(v.isNotNull(), render_number(round_exact(v, 3)))
@@ -638,7 +199,7 @@ def render(answered: DataFrame, custom: dict[str, CustomFunction] | None = None)
         theirs = F.coalesce("custom", F.create_map().cast("map<string,string>"))
         pairs = F.map_concat(F.map_filter(pairs, lambda k, v: ~F.map_contains_key(theirs, k)), theirs)
     wording = templates(
-        answered.sparkSession, {n: (c.question, c.answer) for n, c in (custom or {}).items()}
+        answered.sparkSession, {n: (c.question, c.answer_text) for n, c in (custom or {}).items()}
     ).drop("question", "answer")
     # the wording table has a few dozen rows whatever the data
     worded = answered.join(F.broadcast(wording), "fn").withColumn("_params", pairs)
@@ -675,7 +236,5 @@ def generate_prompts(
     """
     functions = sorted([*DRAWABLE, *(custom or {})])
     planned = plan_prompts(prompts, meta, seed, functions)
-    # only tables that are asked about
-    asked = processed.join(planned.select("table_id").distinct(), "table_id", "left_semi")
-    packed = pack_cells(asked) if columns is None else pack_tables(asked, columns)
-    return render(answer(planned, packed, digits, encoded, custom), custom)
+    cells = processed if columns is None else to_cells(processed, "table_id", columns=columns)
+    return render(answer(planned, cells, digits, encoded, custom), custom)

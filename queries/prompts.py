@@ -4,19 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cellwright.functions import rows as R
 from cellwright.functions.draws import draw_int, uniform
 from cellwright.functions.numbers import round_exact_sql
 from cellwright.functions.text import render_number
-from cellwright.operators import columns as K, metadata as M
+from cellwright.operators import columns as K
 from cellwright.operators.cells import to_cells
 from cellwright.plans import prompts as Q
+from cellwright.plans.answers import exact_sum
 from cellwright.plans.templates import (
     DRAWABLE, SCALING_PROPERTIES, SCALING_STATS, SCALING_STEPS, TEMPLATES, pieces, templates,
 )
 
 from .base import ORDERS_N, query
-from .corpus import CAUSAL, PROCESSED, SEED, causal_records, draw_sql, mixed_cells, processed
+from .corpus import CAUSAL, PROCESSED, SEED, causal_records, draw_sql, processed
+from .mixed import ENCODED, ENCODED_SQL, RAW, RAW_SQL, processed_corpus
 
 COLUMNS = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linestatus", "l_returnflag"]
 #: decimals of computed numbers in the compared texts
@@ -48,14 +49,16 @@ def generated(t, only=None, custom=None):
     """The prompt job; ``only`` plans every prompt on the given functions."""
     if only is None:
         return Q.generate_prompts(prompt_ids(t), processed(t), meta(t), COLUMNS, SEED, digits=DIGITS, custom=custom)
-    plan = Q.plan_prompts(prompt_ids(t), meta(t), SEED, only)
-    packed = Q.pack_tables(processed(t), COLUMNS)
-    return Q.render(Q.answer(plan, packed, DIGITS))
+    return generated_from_cells(t, only)
+
+
+def processed_cells(t):
+    return to_cells(processed(t), "table_id", columns=COLUMNS)
 
 
 def generated_from_cells(t, only):
     plan = Q.plan_prompts(prompt_ids(t), meta(t), SEED, only)
-    return Q.render(Q.answer(plan, Q.pack_cells(to_cells(processed(t), "table_id", columns=COLUMNS)), DIGITS))
+    return Q.render(Q.answer(plan, processed_cells(t), DIGITS))
 
 
 # ------------------------------------------------------------------ the same in SQL
@@ -67,19 +70,45 @@ def d_int(key: str, low: str, high: str) -> str:
     return f"({low} + floor({u(key)} * ({high} - ({low}) + 1)))::BIGINT"
 
 
-def plan_sql(functions) -> str:
+#: the equally shaped supplier tables: what they are read from, their metadata, their columns as lists
+SUPPLIERS = (
+    PROCESSED,
+    """SELECT table_id, count(*) AS num_rows, 7 AS num_cols, [0,0,0,0,0,1,1] AS flags, 6 AS label_index, false AS has_causal, NULL AS info
+  FROM processed GROUP BY 1 UNION ALL
+  SELECT 'Causal_Table' || number || '.csv', NULL, 3, [0,0,0], 2, true, info FROM causal""",
+    """SELECT table_id, [""" + ", ".join(f"list({c}::DOUBLE ORDER BY row_id)" for c in COLUMNS[:5]) + """, NULL, NULL] AS nums,
+  [NULL, NULL, NULL, NULL, NULL, list(l_linestatus ORDER BY row_id), list(l_returnflag ORDER BY row_id)] AS texts,
+  ['int', 'double', 'double', 'double', 'double', 'string', 'string'] AS kinds,
+  [count(l_linenumber) = count(*), false, false, false, false, false, false] AS wholes FROM processed GROUP BY 1""",
+)
+
+
+def cells_corpus(base: str, source: str):
+    """The same for tables that are cells in ``source``, defined by ``base``; flags and labels come with the cells."""
+    number = "kind IN ('int', 'bigint', 'double')"
+    return (
+        base,
+        f"""SELECT table_id, max(n) AS num_rows, count(*) AS num_cols, list(flag ORDER BY col_id) AS flags, max(col_id) AS label_index,
+  table_id LIKE 'Causal_Table%' AS has_causal, any_value(info) AS info FROM
+  (SELECT table_id, col_id, any_value(flag) AS flag, count(*) AS n FROM {source} GROUP BY 1, 2)
+  LEFT JOIN causal ON table_id LIKE 'Causal_Table%' AND number = TRY_CAST(nullif(regexp_extract(table_id, '\\d+'), '') AS BIGINT) GROUP BY 1""",
+        f"""SELECT table_id, list(CASE WHEN {number} THEN nums END ORDER BY col_id) AS nums, list(CASE WHEN NOT {number} THEN texts END ORDER BY col_id) AS texts,
+  list(kind ORDER BY col_id) AS kinds, list(kind IN ('int', 'bigint') AND filled ORDER BY col_id) AS wholes FROM
+  (SELECT table_id, col_id, any_value(col_type) AS kind, list(v_num ORDER BY row_id) AS nums, list(v_str ORDER BY row_id) AS texts,
+   count(v_num) = count(*) AS filled FROM {source} GROUP BY 1, 2) GROUP BY 1""",
+    )
+
+
+def plan_sql(functions, corpus=SUPPLIERS) -> str:
     names = ", ".join(f"'{f}'" for f in functions)
     numeric = "roles.numeric_cols"
     pick = lambda key: f"{numeric}[floor({u(key)} * len({numeric}))::BIGINT + 1]"
-    return f"""{CAUSAL}, {PROCESSED}, meta AS (
-  SELECT table_id, count(*) AS num_rows, 7 AS num_cols, [0,0,0,0,0,1,1] AS flags, 6 AS label_index, false AS has_causal, NULL AS info
-  FROM processed GROUP BY 1 UNION ALL
-  SELECT 'Causal_Table' || number || '.csv', NULL, 3, [0,0,0], 2, true, info FROM causal),
+    return f"""{CAUSAL}, {corpus[0]}, meta AS ({corpus[1]}),
 roles AS (SELECT *, row_number() OVER (ORDER BY table_id) - 1 AS ordinal,
   list_filter(range(0, len(flags)), lambda i: flags[i + 1] = 0 AND i <> label_index) AS numeric_cols,
   list_filter(range(0, len(flags)), lambda i: flags[i + 1] = 1 AND i <> label_index) AS categorical_cols FROM meta),
 ids AS (SELECT c_custkey AS prompt_id, floor({draw_sql('c_custkey', "'table'")} * (SELECT count(*) FROM meta))::BIGINT AS ordinal FROM customer),
-drawn AS (SELECT prompt_id, roles.*, CASE WHEN has_causal THEN 'infer_feature_causality' ELSE [{names}][floor({u('function')} * {len(functions)})::BIGINT + 1] END AS fn,
+asked AS (SELECT prompt_id, roles.*, CASE WHEN has_causal THEN 'infer_feature_causality' ELSE [{names}][floor({u('function')} * {len(functions)})::BIGINT + 1] END AS fn,
   {d_int('axis', '0', '1')} AS axis, {pick('column')} AS numeric_col,
   {d_int('row1', '0', 'num_rows - 1')} AS row1, {pick('cell_col1')} AS cell_col1,
   {d_int('row2', '0', 'num_rows - 1')} AS row2, {pick('cell_col2')} AS cell_col2,
@@ -92,7 +121,7 @@ drawn AS (SELECT prompt_id, roles.*, CASE WHEN has_causal THEN 'infer_feature_ca
 plan AS (SELECT *, {d_int('index', '0', 'CASE WHEN axis = 0 THEN num_rows - 1 ELSE num_cols - 2 END')} AS axis_index,
   {d_int('index2', '0', 'CASE WHEN axis = 0 THEN num_rows ELSE num_cols END - 1')} AS index2,
   CASE WHEN len(numeric_cols) >= 2 THEN numeric_cols[pa + 1] END AS pair_col1,
-  CASE WHEN len(numeric_cols) >= 2 THEN numeric_cols[pb + CASE WHEN pb >= pa THEN 1 ELSE 0 END + 1] END AS pair_col2 FROM drawn)"""
+  CASE WHEN len(numeric_cols) >= 2 THEN numeric_cols[pb + CASE WHEN pb >= pa THEN 1 ELSE 0 END + 1] END AS pair_col2 FROM asked)"""
 
 
 def _in(names) -> str:
@@ -109,7 +138,7 @@ def nt(v: str, whole: str = "false") -> str:
 
 
 def quote(s: str) -> str:
-    return f"('''' || {s} || '''')"
+    return f"(CASE WHEN contains({s}, '''') THEN '\"' || {s} || '\"' ELSE '''' || {s} || '''' END)"
 
 
 def cell(r: str, c: str, quoted: bool) -> str:
@@ -119,7 +148,7 @@ def cell(r: str, c: str, quoted: bool) -> str:
 
 
 def row_texts(r: str) -> str:
-    return f"list_transform(range(0, 7), lambda c: {cell(r, 'c', True)})"
+    return f"list_transform(range(0, len(kinds)), lambda c: {cell(r, 'c', True)})"
 
 
 def fill_sql(template: str, params: dict[str, str]) -> str:
@@ -133,7 +162,7 @@ def _by_fn(options: dict[str, str]) -> str:
     return "CASE fn " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in options.items()) + " END"
 
 
-def prompts_sql(functions) -> str:
+def prompts_sql(functions, corpus=SUPPLIERS, encoded=False) -> str:
     def q(p, a):
         """The quantile of a sorted list (sn, sz), interpolated from the nearer end."""
         a = {"nn": "sn", "numbers": "sz"}[a]
@@ -143,7 +172,17 @@ def prompts_sql(functions) -> str:
         low, high, t = f"{s}[floor({at})::BIGINT + 1]", f"{s}[ceil({at})::BIGINT + 1]", f"({at} - floor({at}))"
         return f"(CASE WHEN {t} < 0.5 THEN {low} + ({high} - {low}) * {t} ELSE {high} - ({high} - {low}) * (1 - {t}) END)"
 
-    center = f"CASE method WHEN 'normalize' THEN list_min(nn) WHEN 'standardize' THEN list_avg(nn) ELSE {q(0.5, 'nn')} END"
+    # sums as decimals, so that they do not depend on order
+    total = lambda a: f"coalesce(list_sum(list_transform({a}, lambda v: v::DECIMAL(28,10)))::DOUBLE, 0)"
+    mean = lambda a: f"({total(a)} / nullif(len({a}), 0))"
+    center = f"CASE method WHEN 'normalize' THEN list_min(nn) WHEN 'standardize' THEN {mean('nn')} ELSE {q(0.5, 'nn')} END"
+
+    def centred(a, ma, b, mb):
+        """Sum of products around the means: around rounded means as decimals, then moved."""
+        off = lambda v, m: f"({v}::DECIMAL(18,6) - round({m}, 2)::DECIMAL(18,6))::DECIMAL(19,6)"
+        return (f"(list_sum(list_transform({a}, lambda v, i: {off('v', ma)} * {off(f'{b}[i]', mb)}))::DOUBLE - list_sum(list_transform({a}, lambda v: {off('v', ma)}))::DOUBLE "
+                f"* list_sum(list_transform({b}, lambda v: {off('v', mb)}))::DOUBLE / len({a}))")
+
     width = f"CASE method WHEN 'normalize' THEN list_max(nn) - list_min(nn) WHEN 'standardize' THEN list_aggregate(nn, 'stddev_samp') ELSE {q(0.75, 'nn')} - {q(0.25, 'nn')} END"
     scaled = "list_transform(nn, lambda v: (v - center) / nullif(width, 0))"
     first_seen = lambda a: f"list_transform(list_filter(list_transform({a}, lambda v, i: {{'v': v, 'i': i, 'p': list_position({a}, v)}}), lambda s: s.p = s.i), lambda s: s.v)"
@@ -171,8 +210,9 @@ def prompts_sql(functions) -> str:
     keeps = "(whole AND " + _in(["square_values", "abs_values", "cumulative_sum", "sort_values", "top_n_values", "bottom_n_values",
                                  "non_empty_cells", "unique_values", "fill_missing_values"]) + ")"
     flat = "list_filter(flatten(list_filter(nums, lambda c: c IS NOT NULL)), lambda v: v IS NOT NULL)"
-    seek = f"coalesce(CASE WHEN seek_number IS NOT NULL THEN {nt('seek_number')} END, seek_text)"
-    hits = """flatten(list_transform(range(0, num_rows), lambda r: list_filter(list_transform(range(0, 7), lambda c:
+    all_whole = "(len(list_filter(nums, lambda c, i: c IS NOT NULL AND NOT wholes[i])) = 0)"
+    seek = f"coalesce(CASE WHEN seek_number IS NOT NULL THEN {nt('seek_number', all_whole)} END, seek_text)"
+    hits = """flatten(list_transform(range(0, num_rows), lambda r: list_filter(list_transform(range(0, len(kinds)), lambda c:
       CASE WHEN nums[c + 1][r + 1] = seek_number OR texts[c + 1][r + 1] = seek_text THEN '(' || r || ', ' || c || ')' END), lambda p: p IS NOT NULL)))"""
     side = lambda n, when, r, c: f"CASE WHEN {when} THEN '''{n}'': ' || coalesce({cell(r, c, True)}, 'nan') END"
     around = "'{' || concat_ws(', ', " + ", ".join([
@@ -187,10 +227,12 @@ def prompts_sql(functions) -> str:
         "find_value": f"coalesce({cell('any_row', 'any_col', False)}, 'nan')", "fetch_neighbors": around,
         "add_cells": f"CASE WHEN cell_col1 IS NOT NULL THEN {nt(f'{c1} + {c2}', pw)} END",
         "subtract_cells": f"CASE WHEN cell_col1 IS NOT NULL THEN {nt(f'{c1} - {c2}', pw)} END",
-        "sum_values": has_x(nt("coalesce(list_sum(nn), 0)", "whole")), "value_range": has_x(nt("list_max(nn) - list_min(nn)", "whole")),
-        "mean_value": has_x(nt("list_avg(nn)")), "median_value": has_x(nt(q(0.5, "nn"))), "mode_value": has_x(nt(mode, "whole")),
+        "sum_values": has_x(nt(total("nn"), "whole")), "value_range": has_x(nt("list_max(nn) - list_min(nn)", "whole")),
+        "mean_value": has_x(nt(mean("nn"))), "median_value": has_x(nt(q(0.5, "nn"))), "mode_value": has_x(nt(mode, "whole")),
         "count_empty_cells": has_x("(len(x) - len(nn))::VARCHAR"),
         "find_all_cells_with_value": "'[' || array_to_string(hits, ', ') || ']'", "count_value_occurrences": "len(hits)::VARCHAR",
+        **({"sum_table_values": nt(total(flat)), "average_table_values": nt(f"list_avg(list_transform(list_filter(nums, lambda c: len(list_filter(c, lambda v: v IS NOT NULL)) > 0), lambda c: {mean('list_filter(c, lambda v: v IS NOT NULL)')}))")}
+           if encoded else {}),
     })
     any_number, any_text = "nums[value_col + 1][any_row + 1]", "texts[value_col + 1][any_row + 1]"
     found = f"""CASE WHEN {any_number} IS NOT NULL THEN
@@ -223,7 +265,7 @@ def prompts_sql(functions) -> str:
         "n_samples": "CASE WHEN sxx * syy > 0 THEN len(px)::VARCHAR END",
         "x_mean": three("mx"), "y_mean": three("my"), "sum_product_dev": three("sxy"),
         "sum_squared_dev_x": three("sxx"), "sum_squared_dev_y": three("syy"),
-        "mean": fixed3("list_avg(nn)"), "std": fixed3("list_aggregate(nn, 'stddev_samp')"), "min": fixed3("list_min(nn)"),
+        "mean": fixed3(mean("nn")), "std": fixed3("list_aggregate(nn, 'stddev_samp')"), "min": fixed3("list_min(nn)"),
         "max": fixed3("list_max(nn)"), "median": fixed3(q(0.5, "nn")), "q1": fixed3(q(0.25, "nn")), "q3": fixed3(q(0.75, "nn")),
         "iqr": fixed3(f"({q(0.75, 'nn')} - {q(0.25, 'nn')})"),
         "after_min": fixed3("list_min(numbers)"), "after_max": fixed3("list_max(numbers)"), "after_mean": fixed3("list_avg(numbers)"),
@@ -237,11 +279,7 @@ def prompts_sql(functions) -> str:
         params[key] = "CASE method " + " ".join(f"WHEN '{m}' THEN {fill_sql(s, params)}" for m, s in by_method.items()) + " END"
     questions = _by_fn({f: fill_sql(TEMPLATES[f][0], params) for f in TEMPLATES})
     answers = _by_fn({f: fill_sql(TEMPLATES[f][1], params) for f in TEMPLATES})
-    nums = ", ".join(f"list({c}::DOUBLE ORDER BY row_id)" for c in COLUMNS[:5])
-    return f"""WITH {plan_sql(functions)}, packed AS (SELECT table_id, [{nums}, NULL, NULL] AS nums,
-  [NULL, NULL, NULL, NULL, NULL, list(l_linestatus ORDER BY row_id), list(l_returnflag ORDER BY row_id)] AS texts,
-  ['int', 'double', 'double', 'double', 'double', 'string', 'string'] AS kinds,
-  [count(l_linenumber) = count(*), false, false, false, false, false, false] AS wholes FROM processed GROUP BY 1),
+    return f"""WITH {plan_sql(functions, corpus)}, packed AS ({corpus[2]}),
 a0 AS (SELECT *, CASE WHEN {_in(Q.AXIS_FNS)} THEN axis_index WHEN {_in(Q.PAIR_COLUMN_FNS)} THEN pair_col1 ELSE numeric_col END AS index,
   {_in(Q.AXIS_FNS)} AND axis = 0 AS on_row FROM plan LEFT JOIN packed USING (table_id)),
 a1 AS (SELECT *, CASE WHEN NOT on_row THEN nums[index + 1] END AS x, CASE WHEN NOT on_row THEN texts[index + 1] END AS t,
@@ -253,12 +291,11 @@ a2 AS (SELECT *, list_filter(x, lambda v: v IS NOT NULL) AS nn, list_transform(t
   CASE WHEN {_in(Q.VALUE_FNS)} THEN list_sort(list_distinct(list_filter({flat}, lambda v: v <> 0))) END AS vn,
   CASE WHEN {_in(Q.VALUE_FNS)} THEN list_sort(list_distinct(list_filter(flatten(list_filter(texts, lambda c: c IS NOT NULL)), lambda v: v IS NOT NULL))) END AS vt FROM a1),
 a2b AS (SELECT *, list_sort(nn) AS sn FROM a2),
-a3 AS (SELECT *, {center} AS center, {width} AS width, list_avg(px) AS mx, list_avg(py) AS my,
+a3 AS (SELECT *, {center} AS center, {width} AS width, {mean('px')} AS mx, {mean('py')} AS my,
   floor(u_value * (len(vn) + len(vt)))::BIGINT AS vat FROM a2b),
 a4 AS (SELECT *, CASE WHEN vat < len(vn) THEN vn[vat + 1] END AS seek_number, CASE WHEN vat >= len(vn) THEN vt[vat - len(vn) + 1] END AS seek_text,
   {numbers} AS numbers, CASE WHEN x IS NULL THEN {strings} END AS strings,
-  list_sum(list_transform(px, lambda v, i: (v - mx) * (py[i] - my))) AS sxy, list_sum(list_transform(px, lambda v: (v - mx) * (v - mx))) AS sxx,
-  list_sum(list_transform(py, lambda v: (v - my) * (v - my))) AS syy FROM a3),
+  {centred('px', 'mx', 'py', 'my')} AS sxy, {centred('px', 'mx', 'px', 'mx')} AS sxx, {centred('py', 'my', 'py', 'my')} AS syy FROM a3),
 a4b AS (SELECT *, list_sort(numbers) AS sz FROM a4),
 a5 AS (SELECT *, coalesce(len(numbers), len(strings)) AS length, CASE WHEN {_in(Q.VALUE_FNS)} THEN {hits} END AS hits,
   coalesce(CASE WHEN len(list_filter(info, lambda i: i.is_causal)) > 0 THEN list_filter(info, lambda i: i.is_causal) END, info) AS pool FROM a4b),
@@ -393,26 +430,32 @@ def t_causality(t):
 
 
 @query("registry_custom_fn", f"""WITH {plan_sql(sorted([*DRAWABLE[:2], 'value_gap']))},
-x AS (SELECT table_id, c, max(v) AS hi, avg(v) AS mean FROM (""" + " UNION ALL ".join(
+x AS (SELECT table_id, c, max(v) AS hi, sum(v::DECIMAL(28,10))::DOUBLE / count(v) AS mean FROM (""" + " UNION ALL ".join(
     f"SELECT table_id, {i} AS c, {c}::DOUBLE AS v FROM processed" for i, c in enumerate(COLUMNS[:5])) + f""") GROUP BY 1, 2)
 SELECT prompt_id, plan.table_id, fn, 'How far is the largest value of column ' || numeric_col || ' above its mean?' AS question,
   'It is ' || {dec('round(hi - mean, 4)')} || ' above.' AS answer
 FROM plan JOIN x ON x.table_id = plan.table_id AND c = numeric_col WHERE fn = 'value_gap'""")
 def registry_custom_fn(t):
     """A question type the user adds: two wordings and an expression."""
-    gap = Q.CustomFunction(
-        "How far is the largest value of column {index} above its mean?", "It is {gap} above.",
-        lambda: {"gap": render_number(F.round(R.highest(F.col("x")) - R.mean(F.col("x")), 4))},
-    )
-    names = sorted([*DRAWABLE[:2], "value_gap"])
-    plan = Q.plan_prompts(prompt_ids(t), meta(t), SEED, names)
-    packed = Q.pack_tables(processed(t), COLUMNS)
-    out = Q.render(Q.answer(plan, packed, DIGITS, custom={"value_gap": gap}), {"value_gap": gap})
-    return out.where(F.col("fn") == "value_gap")
+
+    def gaps(prompts, cells):
+        asked = prompts.withColumnRenamed("index", "col_id")
+        per_column = cells.groupBy("table_id", "col_id").agg((F.max("x") - exact_sum(F.col("x")) / F.count("x")).alias("gap"))
+        found = asked.join(per_column.where("gap IS NOT NULL"), ["table_id", "col_id"])
+        return found.select("prompt_id", F.create_map(F.lit("gap"), render_number(F.round("gap", 4))).alias("params"))
+
+    gap = Q.CustomFunction("How far is the largest value of column {index} above its mean?", "It is {gap} above.", gaps)
+    return custom_prompts(t, "value_gap", gap)
+
+
+def custom_prompts(t, name, function):
+    plan = Q.plan_prompts(prompt_ids(t), meta(t), SEED, sorted([*DRAWABLE[:2], name]))
+    out = Q.render(Q.answer(plan, processed_cells(t), DIGITS, custom={name: function}), {name: function})
+    return out.where(F.col("fn") == name)
 
 
 @query("registry_custom_pair", f"""WITH {plan_sql(sorted([*DRAWABLE[:2], 'mean_gap']))},
-x AS (SELECT table_id, c, avg(v) AS mean FROM (""" + " UNION ALL ".join(
+x AS (SELECT table_id, c, sum(v::DECIMAL(28,10))::DOUBLE / count(v) AS mean FROM (""" + " UNION ALL ".join(
     f"SELECT table_id, {i} AS c, {c}::DOUBLE AS v FROM processed" for i, c in enumerate(COLUMNS[:5])) + f""") GROUP BY 1, 2),
 f AS (SELECT *, {d_int('factor', '1', '9')} AS factor FROM plan WHERE fn = 'mean_gap')
 SELECT prompt_id, f.table_id, fn, 'By how much do the means of columns ' || pair_col1 || ' and ' || pair_col2 || ' differ, ' || factor || ' times?' AS question,
@@ -420,19 +463,21 @@ SELECT prompt_id, f.table_id, fn, 'By how much do the means of columns ' || pair
 FROM f JOIN x a ON a.table_id = f.table_id AND a.c = pair_col1 JOIN x b ON b.table_id = f.table_id AND b.c = pair_col2""")
 def registry_custom_pair(t):
     """A question type on two columns with a draw of its own."""
-    x, y, factor = F.col("x"), F.col("y"), F.col("factor")
+
+    def gaps(prompts, cells):
+        means = cells.groupBy("table_id", "col_id").agg((exact_sum(F.col("x")) / F.count("x")).alias("mean"))
+        of = lambda c, m: means.select("table_id", F.col("col_id").alias(c), F.col("mean").alias(m))
+        both = prompts.join(of("index", "a"), ["table_id", "index"]).join(of("pair_col2", "b"), ["table_id", "pair_col2"])
+        gap = render_number(F.round((F.col("a") - F.col("b")) * F.col("factor"), 4))
+        text = lambda c: F.col(c).cast("string")
+        return both.select("prompt_id", F.create_map(
+            F.lit("gap"), gap, F.lit("second"), text("pair_col2"), F.lit("factor"), text("factor")).alias("params"))
+
     gap = Q.CustomFunction(
-        "By how much do the means of columns {index} and {second} differ, {factor} times?", "By {gap}.",
-        lambda: {
-            "gap": render_number(F.round((R.mean(x) - R.mean(y)) * factor, 4)),
-            "second": F.col("pair_col2").cast("string"), "factor": factor.cast("string"),
-        },
+        "By how much do the means of columns {index} and {second} differ, {factor} times?", "By {gap}.", gaps,
         draws=lambda: {"factor": draw_int(uniform(SEED, "prompt_id", F.lit("factor")), 1, 9)}, columns=2,
     )
-    custom = {"mean_gap": gap}
-    plan = Q.plan_prompts(prompt_ids(t), meta(t), SEED, sorted([*DRAWABLE[:2], "mean_gap"]))
-    packed = Q.pack_tables(processed(t), COLUMNS)
-    return Q.render(Q.answer(plan, packed, DIGITS, custom=custom), custom).where(F.col("fn") == "mean_gap")
+    return custom_prompts(t, "mean_gap", gap)
 
 
 FROM_CELLS = ["find_value", "count_empty_cells", "unique_values", "compare_rows_or_columns", "sort_values", "value_present", "add_cells"]
@@ -444,10 +489,19 @@ def prompts_from_cells(t):
     return generated_from_cells(t, FROM_CELLS)
 
 
-@query("prompts_of_mixed_tables")
+MIXED_RAW = cells_corpus(RAW_SQL, "raw")
+MIXED_ENCODED = cells_corpus(ENCODED_SQL, "enc")
+
+
+@query("prompts_of_mixed_tables", prompts_sql(DRAWABLE, MIXED_RAW))
 def prompts_of_mixed_tables(t):
-    """Questions about every table of the folder, each of another schema, one per nation."""
-    cells = mixed_cells(t)
-    labelled = M.build_metadata(cells, SEED).where("label_index <> -1")
-    ids = t.table("nation").select(F.col("n_nationkey").alias("prompt_id"))
-    return Q.generate_prompts(ids, cells, labelled, None, SEED, digits=DIGITS)
+    """The whole run over a folder of different tables: metadata, preprocessing, then questions about all of them."""
+    cells, tables = processed_corpus(t, RAW)
+    return Q.generate_prompts(prompt_ids(t), cells, tables, None, SEED, digits=DIGITS)
+
+
+@query("prompts_of_encoded_tables", prompts_sql(DRAWABLE, MIXED_ENCODED, encoded=True))
+def prompts_of_encoded_tables(t):
+    """The same over the encoded profile, which is also asked for table totals."""
+    cells, tables = processed_corpus(t, ENCODED)
+    return Q.generate_prompts(prompt_ids(t), cells, tables, None, SEED, digits=DIGITS, encoded=True)

@@ -59,11 +59,13 @@ def test_blocks(df, block):
             n += 1
 
 
-@pytest.mark.parametrize("block", [10, 1 << 18])
-def test_take_lowest_is_exact_and_independent_of_partitions(df, block):
+@pytest.mark.parametrize("bits", [1, 3, 12])
+def test_take_lowest_is_exact_and_independent_of_partitions(df, bits, monkeypatch):
+    monkeypatch.setattr("cellwright.operators.positions._BITS", bits)
+
     def chosen(frame):
         drawn = frame.withColumn("u", uniform(3, "g", "pos"))
-        out = take_lowest(drawn, "u", ["pos"], F.floor(F.col("n") * 0.2), ["g"], block=block)
+        out = take_lowest(drawn, "u", ["pos"], F.floor(F.col("n") * 0.2), ["g"])
         return {(r.g, r.pos) for r in out.where("chosen").collect()}, drawn
 
     got, drawn = chosen(df)
@@ -73,3 +75,12 @@ def test_take_lowest_is_exact_and_independent_of_partitions(df, block):
     want = {(g, p) for g, d in draws.items() for _, p in sorted(d)[: int(len(d) * 0.2)]}
     assert got == want
     assert chosen(df.repartition(2))[0] == want
+
+
+def test_take_lowest_with_equal_draws_and_without_groups(spark):
+    df = spark.range(100).select("id", (F.floor(F.col("id") / 10) / 16).alias("u"))
+    flagged = take_lowest(df, "u", ["id"], F.lit(37))
+    assert sorted(r.id for r in flagged.where("chosen").collect()) == list(range(37))
+    assert take_lowest(df, "u", ["id"], F.lit(0)).where("chosen").count() == 0
+    assert take_lowest(df, "u", ["id"], F.lit(1000)).where("chosen").count() == 100
+    assert take_lowest(df.limit(0), "u", ["id"], F.lit(5)).count() == 0
