@@ -25,14 +25,19 @@ def t_find_value(t):
     return C.cell_lookup(t.orders_n(), t.cell_requests(), ORDER_COLS)
 
 
-@query("t_neighbors", f"""WITH {ORDER_CELLS}, {CELL_REQUESTS}
-SELECT request_id, r.row, r.col, a.v_num AS above_num, a.v_str AS above_str, b.v_num AS below_num, b.v_str AS below_str,
-  l.v_num AS left_num, l.v_str AS left_str, g.v_num AS right_num, g.v_str AS right_str
-FROM cell_requests r
-LEFT JOIN order_cells a ON a.row_id = r.row - 1 AND a.col = r.col
-LEFT JOIN order_cells b ON b.row_id = r.row + 1 AND b.col = r.col
-LEFT JOIN order_cells l ON l.row_id = r.row AND l.col = r.col - 1
-LEFT JOIN order_cells g ON g.row_id = r.row AND g.col = r.col + 1""")
+#: the cell of orders_n in the row that is joined and column number ``place_col``
+PICKED = """CASE place_col WHEN 0 THEN o_orderkey::DOUBLE WHEN 1 THEN o_custkey::DOUBLE WHEN 3 THEN o_totalprice END AS v_num,
+  CASE place_col WHEN 2 THEN o_orderstatus WHEN 4 THEN o_orderdate::VARCHAR WHEN 5 THEN o_orderpriority END AS v_str"""
+SIDES = ("above", "below", "left", "right")
+
+
+@query("t_neighbors", f"""WITH {ORDERS_N}, {CELL_REQUESTS}, asked AS (
+  SELECT request_id, row, col, side, row + dr AS place, col + dc AS place_col FROM cell_requests,
+    (VALUES ('above', -1, 0), ('below', 1, 0), ('left', 0, -1), ('right', 0, 1)) s(side, dr, dc)),
+found AS (SELECT request_id, row, col, side, {PICKED} FROM asked LEFT JOIN orders_n ON row_id = place)
+SELECT request_id, row, col, """ + ", ".join(
+    f"max(v_num) FILTER (side = '{s}') AS {s}_num, max(v_str) FILTER (side = '{s}') AS {s}_str" for s in SIDES
+) + " FROM found GROUP BY request_id, row, col")
 def t_neighbors(t):
     return C.neighbors(t.orders_n(), t.cell_requests(), ORDER_COLS)
 
@@ -53,10 +58,12 @@ def pair_requests(t):
 
 
 def _pair_query(name, op):
-    @query(name, f"""WITH {ORDER_CELLS}, {PAIR_REQUESTS}
-SELECT request_id, row1, col1, row2, col2, round(a.v_num {op} b.v_num, 4) AS result FROM pair_requests r
-LEFT JOIN order_cells a ON a.row_id = row1 AND a.col = col1
-LEFT JOIN order_cells b ON b.row_id = row2 AND b.col = col2""")
+    @query(name, f"""WITH {ORDERS_N}, {PAIR_REQUESTS}, asked AS (
+  SELECT pair_requests.*, which, CASE which WHEN 1 THEN row1 ELSE row2 END AS place, CASE which WHEN 1 THEN col1 ELSE col2 END AS place_col
+  FROM pair_requests, (VALUES (1), (2)) w(which)),
+found AS (SELECT request_id, row1, col1, row2, col2, which, {PICKED} FROM asked LEFT JOIN orders_n ON row_id = place)
+SELECT request_id, row1, col1, row2, col2,
+  round(max(v_num) FILTER (which = 1) {op} max(v_num) FILTER (which = 2), 4) AS result FROM found GROUP BY request_id, row1, col1, row2, col2""")
     def run(t):
         out = C.cell_pairs(t.orders_n(), pair_requests(t), ORDER_COLS, op)
         return out.withColumn("result", F.round("result", 4))
