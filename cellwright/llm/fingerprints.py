@@ -1,6 +1,6 @@
 """Document fingerprints by consistent weighted sampling.
 
-A text's terms are its words (A-Z lower-cased, maximal runs of characters other
+A text's terms are its words (lower-cased, maximal runs of characters other
 than ASCII white space), weighted by how often they occur. Sample k of a text
 takes, for each term with weight S, from hashes of (term, k) alone
 
@@ -14,7 +14,8 @@ signature stores one 32-bit hash of (term, t) per sample.
 All of it is column expressions: words are hashed and sorted inside their row,
 equal neighbours become weights, the terms are exploded, and each sample is one
 minimum over a long (ln a in the high bits, the hash in the low ones), combined
-in the task that read the text, before anything moves. Samples are independent, so
+in the task that read the text, before anything moves. Two texts of one row are taken together: a
+term that both hold equally often is sampled once for both. Samples are independent, so
 the likeness of two texts of similarity s has variance s (1 - s) / SAMPLES.
 
 Defined results
@@ -61,30 +62,58 @@ def _sample(k: int) -> Column:
     return F.expr(f"shiftleft({high}, 32) | ({name} & {_LOW}L)")
 
 
-def signatures(texts: DataFrame, key: list[str], text: str = "text", samples: int = SAMPLES) -> DataFrame:
-    """``key`` and signature (array of ``samples`` longs below 2^32) of each row; ``key`` must be unique.
+def _word_marks(column: str, side: int) -> Column:
+    """Hashes of the words of a text; the lowest bit tells the text."""
+    words = F.split(F.lower(F.coalesce(F.col(column), F.lit(""))), "[\\x20\\x09-\\x0D]+")
+    return F.transform(
+        F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w).bitwiseAND(F.lit(-2)).bitwiseOR(F.lit(side))
+    )
+
 
-    A row's terms are exploded and combined in the task that holds the row.
+def _term_rows(texts: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
+    """key, _term, _lnw, _in: the terms of one or two texts of each row.
+
+    ``_in`` has bit 1 for the first text and bit 2 for the second. A term that both hold
+    equally often is one row, so it is sampled once. A row without words has one row of NULLs.
     """
-    words = F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), "[\\x20\\x09-\\x0D]+")
-    hashed = texts.select(
-        *key,
-        F.sort_array(F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))).alias("_w"),
-    )
+    marks = [_word_marks(c, side) for side, c in enumerate(columns)]
+    hashed = texts.select(*key, F.sort_array(F.concat(*marks)).alias("_w"))
     last = F.transform(
         "_w", lambda x, i: F.when(F.coalesce(F.get("_w", i + 1) != x, F.lit(True)), i + 1)
     )
     ends = hashed.select(*key, "_w", F.array_compact(last).alias("_ends"))
     rows = ends.select(*key, "_w", "_ends", F.posexplode_outer("_ends").alias("_j", "_end"))
-    weight = F.col("_end") - F.coalesce(F.get("_ends", F.col("_j") - 1), F.lit(0))
-    terms = rows.select(*key, F.get("_w", F.col("_end") - 1).alias("_term"), F.ln(weight).alias("_lnw"))
-    best = [F.min(_sample(k)).alias(f"_s{k}") for k in range(samples)]
-    best[0] = F.min(F.when(F.col("_term").isNotNull(), _sample(0))).alias("_s0")
-    found = terms.groupBy(*key).agg(*best)
-    each = [
-        F.when(F.col("_s0").isNull(), F.lit(0)).otherwise(F.col(f"_s{k}").bitwiseAND(F.lit(_LOW))) for k in range(samples)
-    ]
-    return found.select(*key, F.array(*each).alias("signature"))
+    end = lambda j: F.coalesce(F.get("_ends", j), F.lit(0))
+    j, word = F.col("_j"), F.get("_w", F.col("_end") - 1)
+    second = word.bitwiseAND(F.lit(1)) == 1
+    # the same term in the other text stands just before (first text) or after (second text)
+    before = F.when(F.get("_w", end(j - 1) - 1).bitwiseOR(F.lit(1)) == word, end(j - 1) - end(j - 2))
+    after = F.when(F.get("_w", F.col("_end")) == word.bitwiseOR(F.lit(1)), end(j + 1) - F.col("_end"))
+    weight = F.col("_end") - end(j - 1)
+    found = rows.select(
+        *key, word.bitwiseAND(F.lit(-2)).alias("_term"), weight.alias("_n"),
+        F.when(second & (before == weight), F.lit(0)).when(second, F.lit(2)).when(after == weight, F.lit(3)).otherwise(F.lit(1)).alias("_in"),
+    ) if len(columns) > 1 else rows.select(*key, word.bitwiseAND(F.lit(-2)).alias("_term"), weight.alias("_n"), F.lit(1).alias("_in"))
+    return found.where("_in > 0").select(*key, "_term", F.ln("_n").alias("_lnw"), "_in")
+
+
+def signatures(texts: DataFrame, key: list[str], columns=("text",), samples: int = SAMPLES) -> DataFrame:
+    """``key`` and a signature (array of ``samples`` longs below 2^32) for each of one or two text columns.
+
+    They are called signature and edited_signature; ``key`` must be unique. A row's terms are exploded and
+    combined in the task that holds the row.
+    """
+    terms = _term_rows(texts, key, list(columns))
+    best = [F.min(F.when(F.col("_term").isNotNull(), _sample(k))).alias(f"_s{k}") for k in range(samples)]
+    found = terms.groupBy(*key, "_in").agg(*best)
+    names = ("signature", "edited_signature")[: len(columns)]
+    # a text's minima are those of its own terms and of the terms that both hold
+    mine = {n: F.col("_in").isin(bit, 3) for n, bit in zip(names, (1, 2))}
+    least = [F.min(F.when(of, F.col(f"_s{k}"))).alias(f"{n}{k}") for n, of in mine.items() for k in range(samples)]
+    whole = found.groupBy(*key).agg(*least)
+    return whole.select(
+        *key, *[F.array(*[F.coalesce(F.col(f"{n}{k}").bitwiseAND(F.lit(_LOW)), F.lit(0)) for k in range(samples)]).alias(n) for n in names]
+    )
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -143,19 +172,16 @@ def compare_edited(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     texts, order = edited_pairs(docs)
     both = texts.select(
         "ident", "h", "doc_id", "copies", F.length("text").cast("bigint").alias("n_chars"),
-        F.sha2(F.col("edited"), 256).alias("edited_sha256"),
-        F.posexplode(F.array("text", "edited")).alias("edit", "text"),
+        F.sha2(F.col("edited"), 256).alias("edited_sha256"), "text", "edited",
     )
-    key = ["ident", "h", "edit", "doc_id", "copies", "n_chars", "edited_sha256"]
+    key = ["ident", "h", "doc_id", "copies", "n_chars", "edited_sha256"]
     # kept and moved as 32-bit integers around zero, half the bytes of longs
-    narrow = F.transform("signature", lambda x: (x - F.lit(1 << 31)).cast("int"))
-    signed = store(signatures(both, key, samples=samples).withColumn("signature", narrow), "signatures")
-    base = signed.where("edit = 0").drop("edit")
-    edited = signed.where("edit = 1").select("ident", "h", F.col("signature").alias("edited_signature"))
+    narrow = {c: F.transform(c, lambda x: (x - F.lit(1 << 31)).cast("int")) for c in ("signature", "edited_signature")}
+    base = store(signatures(both, key, ("text", "edited"), samples).withColumns(narrow), "signatures")
     following = base.select(
         F.col("ident").alias("next_ident"), F.col("h").alias("next_h"), F.col("signature").alias("next_signature")
     )
-    found = base.join(edited, ["ident", "h"]).join(order, ["ident", "h"]).join(following, ["next_ident", "next_h"])
+    found = base.join(order, ["ident", "h"]).join(following, ["next_ident", "next_h"])
     wide = [
         F.transform(c, lambda x: x.cast("bigint") + F.lit(1 << 31)).alias(c)
         for c in ("signature", "edited_signature", "next_signature")
