@@ -8,10 +8,11 @@ windows at level h, moving one from h to h + s changes the sum by
 The counts are kept in one array by level; of equal choices the fullest window
 is taken. Each partition packs its own documents as they come, so no text moves.
 
-Documents may be cut anywhere, so windows never have to stay open: when many
-are open, and at the end of a partition, the emptiest are poured into the gaps of
-the fullest. What is left, less than one window a partition, becomes sequences
-of lengths that are powers of two, which need no padding.
+Documents may be cut anywhere: at the end of a partition the windows still open, and
+only those, are made full by pouring the emptiest into the gaps of the fullest. What is
+left, less than one window a partition, becomes sequences of lengths that are powers of two, which
+need no padding. A task holds the ids of its open windows, 16 kB each at most: no more than
+the ids of its partition, and few of them where rests of all sizes occur.
 
 Defined results
     null or empty text   only the end id
@@ -40,10 +41,8 @@ from .textbytes import text_slices
 
 WINDOW = 4096
 END_ID = 2
-#: open windows before the emptiest are poured out
-MOST_OPEN = 1024
-#: different words whose ids a worker remembers, before those of one more slice of texts
-REMEMBERED = 500_000
+#: different words whose ids a worker remembers, before those of one more slice of texts, and the bytes of the longest
+REMEMBERED, LONG = 500_000, 48
 
 
 class WordIds:
@@ -53,7 +52,8 @@ class WordIds:
     piece is cut into words by the tokenizer's own pattern, and new words are given
     to the library many at a time: the tokens that end a word tell their ids
     apart. Any other text, or one with a special string, is cut at white space only, and
-    the library gets these pieces one by one. Ids of words and pieces are remembered.
+    the library gets these pieces one by one. Ids of words and pieces of up to ``LONG`` bytes are
+    remembered, so what a worker holds is bounded in bytes.
     """
 
     #: fixed value: how the tokenizer cuts texts into words
@@ -100,15 +100,23 @@ class WordIds:
                 at = stop
         get = self.words.__getitem__
         self.plain.update((p, b"".join(map(get, c))) for p, c in zip(pieces, cut))
+        for word in words:
+            if len(word) > LONG:
+                del self.words[word]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         cut = [self.cut(t or "") for t in texts]
         if len(self.plain) > REMEMBERED:
             self.plain.clear()
-        self.learn(list(set(itertools.chain.from_iterable(c for c in cut if c)) - self.plain.keys()))
+        new = list(set(itertools.chain.from_iterable(c for c in cut if c)) - self.plain.keys())
+        self.learn(new)
         get = self.plain.__getitem__
-        return [self.by_pieces(t) if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut)]
+        found = [self.by_pieces(t) if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut)]
+        for piece in new:
+            if len(piece) > LONG:
+                del self.plain[piece]
+        return found
 
     def by_pieces(self, text: str) -> bytes:
         pieces = text.encode().split()
@@ -118,14 +126,29 @@ class WordIds:
             new = list(set(pieces))
         encoded = self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)
         self.pieces.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(new, encoded))
-        return b"".join(map(self.pieces.__getitem__, pieces))
+        found = b"".join(map(self.pieces.__getitem__, pieces))
+        for piece in new:
+            if len(piece) > LONG:
+                del self.pieces[piece]
+        return found
+
+
+_kept: dict[str, WordIds] = {}
+
+
+def word_ids(path: str) -> WordIds:
+    """The tokenizer of a worker process: read once, and its words stay known from task to task."""
+    if path not in _kept:
+        _kept.clear()
+        _kept[path] = WordIds(path)
+    return _kept[path]
 
 
 class Packer:
     """Places pieces (document, start, ids) into windows of one partition."""
 
-    def __init__(self, first_id: int, window: int = WINDOW, most_open: int = MOST_OPEN):
-        self.window, self.most_open, self.next_id = window, most_open, first_id
+    def __init__(self, first_id: int, window: int = WINDOW):
+        self.window, self.next_id = window, first_id
         self.counts = np.zeros(window + 1, np.int64)
         self.open: dict[int, list] = {}  # level -> [(sequence, pieces)]
         self.done: list = []
@@ -175,8 +198,6 @@ class Packer:
         sequence, pieces = self._take(level) if level else (self._new(), [])
         pieces.append((doc, whole, rest))
         self._keep(level + size, sequence, pieces)
-        if self.counts.sum() > self.most_open:
-            self.pour(self.most_open // 2)
 
     def pour(self, most: int) -> None:
         """Empty the lowest windows into the gaps of the highest until at most ``most`` are open."""
@@ -227,7 +248,7 @@ def pack_documents(docs: DataFrame, path: str, window: int = WINDOW, end_id: int
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, packer = WordIds(path), Packer(TaskContext.get().partitionId() << 33, window)
+        ids_of, packer = word_ids(path), Packer(TaskContext.get().partitionId() << 33, window)
         end, id_type = end_id.to_bytes(4, "little"), None
 
         def placed() -> pa.RecordBatch:

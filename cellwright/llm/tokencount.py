@@ -39,7 +39,8 @@ from .textbytes import text_slices
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CHUNK = 1 << 14
 MOST_STATES = 150_000
-MOST_WORDS = 500_000
+#: pieces whose count a worker remembers, and the characters of the longest
+MOST_WORDS, LONG = 500_000, 48
 
 
 def _byte_letters() -> dict[str, int]:
@@ -168,7 +169,9 @@ class Counter:
 
         class Known(dict):
             def __missing__(self, piece: str) -> int:
-                found = self[piece] = machine.count(piece.encode())
+                found = machine.count(piece.encode())
+                if len(piece) <= LONG:
+                    self[piece] = found
                 return found
 
         self.known = Known()
@@ -208,14 +211,25 @@ class Counter:
         return sum(map(self.count_plain, parts)) + len(parts) - 1
 
 
+_kept: dict[tuple[str, int], Counter] = {}
+
+
+def counter(path: str, chunk: int) -> Counter:
+    """The counter of a worker process: its states and counts stay known from task to task."""
+    if (path, chunk) not in _kept:
+        _kept.clear()
+        _kept[path, chunk] = Counter(path, chunk)
+    return _kept[path, chunk]
+
+
 def count_tokens(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
     """doc_id, n_bytes, n_tokens of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(path, chunk)
+        own = counter(path, chunk)
         for part in text_slices(batches):
-            found = [counter.count(t or "") for t in part.column("text").to_pylist()]
+            found = [own.count(t or "") for t in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("n_bytes"), pa.array(found, pa.int64())], ["doc_id", "n_bytes", "n_tokens"]
             )

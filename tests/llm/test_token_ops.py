@@ -137,7 +137,7 @@ def test_level_minimises_the_sum_of_squares():
 
 @pytest.mark.parametrize("sizes", [[13] * 500, [24] * 5, [1] * 100, [23, 2] * 200, [7, 100, 3, 3, 50]])
 def test_any_sizes_pack_without_padding(sizes):
-    packer = packing.Packer(10, window=24, most_open=8)
+    packer = packing.Packer(10, window=24)
     for d, n in enumerate(sizes):
         packer.add(d, np.arange(n, dtype="<u4").tobytes())
     packer.close()
