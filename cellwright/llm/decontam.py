@@ -10,8 +10,8 @@ different shingles, in powers of two). A partition up to size u keeps the
 k = floor((1 - threshold) u) + 1 smallest shingle hashes of each item, its
 bottom-k MinHash sketch. A document that contains the item misses at most
 k - 1 of its shingles, so it holds at least one of these k: however long the
-document is, no containing document is missed. Documents with fewer shingles
-than the item needs are ruled out by size. A fixed bitmap of the sketch and
+document is, and over however many rows of its id it is spread, no containing document is
+missed. A fixed bitmap of the sketch and
 item hashes (its size does not depend on the data) keeps other shingles from leaving
 the task that reads a document. Candidates are then verified by counting equal
 shingle texts.
@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import store
+from .langid import free_name
 from .textbytes import LOWER, shingles, text_bytes, text_slices, word_hashes, word_spans
 
 WORDS = 5
@@ -127,7 +128,7 @@ def find_contained(
     def needed(n: Column) -> Column:
         return F.ceil(n * F.lit(threshold) - F.lit(1e-9))
 
-    near = hits.join(sketch, "h").where(F.col("n") >= needed(F.col("n_item")))
+    near = hits.join(sketch, "h")
     candidates = near.select("doc_id", "item_id", "n_item").distinct()
     wanted = candidates.join(
         shingled.select(F.col("item_id").alias("_item"), "shingle"), F.col("item_id").eqNullSafe(F.col("_item"))
@@ -145,6 +146,14 @@ def find_contained(
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Documents that contain no item, with all their columns; rows without an id cannot be named and stay."""
-    found = store(find_contained(docs, items, threshold).select("doc_id").distinct(), "contaminated")
-    return docs.join(found, "doc_id", "left_anti")
+    """Documents that contain no item, with all their columns.
+
+    Rows of one id go or stay together; a row without an id is a document of its own, named by its text.
+    """
+    name = free_name(docs, "contained_key")
+    text = F.col("text").cast("string")
+    own = F.concat(F.lit("text "), F.xxhash64(text), F.lit(" "), F.coalesce(F.length(text), F.lit(0)))
+    keyed = docs.withColumn(name, F.coalesce(F.concat(F.lit("id "), F.col("doc_id").cast("string")), own))
+    found = find_contained(keyed.select(F.col(name).alias("doc_id"), "text"), items, threshold)
+    contaminated = store(found.select(F.col("doc_id").alias(name)).distinct(), "contaminated")
+    return keyed.join(contaminated, name, "left_anti").select(*docs.columns)

@@ -24,12 +24,12 @@ Defined results
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
@@ -42,9 +42,9 @@ CORE, CONTEXT = 256, 16
 LANES = 1024
 PER_LANGUAGE = 150
 PASSAGE = 1024
-#: below this probability the pipeline counts a language as not identified
-LEAST_SCORE = 0.3
-_LETTER = re.compile(r"[^\W\d_]")
+#: how far from chance to certainty a score has to come before the pipeline counts a language as identified
+LEAST_SHARE = 1 / 15
+_LETTER = regex.compile(r"\p{L}")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -220,9 +220,16 @@ def identify(docs: DataFrame, learn_from: DataFrame | None = None) -> DataFrame:
     return _predict(docs.select("doc_id", "text"), net, "lang_pred", "score").drop("text")
 
 
-def keep_identified(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """Documents in an identified language, with all their columns."""
+def least_score(languages: int, share: float = LEAST_SHARE) -> float:
+    """The score that is ``share`` of the way from chance (one in ``languages``) to certainty: 0.3 for four languages."""
+    return 1 / languages + share * (1 - 1 / languages)
+
+
+def keep_identified(docs: DataFrame, share: float = LEAST_SHARE) -> DataFrame:
+    """Documents in an identified language, with all their columns; all of them if no row has a language to learn."""
     net = train(training_rows(docs))
+    if net is None:
+        return docs
     lang, score = free_name(docs, "lang_pred"), free_name(docs, "lang_score")
     judged = _predict(docs, net, lang, score)
-    return judged.where((F.col(lang) != UNKNOWN) & (F.col(score) >= least)).drop(lang, score)
+    return judged.where((F.col(lang) != UNKNOWN) & (F.col(score) >= least_score(len(net.languages), share))).drop(lang, score)

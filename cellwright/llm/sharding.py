@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..session import store
 
 BITS = 12
+#: bits of the rounds after the first: at most 32 driver rows for each open splitter
+FINE_BITS = 5
 ROW_BYTES = 8
 PIECE_BYTES = 64 << 20
 
@@ -51,7 +53,7 @@ def _refine(rows: DataFrame, wanted: list[tuple[int, int, int]], tolerance: int)
     while state:
         # all open splitters are equally far: their bins are 2^width keys wide
         width = next(iter(state.values()))[2]
-        step = max(width - BITS, 0)
+        step = max(width - (BITS if width == 64 else FINE_BITS), 0)
         some = rows
         if width < 64:
             some = rows.where(F.shiftright("k", width).isin(sorted({low >> width for _, low, _, _ in state.values()})))
@@ -111,7 +113,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, pieces: int | None = None,
 
     ``tolerance`` is the share of a piece by which a cut may miss its target;
     a single row larger than that moves the cut by up to its own size. ``pieces``
-    of a shard: by default one for each ``PIECE_BYTES``, 8 to 32.
+    of a shard: by default one for each ``PIECE_BYTES``, 8 at least.
     """
     lowest = -(1 << 63)
     text = F.coalesce("text", F.lit(""))
@@ -122,7 +124,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, pieces: int | None = None,
     keys = store(keyed.select("key", "id", "size"), "shard_keys")
     if pieces is None:
         total = keys.agg(F.sum("size")).first()[0] or 0
-        pieces = min(32, max(8, -(-total // (shards * PIECE_BYTES))))
+        pieces = max(8, -(-total // (shards * PIECE_BYTES)))
     cuts = find_splitters(keys, shards * pieces, tolerance)
 
     def piece_of(key: Column, ident: Column) -> Column:

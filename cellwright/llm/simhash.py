@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import store
 from .graphs import components
+from .langid import free_name
 from .textbytes import text_slices
 
 WORDS = 3
@@ -69,16 +70,16 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long) of every row."""
+def fingerprints(docs: DataFrame, keep=("doc_id",)) -> DataFrame:
+    """The columns of ``keep`` and fp (the fingerprint as a signed long) of every row."""
 
     def run(batches):
         for part in text_slices(batches):
             found = np.array([fingerprint(t) for t in part.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(found.view(np.int64))], [*keep, "fp"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, fp bigint")
+    kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
+    return docs.select(*keep, F.col("text").cast("string").alias("text")).mapInArrow(run, f"{kinds}, fp bigint")
 
 
 def _signs(fps: np.ndarray) -> np.ndarray:
@@ -176,32 +177,50 @@ def link_classes(classes: DataFrame, bits: int = MAX_BITS, block: int = BLOCK) -
     return as_member.unionByName(as_home).groupBy("anchor", "i", "j").applyInPandas(compare, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, fp, component_id (the smallest doc_id reachable over links) for every row."""
-    prints = store(fingerprints(docs.withColumn("doc_id", F.col("doc_id").cast("bigint"))), "fingerprints")
+def _groups(prints: DataFrame, bits: int) -> DataFrame:
+    """fp, root: the component of every fingerprint. Rows of one doc_id are linked."""
     # nodes are the fingerprints themselves, whatever the ids
-    classes = store(
-        prints.groupBy("fp").agg(F.min("doc_id").alias("doc")).select("fp", "doc"), "classes"
-    )
+    classes = store(prints.select("fp").distinct(), "classes")
     links = store(link_classes(classes.select("fp", F.col("fp").alias("node")), bits), "class_links")
     # a document with several rows links their fingerprints
     many = prints.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where("a <> b")
     same = many.select("doc_id", "a").join(prints, "doc_id").select("a", F.col("fp").alias("b")).where("a <> b")
     roots = components(links.unionByName(same))
-    grouped = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "doc", F.coalesce("root", "fp").alias("root")
-    )
-    smallest = grouped.groupBy("root").agg(F.min("doc").alias("component_id"))
+    return classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
+    """doc_id, fp, component_id (the smallest doc_id reachable over links) for every row."""
+    prints = store(fingerprints(docs.withColumn("doc_id", F.col("doc_id").cast("bigint"))), "fingerprints")
+    grouped = store(_groups(prints, bits), "groups")
+    least = prints.groupBy("fp").agg(F.min("doc_id").alias("doc"))
+    smallest = least.join(grouped, "fp").groupBy("root").agg(F.min("doc").alias("component_id"))
     labels = store(grouped.join(smallest, "root").select("fp", "component_id"), "labels")
     return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
 def drop_duplicates(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
-    """One document of each component, the one with the smallest doc_id, with all its columns.
+    """One row of each component, with all its columns.
 
-    Rows without a doc_id cannot be told apart by id: of them only exact repeats of
-    a component's fingerprint are left to the caller, and all stay.
+    It is the one with the smallest doc_id, rows without an id last, and of equal ids the one with the smallest hash
+    of its text; of rows equal in both any one.
     """
-    found = near_duplicates(docs, bits)
-    extra = store(found.where("doc_id <> component_id").select("doc_id").distinct(), "duplicates")
-    return docs.join(extra, docs["doc_id"] == extra["doc_id"], "left_anti")
+    k1, k2 = free_name(docs, "row_key"), free_name(docs, "row_key_2")
+    text, none = F.col("text").cast("string"), F.col("doc_id").isNull()
+    keyed = docs.withColumns({k1: F.xxhash64(text, "doc_id", none), k2: F.xxhash64(none, "doc_id", F.lit(1), text)})
+    named = keyed.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(k1).alias("k1"), F.col(k2).alias("k2"), "text")
+    prints = store(fingerprints(named, ("doc_id", "k1", "k2")), "fingerprints")
+    grouped = store(_groups(prints, bits), "groups")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")
+    # the first row of each fingerprint, then of each component: no component is gathered
+    heads = prints.groupBy("fp").agg(F.min(rank).alias("head")).join(grouped, "fp")
+    best = heads.groupBy("root").agg(F.min("head").alias("best"))
+    kept = store(grouped.join(best, "root").select("fp", "best.k1", "best.k2"), "kept")
+    other = prints.join(kept.withColumnsRenamed({"k1": "_1", "k2": "_2"}), "fp").where("k1 <> _1 OR k2 <> _2")
+    extra = store(other.select(F.col("k1").alias(k1), F.col("k2").alias(k2)).distinct(), "duplicates")
+    left = keyed.join(extra, [k1, k2], "left_anti")
+    # rows that are repeated in id and text share a key: one of them stays
+    repeated = store(prints.groupBy(F.col("k1").alias(k1), F.col("k2").alias(k2)).count().where("count > 1").drop("count"), "repeated")
+    once = left.join(repeated, [k1, k2], "left_anti")
+    first = left.join(repeated, [k1, k2], "left_semi").dropDuplicates([k1, k2])
+    return once.unionByName(first).select(*docs.columns)

@@ -1,8 +1,9 @@
 """The pipeline on the smallest tables, each stage against a brute-force version."""
 
 import corpus_pipeline
-from cellwright.llm import langid, toxicity
+from cellwright.llm import decontam, langid, simhash, toxicity
 from cellwright.llm.queries import QUERIES, table
+from cellwright.session import store
 
 from test_search_ops import brute_contained, brute_groups, plain_fingerprint
 
@@ -21,7 +22,7 @@ def test_stages_do_their_whole_job(spark, tmp_path):
     assert all(t.columns == columns for t in tables[:-1])
     kept = [{r["doc_id"] for r in t.select("doc_id").collect()} for t in tables]
     judged = {r["doc_id"]: r for r in QUERIES["op2_language"](spark, FOLDER).collect()}
-    assert kept[0] == {d for d, r in judged.items() if r["lang_pred"] != "und" and r["score"] >= langid.LEAST_SCORE}
+    assert kept[0] == {d for d, r in judged.items() if r["lang_pred"] != "und" and r["score"] >= langid.least_score(4)}
     scored = toxicity.score_toxicity(tables[0], table(spark, FOLDER, "labels")).collect()
     assert kept[1] == {r["doc_id"] for r in scored if r["score"] < toxicity.TOXIC}
     groups = brute_groups([(d, plain_fingerprint(rows[d])) for d in sorted(kept[1])])
@@ -37,3 +38,37 @@ def test_stages_do_their_whole_job(spark, tmp_path):
 def test_run_keeps_the_documents_of_the_stages(spark):
     out = corpus_pipeline.run(spark, FOLDER)
     assert {"doc_id", "start", "length", "sequence_id", "offset"} <= set(out.columns) and out.count() > 0
+
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def run_stages(spark, rows, folder=FOLDER):
+    docs = spark.createDataFrame(rows, DOCS)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = store(stage(spark, docs, folder), "stage")
+    return docs
+
+
+def test_stages_on_an_empty_table(spark):
+    assert run_stages(spark, []).count() == 0
+    _, pack = corpus_pipeline.STAGES[-1]
+    assert pack(spark, spark.createDataFrame([], DOCS), FOLDER).count() == 0
+
+
+def test_without_languages_nothing_is_rejected_as_unidentified(spark):
+    docs = spark.createDataFrame([(1, "some words", None, "s", 1), (None, None, None, None, None)], DOCS)
+    assert langid.keep_identified(docs).count() == 2
+
+
+def test_repeated_and_null_ids(spark):
+    same = "one two three four five six seven eight nine ten " * 3
+    other = "an entirely different text about rivers and mountains and the towns between them"
+    rows = [(1, same), (1, same), (2, same), (None, same), (None, same), (None, other), (None, other), (7, None), (8, "")]
+    kept = simhash.drop_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=repr) == sorted([(1, same), (None, other), (7, None)], key=repr)
+    only_null = simhash.drop_duplicates(spark.createDataFrame([(None, same), (None, same)], "doc_id long, text string"))
+    assert only_null.count() == 1
+    items = spark.createDataFrame([(1, other)], "item_id long, text string")
+    clean = decontam.drop_contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
+    assert len(clean) == 7 and all(r.text != other for r in clean)

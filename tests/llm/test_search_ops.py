@@ -57,13 +57,18 @@ def test_contained_items_match_brute_force(spark):
     pieces = [" ".join(long[i : i + 5]) for i in range(max(len(long) - 4, 1))]
     docs += [(200, " filler ".join(pieces) + " pad" * 30_000), (201, None), (202, ""), (203, items[3][1])]
     docs += [(204, " filler ".join(pieces[::2])), (204, " filler ".join(pieces[1::2])), (None, items[20][1])]
+    # two rows of one id, each with fewer shingles than the item needs
+    items += [(93, " ".join(f"half{i}" for i in range(24)))]
+    docs += [(205, " ".join(f"half{i}" for i in range(14))), (205, " ".join(f"half{i}" for i in range(10, 24)))]
     df = spark.createDataFrame([(*d, "x") for d in docs], DOCS + ", shingle string")
     it = spark.createDataFrame(items, "item_id long, text string")
     got = {(r["doc_id"], r["item_id"]): (r["n_shingles"], r["n_found"]) for r in decontam.find_contained(df, it).collect()}
     assert got == brute_contained(docs, items) and len(got) > 40
     kept = decontam.drop_contaminated(df, it).collect()
     bad = {d for d, _ in got if d is not None}
-    assert sorted(r["doc_id"] if r["doc_id"] is not None else -1 for r in kept) == sorted(d if d is not None else -1 for d, _ in docs if d not in bad)
+    assert (205, 93) in got
+    # the row without an id holds an item, too
+    assert sorted(r["doc_id"] for r in kept) == sorted(d for d, _ in docs if d is not None and d not in bad)
     assert kept[0].asDict().keys() == {"doc_id", "text", "shingle"}
     assert decontam.find_contained(df.where("false"), it).collect() == []
     assert decontam.find_contained(df, it.where("false")).collect() == []
