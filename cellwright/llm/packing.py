@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
@@ -48,7 +49,7 @@ REMEMBERED, LONG = 500_000, 48
 class WordIds:
     """Ids of texts under a tokenizer of words: lower case, white space dropped, ends of words marked.
 
-    A text of Latin-1 characters is cut at ASCII white space into pieces; a new
+    Texts of Latin-1 characters are cut at ASCII white space into pieces, many texts at once; a new
     piece is cut into words by the tokenizer's own pattern, and new words are given
     to the library many at a time: the tokens that end a word tell their ids
     apart. Any other text, or one with a special string, is cut at white space only, and
@@ -71,20 +72,23 @@ class WordIds:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.words: dict[str, bytes] = {}
-        self.plain: dict[bytes, bytes] = {}  # pieces of Latin-1 texts, lower-cased
+        self.plain: dict[str, bytes] = {}  # pieces of Latin-1 texts, lower-cased
         self.pieces: dict[bytes, bytes] = {}  # pieces of other texts, as they are
 
-    def cut(self, text: str) -> list[bytes] | None:
-        """Pieces of a text; None if the library has to see them as they are."""
+    def plain_form(self, text: str) -> str | None:
+        """The lower-cased text; None if the library has to see it as it is."""
         if any(s[:2] in text for s in self.special):
             return None
+        text = text.lower()
         try:
-            return text.lower().encode("latin-1").split()
+            text.encode("latin-1")
         except UnicodeEncodeError:
             return None
+        return text
 
-    def learn(self, pieces: list[bytes]) -> None:
-        cut = [self.words_of(p.decode("latin-1")) for p in pieces]
+    def learn(self, pieces: list[str]) -> None:
+        # a piece of letters alone is one word
+        cut = [(p,) if p.isalpha() else self.words_of(p) for p in pieces]
         if len(self.words) > REMEMBERED:
             self.words.clear()
         words = list(set(itertools.chain.from_iterable(cut)) - self.words.keys())
@@ -99,24 +103,40 @@ class WordIds:
                 self.words[word] = raw[at:stop]
                 at = stop
         get = self.words.__getitem__
-        self.plain.update((p, b"".join(map(get, c))) for p, c in zip(pieces, cut))
+        self.plain.update((p, get(c[0]) if len(c) == 1 else b"".join(map(get, c))) for p, c in zip(pieces, cut))
         for word in words:
             if len(word) > LONG:
                 del self.words[word]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        cut = [self.cut(t or "") for t in texts]
+        forms = [self.plain_form(t or "") for t in texts]
+        found = iter(self.by_distinct_pieces([f for f in forms if f is not None]))
+        return [self.by_pieces(t) if f is None else next(found) for t, f in zip(texts, forms)]
+
+    def by_distinct_pieces(self, texts: list[str]) -> list[bytes]:
+        """Ids of lower-cased Latin-1 texts: each different piece is looked up once, its ids copied to every place."""
+        if not texts:
+            return []
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.plain) > REMEMBERED:
             self.plain.clear()
-        new = list(set(itertools.chain.from_iterable(c for c in cut if c)) - self.plain.keys())
+        new = [p for p in pieces if p not in self.plain]
         self.learn(new)
-        get = self.plain.__getitem__
-        found = [self.by_pieces(t) if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut)]
+        known = [self.plain[p] for p in pieces]
         for piece in new:
             if len(piece) > LONG:
                 del self.plain[piece]
-        return found
+        pool = np.frombuffer(b"".join(known), "<u4")
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        codes = coded.indices.to_numpy()
+        lengths, starts = sizes[codes], (np.cumsum(sizes) - sizes)[codes]
+        upto = np.concatenate([[0], np.cumsum(lengths)])
+        ids = pool[np.repeat(starts - upto[:-1], lengths) + np.arange(upto[-1])]
+        edges = upto[split.offsets.to_numpy()].tolist()
+        return [ids[low:high].tobytes() for low, high in zip(edges, edges[1:])]
 
     def by_pieces(self, text: str) -> bytes:
         pieces = text.encode().split()
