@@ -33,18 +33,28 @@ def categorical_flag(col_type: Column) -> Column:
     return F.when(col_type.isin(*NUMERIC_TYPES) | col_type.startswith("decimal"), F.lit(0)).otherwise(F.lit(1))
 
 
+def _digest(text: Column) -> Column:
+    """What tells texts apart when they are counted: short ones themselves, longer ones by their 128-bit digest."""
+    raw = text.cast("binary")
+    return F.when(F.octet_length(raw) < 16, raw).otherwise(F.unhex(F.md5(raw)))
+
+
 def column_profile(cells: DataFrame) -> DataFrame:
-    """One row per column: n_rows, n_distinct, max_len, active, categorical."""
+    """One row per column: n_rows, n_distinct, max_len, active, categorical.
+
+    Distinct texts are counted by digests, so no long text is shuffled.
+    """
     if "v_exact" not in cells.columns:
         cells = cells.withColumn("v_exact", F.lit(None).cast("string"))
-    text = cells.withColumn("_text", cell_text())
+    text = cells.withColumn("_text", cell_text()).select(
+        "table_id", "col_id", "col_name", "col_type", "v_num", "v_str",
+        F.length("_text").alias("_length"), _digest(F.col("_text")).alias("_digest"),
+    ).withColumn("_filled", F.coalesce(F.col("v_num") != 0, F.length("v_str") > 0, F.lit(False))).drop("v_num", "v_str")
     return text.groupBy("table_id", "col_id", "col_name", "col_type").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct("_text").alias("n_distinct"),
-        F.max(F.length("_text")).alias("max_len"),
-        F.coalesce(
-            F.bool_or(F.coalesce(F.col("v_num") != 0, F.length("v_str") > 0, F.lit(False))), F.lit(False)
-        ).alias("active"),
+        F.count_distinct("_digest").alias("n_distinct"),
+        F.max("_length").alias("max_len"),
+        F.coalesce(F.bool_or("_filled"), F.lit(False)).alias("active"),
     ).withColumn("categorical", categorical_flag(F.col("col_type")))
 
 

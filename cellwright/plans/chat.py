@@ -1,22 +1,23 @@
 """Chat text with supervised spans, and the training-text job.
 
 Turns come as rows (conv_id, turn, role, text) with roles ``user``,
-``assistant`` and ``system``. Everything up to offsets works turn by turn;
-only ``render_chat`` and ``table_text`` build one string per group, which is
-what they are for.
+``assistant`` and ``system``. Everything up to offsets works turn by turn, and
+table texts are made in blocks of rows; only ``render_chat``, ``table_text`` and the texts of
+``build_training_text`` are one string per group, which is what they are for.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.rows import let
 from ..functions.text import render_number
 from ..operators.cells import is_numeric
 from ..operators.metadata import WHOLE_TYPES
 from ..operators.positions import dense_position, number_rows, prefix_sum
+from ..session import store
 
 # ---- fixed values: system texts, role names, separators and markers ----
 _CURIOUS = (
@@ -31,6 +32,9 @@ TABLE_START = "<tb_start>"
 TABLE_END = "<tb_end>"
 IGNORE = -100
 
+#: rows in one block of a table's text
+TEXT_ROWS = 1 << 12
+
 
 @dataclass(frozen=True)
 class Style:
@@ -159,25 +163,49 @@ def render_chat(turns: DataFrame, style_name: str) -> DataFrame:
     return join_pieces(prepare(turns, style(style_name)))
 
 
-def spans_of(pieces: DataFrame, s: Style) -> DataFrame:
-    """conv_id, i, start, end (exclusive) of the supervised characters."""
-    sized = pieces.withColumn("_len", F.length("piece").cast("bigint"))
+def _marks(text: Column) -> Column:
+    return ((F.length(text) - F.length(F.replace(text, F.lit(TABLE_MARK), F.lit("")))) / len(TABLE_MARK)).cast("bigint")
+
+
+def spans_of(pieces: DataFrame, s: Style, sizes: DataFrame | None = None) -> DataFrame:
+    """conv_id, i, start, end (exclusive) of the supervised characters.
+
+    With ``sizes`` (table_id, n_chars, found_at: the length of a table's text and the place of the
+    first separator in it) the spans are those of the text in which every table mark has been
+    replaced; pieces then still hold the marks, and no table text is read.
+    """
+    text, before = F.col("text"), F.substring("piece", F.lit(1), F.col("lead"))
+    stop_at = F.instr(text, s.sep)
+    sized = pieces.select(
+        "conv_id", "i", "role", *(["table_id"] if sizes is not None else []),
+        F.length("piece").cast("bigint").alias("_len"), _marks(F.col("piece")).alias("_len_marks"),
+        F.col("lead").cast("bigint").alias("_lead"), _marks(before).alias("_lead_marks"),
+        F.length(text).cast("bigint").alias("_said"), _marks(text).alias("_said_marks"),
+        F.when(stop_at > 0, stop_at - 1).cast("bigint").alias("_stop"),
+        _marks(F.substring(text, F.lit(1), stop_at - 1)).alias("_stop_marks"),
+        F.instr(text, TABLE_MARK).alias("_mark_at"),
+    )
+    if sizes is None:
+        grow, found = F.lit(0), F.lit(None).cast("bigint")
+    else:
+        sized = sized.join(sizes.select("table_id", "n_chars", "found_at"), "table_id", "left")
+        grow = F.coalesce(F.col("n_chars") + len(TABLE_START) + len(TABLE_END) - len(TABLE_MARK), F.lit(0))
+        found = F.when(F.col("_mark_at") > 0, F.col("_mark_at") - 1 + len(TABLE_START) + F.col("found_at"))
+    grown = {c: F.col(c) + F.col(c + "_marks") * grow for c in ("_len", "_lead", "_said", "_stop")}
+    sized = sized.withColumns(grown | {"_found": found}).select("conv_id", "i", "role", *grown, "_found")
     placed = prefix_sum(sized, "i", "_len", ["conv_id"], out="_upto")
-    begin = F.col("_upto") - F.col("_len")
+    start = F.col("_upto") - F.col("_len") + F.col("_lead")
     if s.kind == "llama_3":
-        start = begin + F.col("lead")
-        stop_at = F.instr("text", s.sep)
-        length = F.when(stop_at > 0, stop_at - 1).otherwise(F.length("text"))
-        end = start + length
+        # up to the first separator, be it the message's own or one in a table
+        end = start + F.coalesce(F.least("_stop", "_found"), "_said")
     elif s.kind == "single":
         # everything after "Assistant:" up to the next "\nHuman:"
-        start = begin + F.col("lead") - 1
-        last = pieces.groupBy("conv_id").agg(F.max("i").alias("_last"))
+        start = start - 1
+        last = sized.groupBy("conv_id").agg(F.max("i").alias("_last"))
         placed = placed.join(last, "conv_id")
         end = F.when(F.col("i") == F.col("_last"), F.col("_upto")).otherwise(F.col("_upto") - len(s.sep))
     elif s.kind == "llama_2":
-        start = begin + F.col("lead")
-        end = start + F.length("text")
+        end = start + F.col("_said")
     else:
         raise ValueError(f"no supervised spans for style: {s.kind}")
     return placed.where(F.col("role") == "assistant").select(
@@ -191,11 +219,13 @@ def supervised_spans(turns: DataFrame, style_name: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ tables as text
-def table_text(df: DataFrame, columns, row_id="row_id", base: int = 1) -> DataFrame:
-    """table_id, table_text: ``Row 1 - column 1: v, column 2: v. Row 2 - ... .``
+def table_text_blocks(df: DataFrame, columns, row_id="row_id", base: int = 1, rows: int = TEXT_ROWS, find: str | None = None) -> DataFrame:
+    """table_id, block, start, n_chars, found_at, text: the text of each table in blocks of ``rows`` rows.
 
-    Rows are rendered where they are; one string per table is put together at
-    the end, so tables should have passed the row budget.
+    ``Row 1 - column 1: v, column 2: v. Row 2 - ... .`` The blocks of a table, put together in
+    order, are its text; ``start`` is a block's place in it, ``found_at`` that of the first ``find``
+    in the block. A table of any size passes: what one task holds is a block. The blocks are
+    stored, so their places and lengths are read without their texts.
     """
     types = [df.schema[c] for c in columns]
     all_numbers = all(is_numeric(f) for f in types)
@@ -211,13 +241,46 @@ def table_text(df: DataFrame, columns, row_id="row_id", base: int = 1) -> DataFr
 
     cells = [F.concat(F.lit(f"column {k + base}: "), shown(f)) for k, f in enumerate(types)]
     numbered = dense_position(df.select("table_id", row_id, *columns), row_id, ["table_id"])
-    rows = numbered.select(
+    rows_of = numbered.select(
         "table_id", "position",
         F.concat(F.lit("Row "), (F.col("position") + base).cast("string"), F.lit(" - "), F.concat_ws(", ", *cells)).alias("_row"),
     )
     ordered = F.array_sort(F.collect_list(F.struct("position", "_row")))
     joined = F.array_join(F.transform(ordered, lambda r: r["_row"]), ". ")
-    return rows.groupBy("table_id").agg(F.concat(joined, F.lit(".")).alias("table_text"))
+    blocks = rows_of.groupBy("table_id", F.floor(F.col("position") / rows).alias("block")).agg(joined.alias("_text"))
+    place = F.instr("_text", find) if find else F.lit(0)
+    blocks = store(
+        blocks.select("table_id", "block", "_text", F.length("_text").alias("_n"), F.when(place > 0, place - 1).alias("_found")), "table_text"
+    )
+    order = Window.partitionBy("table_id").orderBy("block")
+    starts = blocks.select(
+        "table_id", "block",
+        F.coalesce(F.sum(F.col("_n").cast("bigint") + 2).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"),
+        F.when(F.lead("block").over(order).isNull(), F.lit(".")).otherwise(F.lit(". ")).alias("_end"),
+    )
+    return blocks.join(starts, ["table_id", "block"]).select(
+        "table_id", "block", "start", (F.col("_n") + F.length("_end")).cast("bigint").alias("n_chars"),
+        (F.col("start") + F.col("_found")).alias("found_at"), F.concat("_text", "_end").alias("text"),
+    )
+
+
+def text_sizes(blocks: DataFrame) -> DataFrame:
+    """table_id, n_chars, found_at of whole tables; reads no text."""
+    return blocks.groupBy("table_id").agg(F.sum("n_chars").alias("n_chars"), F.min("found_at").alias("found_at"))
+
+
+def join_blocks(blocks: DataFrame) -> DataFrame:
+    """table_id, table_text: one string per table, which has to fit a row."""
+    ordered = F.array_sort(F.collect_list(F.struct("block", "text")))
+    return blocks.groupBy("table_id").agg(F.array_join(F.transform(ordered, lambda b: b["text"]), "").alias("table_text"))
+
+
+def table_text(df: DataFrame, columns, row_id="row_id", base: int = 1) -> DataFrame:
+    """table_id, table_text: ``Row 1 - column 1: v, column 2: v. Row 2 - ... .``
+
+    One string per table; ``table_text_blocks`` gives the same text in blocks.
+    """
+    return join_blocks(table_text_blocks(df, columns, row_id, base))
 
 
 def inject_table(turns: DataFrame, texts: DataFrame, column: str = "text") -> DataFrame:
@@ -242,9 +305,11 @@ def build_training_text(turns: DataFrame, tables: DataFrame, columns, style_name
     """(texts, spans): conversations with their tables written in, and the
     supervised spans of those texts. ``turns`` carries table_id."""
     s = style(style_name)
-    filled = inject_table(turns, table_text(tables, columns, base=base))
-    pieces = prepare(filled, s)
-    return join_pieces(pieces, ["table_id"]), spans_of(pieces, s)
+    blocks = table_text_blocks(tables, columns, base=base, find=s.sep)
+    # turns keep their marks until the end: offsets follow from lengths and mark counts, and each table text is read once
+    pieces = store(prepare(turns, s), "pieces")
+    texts = inject_table(join_pieces(pieces, ["table_id"]), join_blocks(blocks))
+    return texts.select("conv_id", "table_id", "text"), spans_of(pieces, s, text_sizes(blocks))
 
 
 # ------------------------------------------------------------------ token arrays

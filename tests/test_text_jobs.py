@@ -146,6 +146,82 @@ def test_training_text_spans_survive_the_table(spark, turns, tables):
     assert [text[r.conv_id][r.start:r.end] for r in spans.orderBy("conv_id", "i").collect()] == ["yes", "no\nmore", "a"]
 
 
+def test_blocks_of_table_text_are_the_text(spark):
+    tables = spark.createDataFrame([(t, i, f"v{i}") for t, n in (("t", 7), ("u", 1), ("w", 6)) for i in range(n)], "table_id string, row_id long, v string")
+    whole = {t: ". ".join(f"Row {i + 1} - column 1: v{i}" for i in range(n)) + "." for t, n in (("t", 7), ("u", 1), ("w", 6))}
+    joined = {}
+    for b in H.table_text_blocks(tables, ["v"], rows=3, find="v4").orderBy("table_id", "block").collect():
+        assert b.start == len(joined.get(b.table_id, "")) and b.n_chars == len(b.text)
+        assert b.found_at == (whole[b.table_id].index("v4") if "v4" in b.text else None)
+        joined[b.table_id] = joined.get(b.table_id, "") + b.text
+    assert joined == whole
+
+
+@pytest.mark.parametrize("name", ["llama_3", "single", "llama_2"])
+def test_spans_cut_the_answers(turns, name):
+    text = {r.conv_id: r.text for r in H.render_chat(turns, name).collect()}
+    assert set(text) == {1, 2}  # the third breaks the order of roles
+    cut = [text[r.conv_id][r.start:r.end].strip() for r in H.supervised_spans(turns, name).orderBy("conv_id", "i").collect()]
+    assert cut == ["yes", "no\nmore", "a"]
+    assert "be brief" in text[1] and "bye" not in text[1] and "early" not in text[2]
+
+
+def test_rendered_formats(turns):
+    two = {r.conv_id: r.text for r in H.render_chat(turns, "two").collect()}[1]
+    assert two == "be brief\nHuman: hi <table>\nAssistant: yes</s>Human: and?\nAssistant: no\nmore</s>"
+    old = {r.conv_id: r.text for r in H.render_chat(turns, "llama_2").collect()}[1]
+    assert old == "[INST] <<SYS>>\nbe brief\n<</SYS>>\n\nhi <table> [/INST] yes </s><s>[INST] and? [/INST] no\nmore </s>"
+    new = {r.conv_id: r.text for r in H.render_chat(turns, "llama_3").collect()}[2]
+    assert new.endswith("<|start_header_id|>user<|end_header_id|>q<|eot_id|><|start_header_id|>assistant<|end_header_id|>a<|eot_id|>")
+    with pytest.raises(ValueError):
+        H.render_chat(turns, "plain")
+
+
+def test_training_text_spans_survive_the_table(spark, turns, tables):
+    texts, spans = H.build_training_text(turns.withColumn("table_id", F.lit("t1.csv")), tables, COLUMNS)
+    text = {r.conv_id: r.text for r in texts.collect()}
+    assert "<tb_start>Row 1 - column 1: " in text[1] and ".<tb_end>" in text[1] and "<table>" not in text[1]
+    assert [text[r.conv_id][r.start:r.end] for r in spans.orderBy("conv_id", "i").collect()] == ["yes", "no\nmore", "a"]
+
+
+@pytest.mark.parametrize("rows", [1, 2, 3, 100])
+def test_blocks_of_table_text_are_the_text(spark, tables, rows):
+    whole = {r.table_id: r.table_text for r in H.table_text(tables, COLUMNS).collect()}
+    blocks = H.table_text_blocks(tables, COLUMNS, rows=rows, find="column 2").orderBy("table_id", "block").collect()
+    joined, found = {}, {}
+    for b in blocks:
+        assert b.start == len(joined.get(b.table_id, "")) and b.n_chars == len(b.text)
+        joined[b.table_id] = joined.get(b.table_id, "") + b.text
+        if b.found_at is not None:
+            found.setdefault(b.table_id, b.found_at)
+    assert joined == whole and found == {t: x.index("column 2") for t, x in whole.items()}
+    sizes = {r.table_id: (r.n_chars, r.found_at) for r in H.text_sizes(H.table_text_blocks(tables, COLUMNS, rows=rows, find="column 2")).collect()}
+    assert sizes == {t: (len(x), x.index("column 2")) for t, x in whole.items()}
+    assert H.table_text_blocks(tables.where("false"), COLUMNS).count() == 0
+
+
+@pytest.mark.parametrize("name", ["llama_3"])
+def test_spans_from_lengths_equal_spans_of_filled_text(spark, name):
+    """Marks in every role, marks twice, separators before, in and after a table, tables that do not exist."""
+    s = H.STYLES[name]
+    cells = ["a", f"b{s.sep}c", None]
+    tables = spark.createDataFrame([("t", i, x) for i, x in enumerate(cells)] + [("u", 0, "x")], "table_id string, row_id long, v string")
+    said = ["<table> ok", f"a<table>b{s.sep}c", f"{s.sep}<table>", "<table><table>", "", "plain", None, f"<table>{s.sep}"]
+    rows = []
+    for c, (table, system) in enumerate([("t", None), ("u", "see <table>"), ("none", None), (None, "x")]):
+        if system:
+            rows.append((c, -1, "system", system, table))
+        rows += [(c, i, "user" if i % 2 == 0 else "assistant", said[(i * 3 + c) % 8], table) for i in range(16)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, table_id string").where("text IS NOT NULL OR role = 'user'")
+    turns = turns.withColumn("text", F.coalesce("text", F.lit("")))
+    texts, spans = H.build_training_text(turns, tables, ["v"], name)
+    pieces = H.prepare(H.inject_table(turns, H.table_text(tables, ["v"])), s)
+    want = {(r.conv_id, r.text) for r in H.join_pieces(pieces, ["table_id"]).collect()}
+    assert {(r.conv_id, r.text) for r in texts.collect()} == want and want
+    order = ["conv_id", "i"]
+    assert spans.orderBy(*order).collect() == H.spans_of(pieces, s).orderBy(*order).collect()
+
+
 def test_mask_labels_edges(spark):
     rows = [(1, [7, 1, 2, 5, 6, 9, 3, 1, 2, 8, 9]), (2, [1]), (3, []), (4, [1, 2, 4])]
     df = spark.createDataFrame(rows, "k int, ids array<int>")
