@@ -119,3 +119,19 @@ def test_drop_columns_keeps_order():
     kept = P.drop_columns(names, 7, 3)
     assert len(kept) == 7 and kept == sorted(kept, key=names.index) and kept == P.drop_columns(names, 7, 3)
     assert P.trim_padding(names, 4) == ["c0", "c1", "c2"]
+
+
+def test_profile_writes_numbers_out_once_for_each_value(spark):
+    """Rendering comes after the values are reduced; zeros of both signs and exact digits stay apart."""
+    rows = spark.createDataFrame(
+        [("t", 0, "a", "double", v, None, None) for v in (0.0, -0.0, 1.5, 1.5, None)]
+        + [("t", 1, "b", "bigint", float(1 << 60), None, e) for e in (None, str((1 << 60) + 1), str((1 << 60) + 1))]
+        + [("t", 2, "c", "string", None, s, None) for s in ("", "x" * 40, "x" * 40, "y", None)],
+        "table_id string, col_id int, col_name string, col_type string, v_num double, v_str string, v_exact string",
+    )
+    out = M.column_profile(rows)
+    got = {r.col_id: (r.n_rows, r.n_distinct, r.max_len, r.active) for r in out.collect()}
+    assert got == {0: (5, 3, 4, True), 1: (3, 2, 19, True), 2: (5, 3, 40, True)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.rindex("Aggregate"):].split("\n", 1)[1]
+    assert "substring_index" in plan and "substring_index" not in below

@@ -107,3 +107,20 @@ def test_questions_that_a_table_cannot_answer_are_dropped(spark):
     numeric = {"mean_value", "sort_values", "sum_values", "direct_correlation_between_columns", "add_cells", "square_values"}
     assert out and not numeric & {r.fn for r in out}
     assert any('"b\'s"' in r.answer for r in out if r.fn in ("non_empty_cells", "unique_values", "fill_missing_values"))
+
+
+def test_rows_that_do_not_stay_are_not_encoded_or_masked(spark, monkeypatch):
+    """Only the draws and the texts to number are taken of all rows; the cells that are worked on are those that stay."""
+    stored = {}
+    plain = CP.store
+    monkeypatch.setattr(CP, "store", lambda df, label: stored.setdefault(label, plain(df, label)))
+    df = corpus(spark)
+    cells = to_cells(df, "table_id", columns=COLUMNS)
+    for encoded in (False, True):
+        stored.clear()
+        opts = P.Options(encoded=encoded, max_cols=8, seed=3, keep_all_rows=False, context_length=400)
+        out = CP.preprocess_corpus(cells, meta_of(df, 4), opts)[0]
+        rows = out.select("table_id", "row_id").distinct().count()
+        assert rows < 60
+        assert stored["kept_cells"].count() == rows * len(COLUMNS)
+        assert stored["row_draws"].count() == 60

@@ -84,3 +84,32 @@ def test_take_lowest_with_equal_draws_and_without_groups(spark):
     assert take_lowest(df, "u", ["id"], F.lit(0)).where("chosen").count() == 0
     assert take_lowest(df, "u", ["id"], F.lit(1000)).where("chosen").count() == 100
     assert take_lowest(df.limit(0), "u", ["id"], F.lit(5)).count() == 0
+
+
+def test_small_groups_are_ranked_without_histograms(spark, monkeypatch):
+    from cellwright.operators import positions
+
+    stored = []
+    plain = positions.store
+    monkeypatch.setattr(positions, "store", lambda df, label: stored.append(label) or plain(df, label))
+    df = spark.range(300).select((F.col("id") % 3).alias("g"), "id", (F.col("id") / 300).alias("u"))
+    flagged = take_lowest(df, "u", ["id"], F.when(F.col("g") == 0, F.lit(500)).otherwise(F.lit(7)), ["g"])
+    got = sorted(r.id for r in flagged.where("chosen").collect())
+    assert got == sorted([*range(0, 300, 3), *range(1, 21, 3), *range(2, 21, 3)])
+    assert "cut_bins" not in stored
+
+
+@pytest.mark.parametrize("last", [2, 20, 100])
+def test_cut_points_of_groups_of_different_sizes(spark, last, monkeypatch):
+    monkeypatch.setattr("cellwright.operators.positions._LAST", last)
+    monkeypatch.setattr("cellwright.operators.positions._BITS", 3)
+    sizes = {"a": 1, "b": 5, "c": 90, "d": 1500}
+    rows = [(g, i, (i * 7919 % n) / n) for g, n in sizes.items() for i in range(n)]
+    df = spark.createDataFrame(rows, "g string, id int, u double")
+    flagged = take_lowest(df, "u", ["id"], F.ceil(F.col("n") * 0.4), ["g"])
+    got = {(r.g, r.id) for r in flagged.where("chosen").collect()}
+    want = set()
+    for g, n in sizes.items():
+        mine = sorted((u, i) for h, i, u in rows if h == g)
+        want |= {(g, i) for _, i in mine[: -(-n * 2 // 5)]}
+    assert got == want
