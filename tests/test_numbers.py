@@ -38,3 +38,19 @@ def test_draws_do_not_depend_on_partitions(spark):
     a = {r.id: r.u for r in spark.range(100).select("id", uniform(1, "id").alias("u")).collect()}
     b = {r.id: r.u for r in spark.range(100).repartition(7).select("id", uniform(1, "id").alias("u")).collect()}
     assert a == b and all(0 <= u < 1 for u in a.values())
+
+
+def test_rounding_seven_columns_stays_compiled(spark):
+    """Methods of more than 8,000 bytes are interpreted by the JVM: rounding a table's columns has to stay below."""
+    df = spark.range(10).select(*[(F.col("id") / (i + 3)).alias(f"c{i}") for i in range(7)]).where("c0 IS NOT NULL")
+    rounded = df.select(*[round_exact(F.col(c), 2).alias(c) for c in df.columns])
+    parts = rounded._jdf.queryExecution().debug().codegenToSeq()
+    assert max(parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size())) < 8000
+
+
+def test_rounding_of_halves_zeros_and_values_without_decimals(spark):
+    values = [2.675, 1.005, 0.125, 0.375, -0.125, -2.675, 1e17, -0.0, -0.001, float("inf"), None, 2.5, 0.005, 8.345]
+    df = spark.createDataFrame([(v,) for v in values], "x double").select(round_exact(F.col("x"), 2).cast("string").alias("t"))
+    assert [r.t for r in df.collect()] == [
+        "2.67", "1.0", "0.12", "0.38", "-0.12", "-2.67", "1.0E17", "0.0", "0.0", "Infinity", None, "2.5", "0.01", "8.35",
+    ]
