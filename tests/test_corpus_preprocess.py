@@ -124,3 +124,10 @@ def test_rows_that_do_not_stay_are_not_encoded_or_masked(spark, monkeypatch):
         assert rows < 60
         assert stored["kept_cells"].count() == rows * len(COLUMNS)
         assert stored["row_draws"].count() == 60
+
+
+def test_prompts_of_one_file_are_planned_by_many_tasks(spark):
+    prompts = spark.range(1000).withColumnRenamed("id", "prompt_id").coalesce(1)
+    drawn = Q.draw_tables(prompts, meta_of(corpus(spark), 4), 3).where("prompt_id >= 0")
+    assert drawn.rdd.getNumPartitions() > 1
+    assert drawn.count() == 1000
