@@ -95,13 +95,18 @@ class Words:
         ])
         # byte pairs of each word: (mark, first), (first, second), ..., (last, mark)
         sizes = ends - starts
-        owner = np.repeat(np.arange(len(sizes)), sizes + 1)
         self.first = np.cumsum(sizes + 1) - (sizes + 1)
-        nth = np.arange(len(owner)) - self.first[owner]
-        at = starts[owner] + nth
-        right = np.where(nth < sizes[owner], np.append(buf, np.uint8(0))[np.minimum(at, len(buf))], 0).astype(np.int64)
-        left = np.where(nth > 0, np.append(buf, np.uint8(0))[at - 1], 0).astype(np.int64)
-        self.pairs = (left * 263 + right * 31) % PAIRS
+        inside = np.zeros(len(buf) + 1, np.int8)
+        inside[starts] += 1
+        inside[ends] -= 1
+        # the bytes of all words, a zero after each: a pair's right byte, and the left one of the next pair
+        right = np.zeros(int(sizes.sum()) + len(sizes), np.uint8)
+        own = np.ones(len(right), bool)
+        own[self.first + sizes] = False
+        right[own] = buf[np.cumsum(inside, dtype=np.int8)[:-1] == 1]
+        pairs = right.astype(np.int32) * 31
+        pairs[1:] += right[:-1].astype(np.int32) * 263
+        self.pairs = (pairs % PAIRS).astype(np.uint16)
         self.sizes = sizes + 1
         counts = np.bincount(doc, minlength=self.texts)
         self.begin = begin = np.cumsum(counts) - counts
@@ -121,22 +126,25 @@ class ToxicityNet:
     def __init__(self, vocabulary: np.ndarray, params: dict[str, np.ndarray], scale: tuple[float, float] = (1.0, 0.0)):
         self.vocabulary, self.params, self.scale = vocabulary, params, scale
 
-    def word_ids(self, words: Words) -> np.ndarray:
+    def word_ids(self, marks: np.ndarray) -> np.ndarray:
         """(4, words): places in the vocabulary, its size for what is not in it."""
         n = len(self.vocabulary)
         if not n:
-            return np.zeros(words.marks.shape, np.int64)
-        at = np.searchsorted(self.vocabulary, words.marks)
-        return np.where(self.vocabulary[np.minimum(at, n - 1)] == words.marks, at, n)
+            return np.zeros(marks.shape, np.int64)
+        at = np.searchsorted(self.vocabulary, marks)
+        return np.where(self.vocabulary[np.minimum(at, n - 1)] == marks, at, n)
 
-    def vectors(self, words: Words) -> np.ndarray:
-        """(2 SIZE, words + 1): joined word and character vectors; the last column is for ended windows."""
+    def vectors(self, words: Words, start: int, stop: int) -> np.ndarray:
+        """(2 SIZE, stop - start + 1): joined word and character vectors; the last column is for ended windows."""
         p = self.params
-        out = np.zeros((2 * SIZE, len(words.hashes) + 1), np.float32)
-        if len(words.hashes):
-            for ids in self.word_ids(words):
+        out = np.zeros((2 * SIZE, stop - start + 1), np.float32)
+        if stop > start:
+            for ids in self.word_ids(words.marks[:, start:stop]):
                 out[:SIZE, :-1] += p["word"][ids].T
-            out[SIZE:, :-1] = (np.add.reduceat(p["char"][words.pairs], words.first) / words.sizes[:, None]).T
+            low = words.first[start]
+            pairs = words.pairs[low : words.first[stop - 1] + words.sizes[stop - 1]]
+            sums = np.add.reduceat(p["char"][pairs], words.first[start:stop] - low)
+            out[SIZE:, :-1] = (sums / words.sizes[start:stop, None]).T
         return out
 
     def inputs(self, vectors: np.ndarray, way: str) -> np.ndarray:
@@ -156,16 +164,20 @@ class ToxicityNet:
         return e, pooled, p["out"] @ pooled + p["bias"][0]
 
     def window_logits(self, words: Words) -> np.ndarray:
-        vectors = self.vectors(words)
-        x_f, x_b = self.inputs(vectors, "f"), self.inputs(vectors, "b")
         out = np.empty(len(words.doc), np.float32)
         for low in range(0, len(out), LANES):
             at = words.places(np.arange(low, min(low + LANES, len(out))))
+            ended = at == len(words.hashes)
+            # vectors of the words of these windows only: however many texts, as much is held at once
+            start, stop = words.low[low], words.high[min(low + LANES, len(out)) - 1]
+            vectors = self.vectors(words, start, stop)
+            x_f, x_b = self.inputs(vectors, "f"), self.inputs(vectors, "b")
+            at = np.where(ended, stop, at) - start
             back_at = at[::-1]
             there = gru.forward(lambda t: x_f.take(at[t], axis=1), self.params["u_f"], SPAN)
             back = gru.forward(lambda t: x_b.take(back_at[t], axis=1), self.params["u_b"], SPAN)[::-1]
             states = np.concatenate([there, back], axis=1)
-            out[low : low + LANES] = self.pool(states, at == len(words.hashes))[2]
+            out[low : low + LANES] = self.pool(states, ended)[2]
         return out
 
     def document_logits(self, words: Words, windows: np.ndarray | None = None) -> np.ndarray:
@@ -196,9 +208,10 @@ def train(rows: list[tuple[str, int]], steps: int = 320, half: int = 64) -> Toxi
     if not toxic.any() or toxic.all():
         return None
     rng = np.random.default_rng(11)
-    owner = np.searchsorted(words.begin, np.arange(len(words.hashes)), "right") - 1
-    pairs = np.stack([words.marks.ravel(), np.tile(owner, len(words.marks)).astype(np.uint64)])
-    known, times = np.unique(np.unique(pairs, axis=1)[0], return_counts=True)
+    ends = np.append(words.begin[1:], len(words.hashes))
+    known, times = np.unique(
+        np.concatenate([np.unique(words.marks[:, low:high]) for low, high in zip(words.begin, ends)]), return_counts=True
+    )
     vocabulary = known[times >= LEAST_SEEN]
     normal = lambda *shape, by=0.3: (rng.standard_normal(shape) * by).astype(np.float32)
     params = {"word": normal(len(vocabulary) + 1, SIZE, by=0.1), "char": normal(PAIRS, SIZE, by=0.2)}
@@ -209,7 +222,7 @@ def train(rows: list[tuple[str, int]], steps: int = 320, half: int = 64) -> Toxi
     params |= {"look": normal(2 * UNITS), "out": normal(2 * UNITS), "bias": np.zeros(1, np.float32)}
     net = ToxicityNet(vocabulary, params)
     optimizer = gru.Adam(params, 0.02)
-    ids = net.word_ids(words)
+    ids = net.word_ids(words.marks)
     positive, negative = np.flatnonzero(toxic), np.flatnonzero(~toxic)
     hard = negative
     for step in range(steps):
@@ -268,6 +281,7 @@ def train(rows: list[tuple[str, int]], steps: int = 320, half: int = 64) -> Toxi
         optimizer.step(grads)
         for name in ("word", "char"):  # what rarely occurs stays small
             params[name] *= 1 - DECAY * optimizer.rate
+    del words, ids  # what is learned from is no longer needed
     held = Words(*text_bytes(pa.array([t for t, _ in apart], pa.string())))
     net.scale = _calibrate(net.document_logits(held), np.array([y for _, y in apart]))
     return net

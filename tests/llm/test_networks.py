@@ -124,3 +124,29 @@ def test_every_word_lies_in_a_window():
     at = words.places(np.arange(len(words.doc)))
     seen = np.bincount(at[at < len(words.hashes)], minlength=len(words.hashes))
     assert (seen >= 1).all() and words.texts == len(texts)
+
+
+def test_toxicity_memory_does_not_grow_with_the_sample():
+    """Beside what words are kept as, scoring holds the vectors of the windows in hand only."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    params = {"word": rng.standard_normal((1, toxicity.SIZE)).astype(np.float32), "char": rng.standard_normal((toxicity.PAIRS, toxicity.SIZE)).astype(np.float32)}
+    for way in "fb":
+        params |= {f"in_{way}": rng.standard_normal((3 * toxicity.UNITS, 2 * toxicity.SIZE)).astype(np.float32), f"u_{way}": gru.start(toxicity.UNITS, rng)}
+        params[f"b_{way}"] = np.zeros(3 * toxicity.UNITS, np.float32)
+    params |= {"look": np.ones(2 * toxicity.UNITS, np.float32), "out": np.ones(2 * toxicity.UNITS, np.float32), "bias": np.zeros(1, np.float32)}
+    net = toxicity.ToxicityNet(np.zeros(0, np.uint64), params)
+    text = "some words of a text that goes on and on, " * 120
+    buf, offsets = text_bytes(pa.array([text] * 400))
+    tracemalloc.start()
+    words = toxicity.Words(buf, offsets)
+    made = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    before = tracemalloc.get_traced_memory()[0]
+    logits = net.document_logits(words)
+    scoring = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    one = net.document_logits(toxicity.Words(*text_bytes(pa.array([text]))))
+    assert np.allclose(logits, one[0], atol=1e-4)
+    assert made < 90 * len(buf) and scoring < 120 << 20
