@@ -305,7 +305,9 @@ def build_training_text(turns: DataFrame, tables: DataFrame, columns, style_name
     """(texts, spans): conversations with their tables written in, and the
     supervised spans of those texts. ``turns`` carries table_id."""
     s = style(style_name)
-    blocks = table_text_blocks(tables, columns, base=base, find=s.sep)
+    # tables that no turn names are not written out
+    named = store(turns.select("table_id").distinct(), "named_tables")
+    blocks = table_text_blocks(tables.join(named, "table_id", "left_semi"), columns, base=base, find=s.sep)
     # turns keep their marks until the end: offsets follow from lengths and mark counts, and each table text is read once
     pieces = store(prepare(turns, s), "pieces")
     texts = inject_table(join_pieces(pieces, ["table_id"]), join_blocks(blocks))
