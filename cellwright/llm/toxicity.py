@@ -44,6 +44,8 @@ UNITS = 8
 SIZE = 8  # of a word vector and of a character vector
 SPAN, STRIDE = 32, 16
 LANES = 2048
+#: words whose vectors are held at once; a slice of texts to be scored has fewer
+RUN = 1 << 18
 PAIRS = 4096
 #: bytes of a word's beginnings and of its ending that are looked up like words
 BEGINNINGS, ENDING = (4, 6), 4
@@ -165,13 +167,17 @@ class ToxicityNet:
 
     def window_logits(self, words: Words) -> np.ndarray:
         out = np.empty(len(words.doc), np.float32)
+        upto = 0
         for low in range(0, len(out), LANES):
             at = words.places(np.arange(low, min(low + LANES, len(out))))
             ended = at == len(words.hashes)
-            # vectors of the words of these windows only: however many texts, as much is held at once
-            start, stop = words.low[low], words.high[min(low + LANES, len(out)) - 1]
-            vectors = self.vectors(words, start, stop)
-            x_f, x_b = self.inputs(vectors, "f"), self.inputs(vectors, "b")
+            if low == upto:  # vectors of a run of words: however many texts, as much is held at once
+                start = words.low[low]
+                upto = int(np.searchsorted(words.high, start + RUN, "right"))
+                upto = len(out) if upto == len(out) else max(upto - upto % LANES, low + LANES)
+                stop = words.high[min(upto, len(out)) - 1]
+                vectors = self.vectors(words, start, stop)
+                x_f, x_b = self.inputs(vectors, "f"), self.inputs(vectors, "b")
             at = np.where(ended, stop, at) - start
             back_at = at[::-1]
             there = gru.forward(lambda t: x_f.take(at[t], axis=1), self.params["u_f"], SPAN)

@@ -138,7 +138,7 @@ def test_toxicity_memory_does_not_grow_with_the_sample():
     params |= {"look": np.ones(2 * toxicity.UNITS, np.float32), "out": np.ones(2 * toxicity.UNITS, np.float32), "bias": np.zeros(1, np.float32)}
     net = toxicity.ToxicityNet(np.zeros(0, np.uint64), params)
     text = "some words of a text that goes on and on, " * 120
-    buf, offsets = text_bytes(pa.array([text] * 400))
+    buf, offsets = text_bytes(pa.array([text] * 800))
     tracemalloc.start()
     words = toxicity.Words(buf, offsets)
     made = tracemalloc.get_traced_memory()[1]
@@ -149,4 +149,4 @@ def test_toxicity_memory_does_not_grow_with_the_sample():
     tracemalloc.stop()
     one = net.document_logits(toxicity.Words(*text_bytes(pa.array([text]))))
     assert np.allclose(logits, one[0], atol=1e-4)
-    assert made < 90 * len(buf) and scoring < 120 << 20
+    assert made < 90 * len(buf) and scoring < 150 << 20
