@@ -104,7 +104,9 @@ def signatures(texts: DataFrame, key: list[str], columns=("text",), samples: int
     combined in the task that holds the row.
     """
     terms = _term_rows(texts, key, list(columns))
-    best = [F.min(F.when(F.col("_term").isNotNull(), _sample(k))).alias(f"_s{k}") for k in range(samples)]
+    # a row without words has no weight, so its samples are NULL; under a CASE the hashes and logarithms that a
+    # sample names several times would be computed each time
+    best = [F.min(_sample(k)).alias(f"_s{k}") for k in range(samples)]
     found = terms.groupBy(*key, "_in").agg(*best)
     names = ("signature", "edited_signature")[: len(columns)]
     # a text's minima are those of its own terms and of the terms that both hold

@@ -184,6 +184,19 @@ def test_likeness_at_production_samples_errs_like_independent_samples(spark):
     assert math.sqrt(sum(scaled) / len(scaled)) < 1.12
 
 
+def test_samples_are_not_computed_under_a_condition(spark):
+    # Spark shares repeated parts of expressions (here hashes and logarithms) only outside of conditions
+    rows = [(1, "a b b", "a c"), (2, None, ""), (3, "", "x")]
+    texts = spark.createDataFrame(rows, "k long, text string, edited string")
+    best = fingerprints._term_rows(texts, ["k"], ["text", "edited"]).groupBy("k", "_in").agg(F.min(fingerprints._sample(0)).alias("s"))
+    assert {(r.k, r._in): r.s is None for r in best.collect()}[2, 1]
+    found = fingerprints.signatures(texts, ["k"], ("text", "edited"), 2)
+    update = [x for x in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "xxhash64(_term" in x]
+    assert update and not any("CASE" in x[: x.index("xxhash64(_term")] for x in update)
+    out = {r.k: (list(r.signature), list(r.edited_signature)) for r in found.collect()}
+    assert out[2] == ([0, 0], [0, 0]) and out[3][0] == [0, 0] and out[3][1] != [0, 0]
+
+
 def test_edited_texts_and_defined_cases(spark):
     texts = {1: "Ab cd ef gh ij kl", 2: None, 3: "", 5: "é😀 " * 9, 8: "Ab cd ef gh ij kl", 9: "x", 11: "many words " * 4000}
     rows = [(k, t, 0) for k, t in texts.items()] + [(5, texts[5], 0)]
