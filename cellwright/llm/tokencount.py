@@ -39,8 +39,10 @@ from .textbytes import text_slices
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CHUNK = 1 << 14
 MOST_STATES = 150_000
-#: pieces whose count a worker remembers, and the characters of the longest
+#: pieces and words whose count a worker remembers, and the characters of the longest
 MOST_WORDS, LONG = 500_000, 48
+#: stands for the count of a run that does not end at a synchronizing place; more than any text has tokens
+OPEN = 1 << 48
 
 
 def _byte_letters() -> dict[str, int]:
@@ -77,6 +79,14 @@ class Transducer:
         self.ranks = {(raw(a), raw(b)): i for i, (a, b) in enumerate(pairs)}
         self.prefixes = {t[:n] for t in self.tokens for n in range(1, len(t) + 1)}
         self.apart: dict[tuple[bytes, bytes], bool] = {}
+        # the merge that makes a token, and its rank; single bytes are made by none
+        self.halves = {a + b: (a, b) for a, b in self.ranks}
+        self.made = {a + b: i for (a, b), i in self.ranks.items()}
+        made = self.made.get
+        #: every token is made by one merge, after those that make its halves
+        self.ordered = len(self.halves) == len(self.ranks) and all(
+            (len(a) == 1 or made(a, 1 << 60) < i) and (len(b) == 1 or made(b, 1 << 60) < i) for (a, b), i in self.ranks.items()
+        )
         self.flush()
 
     def flush(self) -> None:
@@ -107,10 +117,33 @@ class Transducer:
         key = (before or b"", token)
         known = self.apart.get(key)
         if known is None:
-            known = self.merge(key[0] + token) == ([before, token] if before else [token])
+            if before and self.ordered:
+                known = self.stays(None, token) and not self.joins(before, token)
+            else:
+                known = self.merge(key[0] + token) == ([before, token] if before else [token])
             self.apart[key] = known
         return known
 
+    def joins(self, a: bytes, b: bytes) -> bool:
+        """Whether a merge goes over the border of two tokens that are each their own encoding.
+
+        Merges go by rank, so taking the later made of the two parts at the border apart, again and again, gives the
+        parts that meet there at any time. These are merged if that comes before either is merged on its own side;
+        of equal merges the left one comes first.
+        """
+        made, least_a, least_b = self.made, 1 << 60, 1 << 60
+        while True:
+            rank = self.ranks.get((a, b))
+            if rank is not None and rank < least_a and rank <= least_b:
+                return True
+            ra, rb = made.get(a, -1), made.get(b, -1)
+            if ra > rb:
+                least_a, a = ra, self.halves[a][1]
+            elif rb >= 0:
+                least_b, b = rb, self.halves[b][0]
+            else:
+                return False
+
     def state(self, tail: bytes, lasts: tuple, counts: tuple) -> State:
         key = (tail, lasts, counts)
         found = self.states.get(key)
@@ -174,13 +207,55 @@ class Counter:
                     self[piece] = found
                 return found
 
-        self.known = Known()
+        self.known = known = Known()
+        pieces = self.pieces
+
+        class Words(dict):
+            """Tokens of a space and the run up to the next one; OPEN if white space follows white space there."""
+
+            def __missing__(self, run: str) -> int:
+                if not run or run[-1].isspace():
+                    found = OPEN
+                else:
+                    found = sum(map(known.__getitem__, pieces(" " + run)))
+                if len(run) <= LONG:
+                    self[run] = found
+                return found
+
+        self.words = Words()
 
     def settled(self, text: str) -> int:
-        """Tokens of a text between synchronizing places."""
+        """Tokens of a text between synchronizing places.
+
+        A space after something else is such a place, so what stands between two of them is counted once and remembered.
+        """
         if len(self.known) > MOST_WORDS:
             self.known.clear()
-        return sum(map(self.known.__getitem__, self.pieces(text)))
+        if len(self.words) > MOST_WORDS:
+            self.words.clear()
+        first, *runs = text.split(" ")
+        counts = list(map(self.words.__getitem__, runs))
+        # where white space follows white space, the runs go on to the next synchronizing place
+        total = sum(counts)
+        if total >= OPEN or first[-1:].isspace():
+            return self._joined(first, runs, counts)
+        return sum(map(self.known.__getitem__, self.pieces(first))) + total
+
+    def _joined(self, first: str, runs: list[str], counts: list[int]) -> int:
+        """Tokens of runs of which some end in white space: these are taken together with the next."""
+        total, held = 0, [first]
+        for run, n in zip(runs, counts):
+            if held and (not held[-1] or held[-1][-1].isspace()):
+                held.append(run)
+                continue
+            if held:
+                total += sum(map(self.known.__getitem__, self.pieces(" ".join(held))))
+                held = []
+            if n < OPEN:
+                total += n
+            else:
+                held = ["", run]
+        return total + sum(map(self.known.__getitem__, self.pieces(" ".join(held)))) if held else total
 
     def map_of(self, chunk: str) -> ChunkMap:
         first = self.first(chunk)
@@ -207,6 +282,8 @@ class Counter:
     def count(self, text: str) -> int:
         if self.special is None:
             return self.count_plain(text)
+        if not any(map(text.__contains__, self.machine.special)):
+            return self.count_plain(text)
         parts = self.special.split(text)
         return sum(map(self.count_plain, parts)) + len(parts) - 1
 

@@ -163,3 +163,39 @@ def test_packed_query_on_documents(spark):
     for r in rows:
         assert r["ids_crc32"] == zlib.crc32(ids[r["doc_id"]][r["start"] : r["start"] + r["length"]].tobytes())
     assert out.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 4096").count() == 0
+
+
+def test_words_seen_before_are_not_split_again():
+    own = tokencount.Counter(tokenizer_path("byte_bpe_50k.json"))
+    lib, split = library("byte_bpe_50k.json"), own.pieces
+    text = "it's a word, and it's (the) same\n\nword " * 500
+    assert own.count(text) == len(lib.encode(text, add_special_tokens=False).ids)
+    seen = []
+    own.pieces = lambda t: seen.append(len(t)) or split(t)
+    assert own.count(text) == len(lib.encode(text, add_special_tokens=False).ids)
+    assert sum(seen) < 100  # each word was taken apart anew before
+
+
+def test_white_space_after_white_space_is_counted_with_what_follows():
+    own, lib = tokencount.Counter(tokenizer_path("byte_bpe_50k.json")), library("byte_bpe_50k.json")
+    rng = random.Random(4)
+    bits = [" ", " ", " ", "\n", "\t", "\u0085", "　", "\x1c", "​", "a", "word,", "it's", "7"]
+    for _ in range(2000):
+        t = "".join(rng.choice(bits) for _ in range(rng.randint(0, 25)))
+        assert own.count(t) == len(lib.encode(t, add_special_tokens=False).ids), repr(t)
+
+
+def test_border_of_two_tokens_by_halves_equals_merging():
+    machine = tokencount.Transducer(tokenizer_path("byte_bpe_50k.json"))
+    assert machine.ordered
+    rng = random.Random(8)
+    tokens = sorted(machine.tokens)
+    texts = [t.encode() for t in random_texts(300, 5)] + [b"a" * 40, b"-" * 70, b" " * 50]
+    near = [t for text in texts for t in machine.merge(text)]
+    pairs = [(rng.choice(near), rng.choice(near)) for _ in range(4000)] + [(rng.choice(tokens), rng.choice(tokens)) for _ in range(2000)]
+    # a token cut in two at any place: the border that merging goes over
+    pairs += [(t[:n], t[n:]) for t in rng.sample(tokens, 1500) for n in range(1, len(t)) if {t[:n], t[n:]} <= machine.tokens]
+    pairs += [(b"a" * i, b"a" * j) for i in range(1, 9) for j in range(1, 9) if {b"a" * i, b"a" * j} <= machine.tokens]
+    for a, b in pairs:
+        if machine.stays(None, a):
+            assert machine.stays(a, b) == (machine.merge(a + b) == [a, b]), (a, b)
