@@ -48,6 +48,8 @@ SEED = 42
 MAX_BITS = 3
 #: fingerprints an anchor should have at home on average
 PER_ANCHOR = 256
+#: bits of the map of keys by which rows stay without being moved: 2^17 words of 64
+MARK_BITS = 23
 #: rows of either side in one group of comparisons
 BLOCK = 4096
 
@@ -199,6 +201,25 @@ def near_duplicates(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
+def key_marks(keys: DataFrame, key: str) -> DataFrame:
+    """word, bits: a bitmap with the low places of all keys set, 64 of them in a row; its size does not grow with the data."""
+    place = F.col(key).bitwiseAND(F.lit((1 << MARK_BITS) - 1))
+    return (
+        keys.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits"))
+    )
+
+
+def marked(rows: DataFrame, key: str, marks: DataFrame, is_set: bool) -> DataFrame:
+    """Rows whose key's bit is set in ``marks``, or those where it is not. No row is moved."""
+    at, bits = free_name(rows, "mark_word"), free_name(rows, "mark_bits")
+    word = F.shiftright(F.col(key).bitwiseAND(F.lit((1 << MARK_BITS) - 1)), 6)
+    hit = F.coalesce(F.col(bits).bitwiseAND(F.expr(f"shiftleft(1L, cast(`{key}` & 63 as int))")) != 0, F.lit(False))
+    # at most 2^(MARK_BITS - 6) rows of 16 bytes, whatever the tables
+    found = rows.join(F.broadcast(marks.toDF(at, bits)), word == F.col(at), "left")
+    return found.where(hit if is_set else ~hit).select(*rows.columns)
+
+
 def drop_duplicates(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     """One row of each component, with all its columns.
 
@@ -217,10 +238,15 @@ def drop_duplicates(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     best = heads.groupBy("root").agg(F.min("head").alias("best"))
     kept = store(grouped.join(best, "root").select("fp", "best.k1", "best.k2"), "kept")
     other = prints.join(kept.withColumnsRenamed({"k1": "_1", "k2": "_2"}), "fp").where("k1 <> _1 OR k2 <> _2")
-    extra = store(other.select(F.col("k1").alias(k1), F.col("k2").alias(k2)).distinct(), "duplicates")
-    left = keyed.join(extra, [k1, k2], "left_anti")
     # rows that are repeated in id and text share a key: one of them stays
-    repeated = store(prints.groupBy(F.col("k1").alias(k1), F.col("k2").alias(k2)).count().where("count > 1").drop("count"), "repeated")
-    once = left.join(repeated, [k1, k2], "left_anti")
-    first = left.join(repeated, [k1, k2], "left_semi").dropDuplicates([k1, k2])
+    repeated = prints.groupBy("k1", "k2").count().where("count > 1").select("k1", "k2")
+    extra = store(other.select("k1", "k2").distinct(), "duplicates")
+    again = store(repeated.join(extra, ["k1", "k2"], "left_anti"), "repeated")
+    # texts do not move to the keys: a row whose bit is not set stays where it is
+    marks = store(key_marks(extra.unionByName(again), "k1"), "marks")
+    once = marked(keyed, k1, marks, False)
+    # of the others only those stay whose key is set by another one's bit, or is repeated
+    spared = marked(prints.select("k1", "k2"), "k1", marks, True).distinct().join(extra, ["k1", "k2"], "left_anti")
+    spared = store(spared.withColumnsRenamed({"k1": k1, "k2": k2}), "spared")
+    first = marked(keyed, k1, marks, True).join(spared, [k1, k2], "left_semi").dropDuplicates([k1, k2])
     return once.unionByName(first).select(*docs.columns)

@@ -72,3 +72,22 @@ def test_repeated_and_null_ids(spark):
     items = spark.createDataFrame([(1, other)], "item_id long, text string")
     clean = decontam.drop_contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
     assert len(clean) == 7 and all(r.text != other for r in clean)
+
+
+def test_texts_stay_where_they_are_when_duplicates_leave(spark, monkeypatch):
+    words = ["amber", "bridge", "copper", "dune", "ember", "fjord", "granite", "harbor", "island", "juniper"]
+    texts = [" ".join(words[(k * j + j) % 10] + str(k) for j in range(1, 30)) for k in range(60)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, t) for i, t in enumerate(texts[::3])] + [(5, texts[5])] * 2 + [(None, texts[7])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    groups = brute_groups([(d, plain_fingerprint(t)) for d, t in rows if d is not None])
+    want = sorted((d, texts[d]) for d, root in groups.items() if d == root)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for bits in (simhash.MARK_BITS, 6):  # 64 bits: many rows share a bit with one that leaves
+            monkeypatch.setattr(simhash, "MARK_BITS", bits)
+            kept = simhash.drop_duplicates(docs)
+            assert sorted(map(tuple, kept.collect())) == want
+            # all rows were shuffled to the keys that leave as soon as those were too many to send out
+            assert "LeftAnti" not in kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
