@@ -219,13 +219,11 @@ def supervised_spans(turns: DataFrame, style_name: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ tables as text
-def table_text_blocks(df: DataFrame, columns, row_id="row_id", base: int = 1, rows: int = TEXT_ROWS, find: str | None = None) -> DataFrame:
-    """table_id, block, start, n_chars, found_at, text: the text of each table in blocks of ``rows`` rows.
+def _text_blocks(df: DataFrame, columns, row_id, base: int, rows: int) -> DataFrame:
+    """table_id, block, _text: the rows of each ``rows`` row ids of a table as text, without the block's end.
 
-    ``Row 1 - column 1: v, column 2: v. Row 2 - ... .`` The blocks of a table, put together in
-    order, are its text; ``start`` is a block's place in it, ``found_at`` that of the first ``find``
-    in the block. A table of any size passes: what one task holds is a block. The blocks are
-    stored, so their places and lengths are read without their texts.
+    Rows are shuffled once, as their cells' text. Their numbers follow from the rows in earlier
+    blocks of the table and the place in the block.
     """
     types = [df.schema[c] for c in columns]
     all_numbers = all(is_numeric(f) for f in types)
@@ -240,23 +238,49 @@ def table_text_blocks(df: DataFrame, columns, row_id="row_id", base: int = 1, ro
         return F.coalesce(c.cast("string"), F.lit("nan"))
 
     cells = [F.concat(F.lit(f"column {k + base}: "), shown(f)) for k, f in enumerate(types)]
-    numbered = dense_position(df.select("table_id", row_id, *columns), row_id, ["table_id"])
-    rows_of = numbered.select(
-        "table_id", "position",
-        F.concat(F.lit("Row "), (F.col("position") + base).cast("string"), F.lit(" - "), F.concat_ws(", ", *cells)).alias("_row"),
+    # the hash comes first, so rows are sorted by it and not by names that begin alike
+    block = ["_group", "table_id", "block"]
+    rows_of = df.where(F.col("table_id").isNotNull() & F.col(row_id).isNotNull()).select(
+        F.xxhash64("table_id").alias("_group"), "table_id", F.floor(F.col(row_id) / rows).alias("block"),
+        F.col(row_id).alias("_id"), F.concat_ws(", ", *cells).alias("_cells"),
     )
-    ordered = F.array_sort(F.collect_list(F.struct("position", "_row")))
-    joined = F.array_join(F.transform(ordered, lambda r: r["_row"]), ". ")
-    blocks = rows_of.groupBy("table_id", F.floor(F.col("position") / rows).alias("block")).agg(joined.alias("_text"))
+    earlier = Window.partitionBy("_group", "table_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = rows_of.groupBy(*block).agg(F.count(F.lit(1)).alias("_n")).select(
+        *block, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+    )
+    gathered = rows_of.groupBy(*block).agg(F.sort_array(F.collect_list(F.struct("_id", "_cells"))).alias("_rows"))
+
+    def row_text(row, at):
+        number = (F.col("_before") + at + base).cast("string")
+        return F.concat(F.lit("Row "), number, F.lit(" - "), row["_cells"])
+
+    # one row per block: small next to the texts, which stay where they are
+    placed = gathered.join(before.hint("shuffle_hash"), block)
+    return placed.select("table_id", "block", F.array_join(F.transform("_rows", row_text), ". ").alias("_text"))
+
+
+def table_text_blocks(df: DataFrame, columns, row_id="row_id", base: int = 1, rows: int = TEXT_ROWS, find: str | None = None) -> DataFrame:
+    """table_id, block, start, n_chars, found_at, text: the text of each table in blocks of ``rows`` row ids.
+
+    ``Row 1 - column 1: v, column 2: v. Row 2 - ... .`` The blocks of a table, put together in
+    order, are its text; ``start`` is a block's place in it, ``found_at`` that of the first ``find``
+    in the block. A table of any size passes: what one task holds is a block. The blocks are
+    stored, so their places and lengths are read without their texts.
+    """
     place = F.instr("_text", find) if find else F.lit(0)
     blocks = store(
-        blocks.select("table_id", "block", "_text", F.length("_text").alias("_n"), F.when(place > 0, place - 1).alias("_found")), "table_text"
+        _text_blocks(df, columns, row_id, base, rows).select(
+            "table_id", "block", "_text", F.length("_text").alias("_n"), F.when(place > 0, place - 1).alias("_found")
+        ), "table_text",
     )
     order = Window.partitionBy("table_id").orderBy("block")
-    starts = blocks.select(
-        "table_id", "block",
-        F.coalesce(F.sum(F.col("_n").cast("bigint") + 2).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"),
-        F.when(F.lead("block").over(order).isNull(), F.lit(".")).otherwise(F.lit(". ")).alias("_end"),
+    # stored: its true size then decides whether the texts have to move
+    starts = store(
+        blocks.select(
+            "table_id", "block",
+            F.coalesce(F.sum(F.col("_n").cast("bigint") + 2).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"),
+            F.when(F.lead("block").over(order).isNull(), F.lit(".")).otherwise(F.lit(". ")).alias("_end"),
+        ), "text_places",
     )
     return blocks.join(starts, ["table_id", "block"]).select(
         "table_id", "block", "start", (F.col("_n") + F.length("_end")).cast("bigint").alias("n_chars"),
@@ -269,18 +293,19 @@ def text_sizes(blocks: DataFrame) -> DataFrame:
     return blocks.groupBy("table_id").agg(F.sum("n_chars").alias("n_chars"), F.min("found_at").alias("found_at"))
 
 
-def join_blocks(blocks: DataFrame) -> DataFrame:
+def join_blocks(blocks: DataFrame, text: str = "text", between: str = "", end: str = "") -> DataFrame:
     """table_id, table_text: one string per table, which has to fit a row."""
-    ordered = F.array_sort(F.collect_list(F.struct("block", "text")))
-    return blocks.groupBy("table_id").agg(F.array_join(F.transform(ordered, lambda b: b["text"]), "").alias("table_text"))
+    ordered = F.sort_array(F.collect_list(F.struct("block", text)))
+    whole = F.concat(F.array_join(F.transform(ordered, lambda b: b[text]), between), F.lit(end))
+    return blocks.groupBy("table_id").agg(whole.alias("table_text"))
 
 
 def table_text(df: DataFrame, columns, row_id="row_id", base: int = 1) -> DataFrame:
     """table_id, table_text: ``Row 1 - column 1: v, column 2: v. Row 2 - ... .``
 
-    One string per table; ``table_text_blocks`` gives the same text in blocks.
+    One string per table; ``table_text_blocks`` gives the same text in blocks with their places, which this needs not.
     """
-    return join_blocks(table_text_blocks(df, columns, row_id, base))
+    return join_blocks(_text_blocks(df, columns, row_id, base, TEXT_ROWS), "_text", ". ", ".")
 
 
 def inject_table(turns: DataFrame, texts: DataFrame, column: str = "text") -> DataFrame:

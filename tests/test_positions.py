@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellwright.functions.draws import uniform
+from cellwright.operators import positions
 from cellwright.operators.positions import (
     dense_position, number_rows, prefix_sum, previous_value, take_lowest,
 )
@@ -113,3 +114,30 @@ def test_cut_points_of_groups_of_different_sizes(spark, last, monkeypatch):
         mine = sorted((u, i) for h, i, u in rows if h == g)
         want |= {(g, i) for _, i in mine[: -(-n * 2 // 5)]}
     assert got == want
+
+
+def test_rows_are_numbered_with_the_wanted_columns_only(spark, monkeypatch):
+    """Order columns that nothing needs afterwards are not written; groups with names that begin alike stay apart."""
+    written = []
+    real = positions.store
+    monkeypatch.setattr(positions, "store", lambda df, label: written.append((label, df.columns)) or real(df, label))
+    df = spark.createDataFrame([(f"same_beginning_{i % 7}", i * 37 % 100, i) for i in range(100)], "g string, pos int, x int")
+    out = number_rows(df, ["pos"], ["g"], keep=["g", (F.col("x") + 1).alias("y")])
+    assert out.columns == ["g", "y", "row_id"] and ("numbered", ["g", "y", "_at"]) in written
+    for g in range(7):
+        want = [i + 1 for i in sorted(range(g, 100, 7), key=lambda i: i * 37 % 100)]
+        assert [r.y for r in out.where(F.col("g") == f"same_beginning_{g}").orderBy("row_id").collect()] == want
+
+
+@pytest.mark.parametrize("low, high", [(0.0, 0.001), (0.9, 1.0), (0.0, 1.0)])
+def test_lowest_draws_unlike_uniform_ones(spark, low, high):
+    """Only rows near the expected cut are ranked; where they are too few the whole group is."""
+    draw = F.lit(low) + (F.col("id") * 7919 % 1000) / 1000 * (high - low)
+    df = spark.range(1000).select("id", (F.col("id") % 3).alias("g"), draw.alias("u")).localCheckpoint()
+    rows = df.collect()
+    for within in (["g"], []):
+        flagged = {r.id for r in take_lowest(df, F.col("u"), ["id"], F.floor(F.col("n") * 0.2), within).where("chosen").collect()}
+        groups = {}
+        for r in rows:
+            groups.setdefault(r.g if within else 0, []).append((r.u, r.id))
+        assert flagged == {i for x in groups.values() for _, i in sorted(x)[: len(x) // 5]}

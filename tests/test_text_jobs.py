@@ -244,3 +244,13 @@ def test_synthetic_data(spark):
     assert lengths == {2, 4, 6, 8}
     parts = {r.part: r["count"] for r in D.split_exact(ids, 0.7, 3, "id").groupBy("part").count().collect()}
     assert parts == {"train": 2100, "eval": 900}
+
+
+def test_rows_of_a_table_text_move_once(spark, monkeypatch):
+    """Nothing is written on the way, and rows with and without neighbours in their block give one text."""
+    monkeypatch.setattr(H, "store", lambda df, label: pytest.fail(f"{label} was stored"))
+    ids = [0, 5, 4095, 4096, 9000, 20000]
+    tables = spark.createDataFrame([(t, i, float(i) if i else None) for t in ("t", "u") for i in ids] + [(None, 1, 1.0)], "table_id string, row_id long, v double")
+    out = H.table_text(tables, ["v"])
+    want = ". ".join(f"Row {k} - column 1: {float(i) if i else 'nan'}" for k, i in enumerate(ids, 1)) + "."
+    assert {(r.table_id, r.table_text) for r in out.collect()} == {("t", want), ("u", want)}
