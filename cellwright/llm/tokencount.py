@@ -38,13 +38,18 @@ from .textbytes import text_slices
 #: fixed value: the public pattern that splits text before merging
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CHUNK = 1 << 14
-MOST_STATES = 150_000
+MOST_STATES = 400_000
 #: pieces and words whose count a worker remembers, and the characters of the longest
 MOST_WORDS, LONG = 500_000, 48
+#: marks that are a piece of their own after letters at the end of a run
+MARKS = frozenset(".,;:!?")
 #: stands for the count of a run that does not end at a synchronizing place; more than any text has tokens
 OPEN = 1 << 48
 
 
+_BYTES = [bytes((b,)) for b in range(256)]
+
+
 def _byte_letters() -> dict[str, int]:
     """The letter a byte is written as in the vocabulary file: itself if printable, else 256 and up."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -77,7 +82,9 @@ class Transducer:
         self.tokens = {raw(t) for t in spec["model"]["vocab"] if t not in special}
         pairs = (m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"])
         self.ranks = {(raw(a), raw(b)): i for i, (a, b) in enumerate(pairs)}
-        self.prefixes = {t[:n] for t in self.tokens for n in range(1, len(t) + 1)}
+        #: every beginning of a token, and whether it is one itself
+        self.kinds = {t[:n]: False for t in self.tokens for n in range(1, len(t))}
+        self.kinds.update(dict.fromkeys(self.tokens, True))
         self.apart: dict[tuple[bytes, bytes], bool] = {}
         # the merge that makes a token, and its rank; single bytes are made by none
         self.halves = {a + b: (a, b) for a, b in self.ranks}
@@ -154,18 +161,31 @@ class Transducer:
         return found
 
     def compile(self, state: State, byte: int) -> tuple[State, int]:
-        text = state.tail + bytes((byte,))
-        for p in range(len(text)):
-            token = text[p:]
-            if state.lasts[p] is not False and token in self.tokens and self.stays(state.lasts[p], token):
-                break
-        count = state.counts[p] + 1
-        keep = next((p for p in range(len(text)) if text[p:] in self.prefixes), len(text))
+        text = state.tail + _BYTES[byte]
+        n, kind, apart, old = len(text), self.kinds.get, self.apart.get, state.lasts
+        token, keep, live = None, n, []
+        for p in range(n):
+            before = old[p]
+            if before is False:  # no token starts there, so no longer one does
+                continue
+            part = text[p:]
+            found = kind(part)
+            if found is not None:
+                if keep == n:
+                    keep = p
+                live.append(p)
+                if found and token is None:
+                    known = apart((before or b"", part))
+                    if known or (known is None and self.stays(before, part)):
+                        token, count = part, state.counts[p] + 1
+        if token is None:
+            token, count = text[n - 1 :], state.counts[n - 1] + 1
         # places where no token can start any more are all alike
-        live = [text[p:] in self.prefixes for p in range(keep, len(text))]
-        lasts = (*(t if ok else False for t, ok in zip(state.lasts[keep:], live)), token)
-        counts = (*(c - count if ok else 0 for c, ok in zip(state.counts[keep:], live)), 0)
-        return self.state(text[keep:], lasts, counts), count
+        lasts, counts = [False] * (n - keep), [0] * (n - keep)
+        for p in live:
+            lasts[p - keep] = old[p]
+            counts[p - keep] = state.counts[p] - count
+        return self.state(text[keep:], (*lasts, token), (*counts, 0)), count
 
     def count(self, piece: bytes) -> int:
         if len(self.states) > MOST_STATES:
@@ -214,7 +234,11 @@ class Counter:
             """Tokens of a space and the run up to the next one; OPEN if white space follows white space there."""
 
             def __missing__(self, run: str) -> int:
-                if not run or run[-1].isspace():
+                if run.isascii() and run.isalpha():
+                    found = known[" " + run]
+                elif run[:-1].isascii() and run[:-1].isalpha() and run[-1] in MARKS:
+                    found = known[" " + run[:-1]] + known[run[-1]]
+                elif not run or run[-1].isspace():
                     found = OPEN
                 else:
                     found = sum(map(known.__getitem__, pieces(" " + run)))

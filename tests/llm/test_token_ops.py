@@ -48,6 +48,35 @@ def test_machine_counts_every_prefix_of_a_piece():
             assert machine.count(word[:n]) == len(machine.merge(word[:n]))
 
 
+def test_dead_places_are_not_looked_up():
+    """Once no token starts at a place with the bytes from it, longer ones are not tried."""
+    class Seen(dict):
+        asked = 0
+
+        def get(self, key, default=None):
+            Seen.asked += 1
+            return super().get(key, default)
+
+    machine = tokencount.Transducer(tokenizer_path("byte_bpe_50k.json"))
+    machine.kinds = Seen(machine.kinds)
+    word, steps = b" thoqxzthoqxzthoqxzj", 0
+    state = machine.start
+    for byte in word:
+        steps += 0 if byte in state else sum(x is not False for x in state.lasts)
+        state, _ = state[byte]
+    assert Seen.asked == steps and machine.count(word) == len(machine.merge(word))
+
+
+def test_runs_of_letters_and_a_mark_count_as_the_library():
+    lib, own = library("byte_bpe_50k.json"), tokencount.Counter(tokenizer_path("byte_bpe_50k.json"))
+    rng = random.Random(12)
+    ends = [*".,;:!?'\"-)", "", "..", "?!", "'s", ".a", "é", "é.", "1", "1.", "²", "ª,", "\u0085", "ﬁ;", "Ⅷ"]
+    for _ in range(300):
+        word = lambda: "".join(rng.choice("etaoinshrdluTHéß") for _ in range(rng.randint(0, 9))) + rng.choice(ends)
+        text = " ".join(word() for _ in range(6))
+        assert own.count(text) == len(lib.encode(text, add_special_tokens=False).ids), text
+
+
 def test_flushed_states_count_the_same():
     machine = tokencount.Transducer(tokenizer_path("byte_bpe_50k.json"))
     before = machine.count(b"unbelievableness")
