@@ -72,3 +72,27 @@ def test_tables_no_turn_names_are_not_written_out(spark, tables):
     broken = tables.withColumn("word", F.when(F.col("table_id") == "t0.csv", F.col("word")).otherwise(F.raise_error(F.lit("written out")).cast("string")))
     texts, spans = H.build_training_text(turns, broken, COLUMNS)
     assert "Row 30 - " in texts.first()["text"] and spans.count() == 1
+
+
+def test_pairs_of_columns_are_added_up_without_a_row_for_each_pair(spark, monkeypatch):
+    stored = {}
+    store = A.store
+    monkeypatch.setattr(A, "store", lambda df, label: stored.setdefault(label, store(df, label)))
+    # no decimals, two, six, missing ones; column 4 has numbers that are no millionths in one table
+    number = lambda t, i, c: [float(i % 7) - 3, i * 1.25 - 1e5, None if i % 5 == 0 else i / 8 + 0.000001, None if i < 30 else 9e8 - i, i / 3 if t else 0.5][c]
+    rows = [(f"t{t}", i, c, "double", number(t, i, c), None) for t in range(2) for i in range(A.PAIR_BLOCK + 20) for c in range(5)]
+    values = spark.createDataFrame(rows, "table_id string, row_id long, col_id int, kind string, x double, t string").repartition(5)
+    pairs = [(f"t{t}", a, b) for t in range(2) for a in range(5) for b in range(5) if a != b] + [("t2", 0, 1)]
+    asked = spark.createDataFrame(pairs, "table_id string, pair_col1 int, pair_col2 int")
+    got = {tuple(r)[:3]: r["pair"] for r in A.pair_figures(values, asked).collect()}
+    # pairs are the exception: only those that have such numbers are joined by row
+    most = {label: df.count() for label, df in stored.items()}
+    assert most.pop("pairs", 0) <= 8 * (A.PAIR_BLOCK + 20) and max(most.values()) <= len(pairs)
+    stored.clear()
+    want = {tuple(r)[:3]: r["pair"] for r in A._joined_pairs(values, asked).collect()}
+    assert set(got) == set(want) == set(pairs[:-1])
+    for key, pair in want.items():
+        if key[0] == "t1" and 4 in key:
+            assert got[key]["n"] == pair["n"] and got[key]["s"]["xy"] == pytest.approx(pair["s"]["xy"])
+        else:
+            assert got[key] == pair, key
