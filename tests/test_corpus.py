@@ -135,3 +135,41 @@ def test_profile_writes_numbers_out_once_for_each_value(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     below = plan[plan.rindex("Aggregate"):].split("\n", 1)[1]
     assert "substring_index" in plan and "substring_index" not in below
+
+
+def test_csv_lines_are_read_once_and_not_dealt_anew(spark, tmp_path, monkeypatch):
+    for t in range(3):
+        (tmp_path / f"t{t}.csv").write_text("".join(f"{i},{i if t else 'x'},\"a,{i}\"\n" + "\n" * (i % 9 == 0) for i in range(300)))
+    stored = []
+    store = IO.store
+    monkeypatch.setattr(IO, "store", lambda df, label: stored.append((label, df)) or store(df, label))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        # pieces of files
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+        spark.conf.set("spark.sql.files.openCostInBytes", "10")
+        cells, rejected = IO.read_corpus(spark, str(tmp_path))
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert rejected.count() == 0
+    got = {(r["table_id"], r["row_id"], r["col_id"]): (r["v_num"], r["v_str"]) for r in cells.collect()}
+    assert got == {
+        (f"t{t}.csv", i, c): [(float(i), None), (float(i), None) if t else (None, "x"), (None, f"a,{i}")][c]
+        if c != 1 or t else (None, "x") for t in range(3) for i in range(300) for c in range(3)
+    }
+    text = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert sum("FileScan text" in text(df) for _, df in stored) == 1
+    assert "Exchange hashpartitioning" not in text(cells) and "Exchange rangepartitioning" not in text(cells)
+
+
+def test_tables_written_by_tasks_are_those_spark_writes(spark, tmp_path):
+    from queries.corpus import _write_lines
+
+    lines = [(f"t{i % 40}.csv", i // 40, None if i % 7 == 0 else f'{i},"é, {i}"') for i in range(20_000)]
+    rows = spark.createDataFrame(lines, "table_id string, row_id long, line string").repartition("table_id")
+    rows = rows.sortWithinPartitions("table_id", "row_id").select("table_id", "line")
+    _write_lines(rows, f"file:{tmp_path}/ours")
+    rows.write.partitionBy("table_id").text(f"{tmp_path}/theirs")
+    told = lambda folder: {p.name: "".join(f.read_text() for f in sorted(p.glob("part-*.txt"))) for p in (tmp_path / folder).glob("table_id=*")}
+    assert len(told("ours")) == 40 and told("ours") == told("theirs")
