@@ -96,3 +96,32 @@ def test_pairs_of_columns_are_added_up_without_a_row_for_each_pair(spark, monkey
             assert got[key]["n"] == pair["n"] and got[key]["s"]["xy"] == pytest.approx(pair["s"]["xy"])
         else:
             assert got[key] == pair, key
+
+
+def test_only_columns_of_many_decimals_are_added_as_decimals(spark, monkeypatch):
+    columns = [lambda i: i * 0.01 - 7, lambda i: 999_999_999.999999 if i else None, lambda i: -(i / 1e6), lambda i: i / 3, lambda i: 1e9 + i, lambda i: None]
+    rows = [(f"t{t}", i, c, "double", f(i), None) for t in range(2) for i in range(70) for c, f in enumerate(columns)]
+    values = spark.createDataFrame(rows, "table_id string, row_id long, col_id int, kind string, x double, t string").repartition(3)
+    want = {(r["table_id"], r["col_id"]): r["total"] for r in values.groupBy("table_id", "col_id").agg(
+        F.coalesce(A.exact_sum(F.col("x")), F.lit(0.0)).alias("total")).collect()}
+    stored = {}
+    store = A.store
+    monkeypatch.setattr(A, "store", lambda df, label: stored.setdefault(label, store(df, label)))
+    figures = A.column_figures(values).collect()
+    odd = {(t, c) for t in ("t0", "t1") for c in (3, 4)}
+    assert {(r["table_id"], r["col_id"]) for r in stored["odd_columns"].collect()} == odd
+    for r in figures:
+        key = (r["table_id"], r["col_id"])
+        assert r["total"] == (pytest.approx(want[key]) if key in odd else want[key]), key
+        assert (r["n"], r["n_x"], r["top"]) == (70, {1: 69, 5: 0}.get(r["col_id"], 70), 69)
+
+
+def test_cells_are_told_by_the_number_of_their_column(spark, tables, monkeypatch):
+    joined = []
+    inner = A.numbered_list
+    monkeypatch.setattr(A, "numbered_list", lambda values, kind: joined.append((kind, inner(values, kind))) or joined[-1][1])
+    out = Q.render(A.answer(planned(spark, tables, ["sort_values", "cumulative_sum", "unique_values"]), to_cells(tables, "table_id", columns=COLUMNS), 4))
+    assert out.count() > 40
+    assert {k for k, _ in joined} == {"sorted", "running", "unique"}
+    # no text of a table's name is looked at for each cell
+    assert all("table_id" not in df.columns and "c" in df.columns for _, df in joined)
